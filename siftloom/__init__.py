@@ -4,6 +4,7 @@ from .operators.roles import LOOSE_PATTERNS, STRICT_PATTERNS, detect_roles
 from .plans.clean import Cleaned, clean, clean_rows
 from .plans.diagnose import diagnose
 from .plans.report import alerts, executive_metrics, issue_register
+from .session import tune
 from .settings import CODED, DEFAULT, Settings
 from .sources.identity import number_rows
 from .sources.tables import land_csv, read_csv, write_bundle, write_clean
@@ -11,5 +12,5 @@ from .sources.tables import land_csv, read_csv, write_bundle, write_clean
 __all__ = [
     "CODED", "Cleaned", "DEFAULT", "LOOSE_PATTERNS", "STRICT_PATTERNS", "Settings", "alerts", "clean", "clean_rows",
     "detect_roles", "diagnose", "executive_metrics", "issue_register", "land_csv", "number_rows", "read_csv",
-    "write_bundle", "write_clean",
+    "tune", "write_bundle", "write_clean",
 ]

@@ -51,12 +51,14 @@ def parse_timestamp(c: Column, orders: tuple[str, ...] = DATE_ORDERS) -> Column:
             token[role] = F.when(compact == "", F.get(cut, F.lit(position))).otherwise(
                 F.substring(compact, start, width))
             start += width
-        stamp = F.try_make_timestamp_ntz(
-            _year(token["y"]), _month(token["m"]), _day(token["d"]),
+        year, month, day = _year(token["y"]), _month(token["m"]), _day(token["d"])
+        # Ranges are checked first: a failed make_timestamp raises inside, which is slow.
+        plausible = clock_kind.isin(*clocks) & month.between(1, 12) & day.between(1, 31)
+        attempts.append(F.when(plausible, F.try_make_timestamp_ntz(
+            year, month, day,
             F.coalesce(hour.try_cast("int"), F.lit(0)),
             F.coalesce(minute.try_cast("int"), F.lit(0)),
-            F.coalesce(second.try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")))
-        attempts.append(F.when(clock_kind.isin(*clocks), stamp))
+            F.coalesce(second.try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")))))
     return F.coalesce(*attempts)
 
 

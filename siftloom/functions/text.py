@@ -67,6 +67,14 @@ def joined_matches(c: Column, pattern: str, separator: str = ", ") -> Column:
     return F.array_join(all_matches(c, pattern, 1), separator)
 
 
+def needs_care(c: Column) -> Column:
+    """True where a text has anything but printable ASCII with single inner blanks.
+
+    One cheap look that spares plain texts, usually the bulk, the checks below.
+    """
+    return c.rlike(r"[^ -~]|^ |  | $")
+
+
 def has_edge_space(c: Column) -> Column:
     return c.rlike(r"(?U)^\s|\s$")
 

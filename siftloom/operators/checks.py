@@ -19,6 +19,14 @@ def _number(column: str) -> Column:
 
 def price_discount_checks(df: DataFrame, roles: Roles) -> DataFrame:
     """``check, count``: what cannot be parsed, is negative, zero or above 100 percent."""
+    checks = price_discount_conditions(roles)
+    if not checks:
+        return df.sparkSession.createDataFrame([], "check string, count bigint")
+    totals = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(checks.values())])
+    return wide_to_rows(totals, [[F.lit(label), F.col(f"c{i}")] for i, label in enumerate(checks)], ["check", "count"])
+
+
+def price_discount_conditions(roles: Roles) -> dict[str, Column]:
     checks: list[tuple[str, Column]] = []
     if roles["price"]:
         c, v = F.col(roles["price"]), _number(roles["price"])
@@ -28,11 +36,7 @@ def price_discount_checks(df: DataFrame, roles: Roles) -> DataFrame:
         c, v = F.col(roles["discount"]), _number(roles["discount"])
         checks += [("Discount: could not be parsed", v.isNull() & is_present(c)),
                    ("Discount: < 0", v < 0), ("Discount: > 100", v > 100)]
-    if not checks:
-        return df.sparkSession.createDataFrame([], "check string, count bigint")
-    totals = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, (_, condition) in enumerate(checks)])
-    return wide_to_rows(totals, [[F.lit(label), F.col(f"c{i}")] for i, (label, _) in enumerate(checks)],
-                        ["check", "count"])
+    return dict(checks)
 
 
 _URL_SCHEMA = ("url_type string, variable string, total_non_missing bigint, valid_count bigint,"
@@ -68,13 +72,33 @@ def url_checks(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT, image_list:
     a column with an image-URL name is checked, and as a whole.
     """
     product = url_column_check(df, "Product URL", roles["product_url"])
-    if not cfg.as_coded and roles["image_url"] in (None, image_list) and image_list in df.columns:
+    if checks_image_list(df, roles, cfg, image_list):
         image = url_column_check(df, "Image URL", image_list, as_list=True)
     else:
         image = url_column_check(df, "Image URL", roles["image_url"])
     return product.unionByName(image)
 
 
+def checks_image_list(df: DataFrame, roles: Roles, cfg: Settings, image_list: str | None = "images") -> bool:
+    return not cfg.as_coded and roles["image_url"] in (None, image_list) and image_list in df.columns
+
+
+def invalid_url_count(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT, image_list: str = "images") -> Column:
+    """How many URLs of a row are present but not web URLs; row-local, no distinct values needed."""
+    def invalid(c: Column) -> Column:
+        return is_present(c) & ~is_web_url(c)
+
+    count = F.lit(0)
+    if roles["product_url"]:
+        count = count + F.coalesce(invalid(F.col(roles["product_url"]).cast("string")), F.lit(False)).cast("int")
+    if checks_image_list(df, roles, cfg, image_list):
+        bad = F.size(F.filter(list_elements(F.col(image_list)), invalid))
+        count = count + F.when(is_present(F.col(image_list)), bad).otherwise(0)
+    elif roles["image_url"]:
+        count = count + F.coalesce(invalid(F.col(roles["image_url"]).cast("string")), F.lit(False)).cast("int")
+    return count
+
+
 def datetime_checks(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT) -> DataFrame:
     """``variable, total_non_missing, parsed_count, unparsed_count, earliest_date, latest_date``."""
     column = roles["scraped_at"]

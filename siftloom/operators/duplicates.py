@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lists import has_repeats, list_elements
 from ..functions.numbers import pct_text
@@ -66,15 +66,19 @@ def repeated_key_rows(df: DataFrame, key: str, cfg: Settings = DEFAULT, n: int |
     return first_rows(rows_with_listed_key(present, repeated, key, "n", cfg.row_id), n or cfg.sample_rows, cfg.row_id)
 
 
+def repeats_element(c: Column) -> Column:
+    """Whether a serialised list names an element twice; never NULL."""
+    return F.coalesce(is_present(c) & has_repeats(list_elements(c)), F.lit(False))
+
+
 def repeated_element_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows whose serialised list names an element twice."""
-    return df.where(is_present(F.col(column)) & has_repeats(list_elements(F.col(column))))
+    return df.where(repeats_element(F.col(column)))
 
 
 def image_dup_counts(df: DataFrame, column: str) -> DataFrame:
     """One row: ``records`` with a repeated list element, and all ``rows``."""
-    repeats = F.coalesce(is_present(F.col(column)) & has_repeats(list_elements(F.col(column))), F.lit(False))
-    return df.agg(F.count_if(repeats).alias("records"), F.count("*").alias("rows"))
+    return df.agg(F.count_if(repeats_element(F.col(column))).alias("records"), F.count("*").alias("rows"))
 
 
 def image_dup_summary(df: DataFrame, column: str = "images") -> DataFrame:
@@ -90,8 +94,10 @@ def keep_first_per_key(df: DataFrame, key: str, cfg: Settings = DEFAULT) -> Data
     order = F.col(cfg.row_id)
     if cfg.as_coded:
         return first_per_key(df, [key], order)
-    keyed = first_per_key(df.where(F.col(key).isNotNull()), [key], order)
-    return keyed.unionByName(df.where(F.col(key).isNull()))
+    # Rows without a key get one of their own: one scan, and they spread over all tasks.
+    own = F.concat(F.lit("row:"), F.col(cfg.row_id).cast("string"))
+    keyed = df.withColumn("__key", F.coalesce(F.concat(F.lit("key:"), F.col(key).cast("string")), own))
+    return first_per_key(keyed, ["__key"], order).select(*df.columns)
 
 
 def drop_exact_duplicates(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import pct
 from ..functions.text import (
-    bounded_key, has_edge_space, has_line_break, has_space_run, is_missing, is_present, row_digest, sanitise,
+    bounded_key, has_edge_space, has_line_break, has_space_run, is_missing, is_present, needs_care, row_digest, sanitise,
 )
 from ..settings import DEFAULT, Settings
 from .roles import Roles, text_columns
@@ -122,13 +122,16 @@ def text_quality(df: DataFrame, cfg: Settings = DEFAULT, columns: list[str] | No
     sanitised text.
     """
     columns = columns or text_columns(df)
-    tall = long_form(df, columns, [F.col(c) for c in columns], value="raw").withColumn("clean", sanitise(F.col("raw")))
-    space = F.col("clean") if cfg.as_coded else F.col("raw")
+    raw = F.col("raw")
+    tall = (long_form(df, columns, [F.col(c) for c in columns], value="raw").withColumn("care", needs_care(raw))
+            .withColumn("clean", F.when(F.col("care"), sanitise(raw)).otherwise(raw)))
+    space = F.col("clean") if cfg.as_coded else raw
+    care = F.col("care")
     per_value = tall.groupBy("variable", bounded_key(F.col("clean")).alias("key")).agg(
         F.count_if(F.col("clean") == "").alias("blank_count"),
-        F.count_if(has_edge_space(space)).alias("leading_trailing_space_count"),
-        F.count_if(has_space_run(space)).alias("multiple_space_count"),
-        F.count_if(has_line_break(space)).alias("newline_count"),
+        F.count_if(care & has_edge_space(space)).alias("leading_trailing_space_count"),
+        F.count_if(care & has_space_run(space)).alias("multiple_space_count"),
+        F.count_if(care & has_line_break(space)).alias("newline_count"),
         F.count_if(F.length("clean") > cfg.long_text).alias("very_long_text_count"),
         F.max(F.length("clean")).alias("max_text_length"))
     counts = ["blank_count", "leading_trailing_space_count", "multiple_space_count", "newline_count",

@@ -78,6 +78,21 @@ def range_checks(df: DataFrame, cfg: Settings = DEFAULT, columns: list[str] | No
                     "max", "negative_count", "zero_count", "iqr_outlier_count"))
 
 
+def parse_failure_count(df: DataFrame, cfg: Settings = DEFAULT) -> Column:
+    """How many number-like fields of a row are neither number nor missing; row-local."""
+    numeric = set(numeric_columns(df))
+    count = F.lit(0)
+    for c in range_columns(df, cfg):
+        if c not in numeric:
+            count = count + F.coalesce(_unparsed(c, cfg), F.lit(False)).cast("int")
+    return count
+
+
+def _unparsed(column: str, cfg: Settings) -> Column:
+    c = F.col(column)
+    return ~is_numeric_missing(c, cfg.numeric_missing_words) & parse_number(c).isNull()
+
+
 def numeric_parse_issues(df: DataFrame, cfg: Settings = DEFAULT, columns: list[str] | None = None) -> DataFrame:
     """``variable, row_number, original_value, issue`` for values that are neither number nor missing."""
     numeric = set(numeric_columns(df))
@@ -85,8 +100,7 @@ def numeric_parse_issues(df: DataFrame, cfg: Settings = DEFAULT, columns: list[s
     if not columns:
         return df.sparkSession.createDataFrame(
             [], f"variable string, {cfg.row_id} bigint, original_value string, issue string")
-    bad = [F.when(~is_numeric_missing(F.col(c), cfg.numeric_missing_words) & parse_number(F.col(c)).isNull(), F.col(c))
-           for c in columns]
+    bad = [F.when(_unparsed(c, cfg), F.col(c)) for c in columns]
     tall = long_form(df, columns, bad, keep=[cfg.row_id], value="original_value")
     return (tall.where(F.col("original_value").isNotNull())
             .select("variable", cfg.row_id, "original_value", F.lit(PARSE_ISSUE).alias("issue")))

@@ -85,8 +85,9 @@ def first_rows(df: DataFrame, n: int, row_id: str) -> DataFrame:
         blocks = df.groupBy(block.alias("block")).agg(F.count("*").alias("n"))
         running = blocks.select("block", F.sum("n").over(Window.orderBy("block")).alias("upto"))
         last_block = running.where(F.col("upto") >= n).agg(F.min("block").alias("last_block"))
-        limit = F.coalesce(last_block.scalar(), F.lit((1 << 63) - 1))
-        df = df.where(block <= limit)
+        last_id = last_block.select(F.shiftleft(F.col("last_block") + 1, ID_BLOCK_BITS) - 1)
+        # A plain comparison, so that the file reader can skip everything behind the last block.
+        df = df.where(F.col(row_id) <= F.coalesce(last_id.scalar(), F.lit((1 << 63) - 1)))
     return df.orderBy(row_id).limit(n)
 
 

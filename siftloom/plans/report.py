@@ -6,56 +6,82 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.dates import parse_timestamp
 from ..functions.numbers import pct, pct_fixed
-from ..operators import checks, duplicates, profile, ranges
-from ..operators.roles import Roles, detect_roles
+from ..functions.text import has_edge_space, has_line_break, is_missing, is_present, needs_care, sanitise
+from ..operators import checks, duplicates, ranges
+from ..operators.roles import Roles, detect_roles, text_columns
+from ..operators.scale import sum_all
 from ..settings import DEFAULT, Settings
 
 
-def _sum(name: str) -> Column:
-    return F.coalesce(F.sum(name), F.lit(0))
-
-
-def _facts(table: DataFrame, **values: Column) -> DataFrame:
-    """A one-row aggregate of ``table`` as rows ``fact, value``."""
-    one = table.agg(*[v.cast("long").alias(k) for k, v in values.items()])
-    return one.unpivot([], list(values), "fact", "value")
-
-
-def _labelled(table: DataFrame, label: str, number: str, names: dict[str, str]) -> DataFrame:
-    """Rows of a (label, number) table under short fact names."""
-    return _facts(table, **{fact: F.coalesce(F.max(F.when(F.col(label) == text, F.col(number))), F.lit(0))
-                            for fact, text in names.items()})
+# The labels of the price and discount checks behind each fact.
+_PRICE_CHECKS = {
+    "price_unparsed": "Price: could not be parsed", "price_negative": "Price: < 0", "price_zero": "Price: == 0",
+    "discount_unparsed": "Discount: could not be parsed", "discount_over_100": "Discount: > 100",
+    "discount_negative": "Discount: < 0",
+}
+
+
+def _row_local_facts(df: DataFrame, roles: Roles, cfg: Settings) -> DataFrame:
+    """One row with everything that needs no distinct values: a single pass over the table."""
+    columns = cfg.data_columns(df.columns)
+    texts = text_columns(df)
+    gaps = {c: F.coalesce(is_missing(F.col(c)), F.lit(False)) for c in columns}
+    prices = checks.price_discount_conditions(roles)
+
+    def text_hits(check) -> Column:
+        def hit(c: str) -> Column:
+            value = sanitise(F.col(c)) if cfg.as_coded else F.col(c)
+            return F.coalesce(needs_care(F.col(c)) & check(value), F.lit(False)).cast("int")
+        return F.coalesce(F.sum(sum_all([F.lit(0), *map(hit, texts)])), F.lit(0))
+
+    def count(condition: Column | None) -> Column:
+        return F.lit(0).cast("long") if condition is None else F.count_if(condition)
+
+    stamp = roles["scraped_at"]
+    raw = F.col(stamp).cast("string") if stamp else None
+    one = df.agg(
+        F.count("*").alias("rows"),
+        count(reduce(Column.__or__, gaps.values())).alias("rows_missing"),
+        *[F.count_if(gap).alias(f"gap_{i}") for i, gap in enumerate(gaps.values())],
+        *[count(prices.get(label)).alias(fact) for fact, label in _PRICE_CHECKS.items()],
+        F.coalesce(F.sum(checks.invalid_url_count(df, roles, cfg)), F.lit(0)).alias("url_issues"),
+        count(is_present(raw) & parse_timestamp(raw, cfg.date_orders).isNull() if stamp else None)
+        .alias("timestamps_unparsed"),
+        text_hits(has_edge_space).alias("edge_space"), text_hits(has_line_break).alias("line_breaks"),
+        F.coalesce(F.sum(ranges.parse_failure_count(df, cfg)), F.lit(0)).alias("parse_failures"),
+        count(None if cfg.as_coded or "images" not in df.columns else duplicates.repeats_element(F.col("images")))
+        .alias("image_duplicates"))
+    high = [(pct(F.col(f"gap_{i}"), F.col("rows")) >= cfg.high_missing_pct).cast("long") for i in range(len(columns))]
+    return one.select(
+        "rows", F.lit(len(columns)).alias("columns"), "rows_missing", *_PRICE_CHECKS, "url_issues",
+        "timestamps_unparsed", F.lit(int(stamp is not None)).alias("timestamp_columns"), "edge_space", "line_breaks",
+        F.coalesce(sum_all(high), F.lit(0)).alias("high_missing_columns"), "parse_failures", "image_duplicates")
+
+
+def _tall(one: DataFrame) -> DataFrame:
+    names = one.columns
+    return one.select(*[F.col(n).cast("long").alias(n) for n in names]).unpivot([], names, "fact", "value")
 
 
 def facts(df: DataFrame, roles: Roles | None = None, cfg: Settings = DEFAULT) -> DataFrame:
-    """``fact, value``: every count the report uses, one aggregate per source table.
+    """``fact, value``: every count the report uses, from three passes over the table.
 
-    As coded the number of rows with repeated images is always 0, because the
-    table it was taken from no longer exists.
+    Most facts are row-local and share one aggregate; repeated rows and repeated
+    keys need a shuffle each. As coded the number of rows with repeated images is
+    always 0, because the table it was taken from no longer exists.
     """
     roles = roles or detect_roles(df)
-    images = duplicates.image_dup_counts(df, "images")
-    parts = [
-        _labelled(profile.overview(df, cfg), "metric", "value", {
-            "rows": "Total rows", "columns": "Total columns", "exact_duplicates": "Exact duplicate rows",
-            "rows_missing": "Rows with ≥1 missing value"}),
-        _labelled(duplicates.duplicate_summary(df, roles, cfg), "check", "count", {
-            "duplicate_urls": "Duplicate product URLs", "duplicate_names": "Duplicate product names"}),
-        _labelled(checks.price_discount_checks(df, roles), "check", "count", {
-            "price_unparsed": "Price: could not be parsed", "price_negative": "Price: < 0",
-            "price_zero": "Price: == 0", "discount_unparsed": "Discount: could not be parsed",
-            "discount_over_100": "Discount: > 100", "discount_negative": "Discount: < 0"}),
-        _facts(checks.url_checks(df, roles, cfg), url_issues=_sum("invalid_count")),
-        _facts(checks.datetime_checks(df, roles, cfg), timestamps_unparsed=_sum("unparsed_count"),
-               timestamp_columns=F.count("variable")),
-        _facts(profile.text_quality(df, cfg), edge_space=_sum("leading_trailing_space_count"),
-               line_breaks=_sum("newline_count")),
-        _facts(profile.high_missing_columns(profile.missingness_by_variable(df, cfg), cfg),
-               high_missing_columns=F.count("*")),
-        _facts(ranges.numeric_parse_issues(df, cfg), parse_failures=F.count("*")),
-        _facts(images, image_duplicates=F.lit(0) if cfg.as_coded else F.max("records")),
-    ]
+    keys = {fact: roles[role] for fact, role in (("duplicate_urls", "product_url"), ("duplicate_names", "product"))}
+    known = list(dict.fromkeys(c for c in keys.values() if c))
+    parts = [_tall(_row_local_facts(df, roles, cfg)),
+             _tall(duplicates.exact_duplicate_count(df, cfg).withColumnRenamed("copies", "exact_duplicates"))]
+    if known:
+        copies = duplicates.key_duplicate_counts(df, known)
+        parts.append(_tall(copies.agg(*[
+            F.coalesce(F.max(F.when(F.col("variable") == F.lit(c), F.col("copies"))), F.lit(0)).alias(fact)
+            for fact, c in keys.items()])))
     return reduce(DataFrame.unionByName, parts)
 
 

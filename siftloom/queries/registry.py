@@ -12,9 +12,10 @@ from ..operators import attributes, checks, cleaning, duplicates, extensions, pr
 from ..operators.roles import LOOSE_PATTERNS, detect_roles, detected_columns
 from ..operators.scale import long_form
 from ..plans import clean as clean_plan, report
+from ..session import tune
 from ..settings import CODED, DEFAULT, Settings
 from ..sources import preview, tables
-from ..sources.identity import number_rows
+from ..sources.identity import number_rows, pin
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,11 +31,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _catalog(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: build(catalog(spark, folder))
+    return lambda spark, folder: build(catalog(tune(spark), folder))
 
 
 def _native(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: build(read_table(spark, folder, table))
+    return lambda spark, folder: build(read_table(tune(spark), folder, table))
 
 
 def _roles(df: DataFrame):
@@ -61,11 +62,17 @@ def _images(cfg: Settings) -> Callable[[DataFrame], DataFrame]:
 
 
 def _imputed(df: DataFrame) -> DataFrame:
-    filled = extensions.impute_by_group(_cleaned(df), "size_system", ["price", "brand", "color"])
+    wanted = ["row_number", "size_system", "price", "brand", "color"]
+    filled = extensions.impute_by_group(pin(_cleaned(df).select(*wanted)), "size_system", ["price", "brand", "color"])
     return rounded(filled.select("row_number", "size_system", "price", "price_imputed", "brand", "brand_imputed",
                                  "color", "color_imputed"))
 
 
+def _post_clean_ranges(df: DataFrame) -> DataFrame:
+    columns = ["price", "size_count", "images_n"]
+    return rounded(ranges.range_checks(pin(_cleaned(df).select(*columns)), columns=columns))
+
+
 def _number_formats(df: DataFrame) -> DataFrame:
     present = F.count_if(text.is_present(F.col("price")))
     return df.groupBy("size").agg(F.count("*").alias("n"), present.alias("present")).select(
@@ -187,7 +194,7 @@ def queries() -> dict[str, Query]:
         "imputation_plan": _catalog(extensions.imputation_plan),
         "impute_by_size_system": _catalog(_imputed),
         "post_clean_missingness": _catalog(lambda df: profile.missingness_by_variable(_cleaned(df))),
-        "post_clean_ranges": _catalog(lambda df: rounded(ranges.range_checks(_cleaned(df), columns=["price", "size_count", "images_n"]))),
+        "post_clean_ranges": _catalog(_post_clean_ranges),
         # The same operators over the native tables.
         "text_quality_documents": _native("documents", lambda df: profile.text_quality(df, columns=["text", "lang", "source"])),
         "text_quality_pages": _native("pages", profile.text_quality),

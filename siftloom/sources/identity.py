@@ -3,28 +3,35 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 # The table of file pieces is broadcast up to this many rows (about 100 bytes each).
 BROADCAST_PIECES = 200_000
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; a local session may do without."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="siftloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def pin(df: DataFrame) -> DataFrame:
-    """Fix the rows of a table that may come out in another order when computed again.
+    """Write a table once to the shared folder and go on from that copy.
 
-    The checkpoint goes to the folder the cluster names in ``spark.checkpoint.dir``;
-    only a local session without that setting gets a temporary folder.
+    For tables that are costly to compute and read several times, or whose rows
+    may come out in another order when computed again. The copy is Parquet, so
+    later passes still read only the columns they need, and it outlives executors.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="siftloom-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    target = f"{shared_folder(df.sparkSession)}/siftloom-{uuid.uuid4().hex}"
+    df.write.parquet(target)
+    return df.sparkSession.read.parquet(target)
 
 
 def number_rows(df: DataFrame, name: str = "row_number", from_files: bool = True) -> DataFrame:
@@ -32,21 +39,17 @@ def number_rows(df: DataFrame, name: str = "row_number", from_files: bool = True
 
     Two narrow passes: rows are counted per file piece, the counts add up to one
     offset per piece, and the offsets go back to the rows. A table that does not
-    come straight from files is pinned first and numbered in partition order.
+    come straight from files is pinned first.
     """
-    if from_files:
-        piece = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start")]
-        pieces_at_most = len(df.inputFiles()) + df.rdd.getNumPartitions()
-    else:
-        df = pin(df)
-        piece = [F.lit("").alias("__file"), F.spark_partition_id().alias("__start")]
-        pieces_at_most = df.rdd.getNumPartitions()
+    df = df if from_files else pin(df)
     columns = df.columns
-    placed = df.select("*", *piece, F.monotonically_increasing_id().alias("__at"))
+    placed = df.select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__at"))
     pieces = placed.groupBy("__file", "__start").agg(F.count("*").alias("n"), F.min("__at").alias("__first"))
     before = F.sum("n").over(Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1))
     offsets = pieces.select("__file", "__start", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
-    if pieces_at_most <= BROADCAST_PIECES:
+    if len(df.inputFiles()) + df.rdd.getNumPartitions() <= BROADCAST_PIECES:
         offsets = F.broadcast(offsets)
     numbered = placed.join(offsets, ["__file", "__start"])
     return numbered.select((F.col("__before") + F.col("__at") - F.col("__first") + 1).alias(name), *columns)

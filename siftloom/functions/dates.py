@@ -30,10 +30,15 @@ def parse_timestamp(c: Column, orders: tuple[str, ...] = DATE_ORDERS) -> Column:
     without separators are cut by the order. Dates that cannot exist fall
     through to the next order.
 
-    One regular expression cuts the text into tokens once; the orders then only
-    differ in how they assign the tokens.
+    One regular expression cuts the text into tokens; the orders only differ in
+    how they assign them. The tokens are bound to a lambda variable, because
+    they are used many times and would be cut anew at each place otherwise.
     """
     cut = F.split(F.regexp_replace(c, _SHAPE, _MARK.join(f"${i}" for i in range(1, 8))), _MARK, -1)
+    return F.get(F.transform(F.array(cut), lambda tokens: _assemble(tokens, orders)), F.lit(0))
+
+
+def _assemble(cut: Column, orders: tuple[str, ...]) -> Column:
     compact, hour, minute, second = (F.get(cut, F.lit(i)) for i in (0, 4, 5, 6))
     clock_kind = F.when(second != "", "HMS").when(hour != "", "HM").otherwise("")
 
@@ -52,13 +57,14 @@ def parse_timestamp(c: Column, orders: tuple[str, ...] = DATE_ORDERS) -> Column:
                 F.substring(compact, start, width))
             start += width
         year, month, day = _year(token["y"]), _month(token["m"]), _day(token["d"])
-        # Ranges are checked first: a failed make_timestamp raises inside, which is slow.
-        plausible = clock_kind.isin(*clocks) & month.between(1, 12) & day.between(1, 31)
+        # Ranges and blanks are checked first: a failed conversion raises inside, which is slow.
+        plausible = ((F.size(cut) == 7) & clock_kind.isin(*clocks)
+                     & (month >= 1) & (month <= 12) & (day >= 1) & (day <= 31))
         attempts.append(F.when(plausible, F.try_make_timestamp_ntz(
             year, month, day,
-            F.coalesce(hour.try_cast("int"), F.lit(0)),
-            F.coalesce(minute.try_cast("int"), F.lit(0)),
-            F.coalesce(second.try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")))))
+            F.when(hour != "", hour.try_cast("int")).otherwise(0),
+            F.when(minute != "", minute.try_cast("int")).otherwise(0),
+            F.when(second != "", second.try_cast("decimal(16,6)")).otherwise(F.lit(0).cast("decimal(16,6)")))))
     return F.coalesce(*attempts)
 
 

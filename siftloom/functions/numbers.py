@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import first_match
+from .text import blank_to_null, first_match
 
 # First number in a text: optional minus, digits with grouping commas, optional fraction.
 FIRST_NUMBER = r"(-?(?:[0-9][0-9,]*(?:\.[0-9]*)?|\.[0-9]+))"
@@ -21,7 +21,7 @@ def parse_number(c: Column) -> Column:
 
 def digits_only_number(c: Column) -> Column:
     """Number from the digits and dots alone, which loses the sign."""
-    return to_double(F.regexp_replace(c, r"[^0-9.]", ""))
+    return to_double(blank_to_null(F.regexp_replace(c, r"[^0-9.]", "")))
 
 
 def pct(n: Column, d: Column, digits: int = 2) -> Column:

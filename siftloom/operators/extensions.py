@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.dates import parse_timestamp
 from ..functions.lists import list_elements
 from ..functions.numbers import parse_number
-from ..functions.text import first_match, is_present, is_web_url, squish
+from ..functions.text import first_match, is_present, is_web_url, needs_care, squish
 from ..settings import DEFAULT, Settings
 from .profile import high_missing_columns, missingness_by_variable
 from .roles import numeric_columns, text_columns
@@ -45,7 +45,8 @@ def repair_url(df: DataFrame, column: str = "url") -> DataFrame:
 def squish_all(df: DataFrame) -> DataFrame:
     """Every text column squished; line breaks become blanks."""
     texts = set(text_columns(df))
-    return df.select(*[squish(F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns])
+    return df.select(*[F.when(needs_care(F.col(c)), squish(F.col(c))).otherwise(F.col(c)).alias(c)
+                       if c in texts else F.col(c) for c in df.columns])
 
 
 def imputation_plan(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:

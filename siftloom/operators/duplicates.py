@@ -9,7 +9,7 @@ from ..functions.numbers import pct_text
 from ..functions.text import bounded_key, is_present, row_digest
 from ..settings import DEFAULT, Settings
 from .roles import Roles
-from .scale import first_per_key, first_rows, long_form, rows_with_listed_key, wide_to_rows
+from .scale import first_per_key, first_selected_rows, long_form, rows_with_listed_key, wide_to_rows
 
 
 def exact_duplicate_count(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
@@ -53,17 +53,20 @@ def duplicate_summary(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT) -> D
 
 def exact_duplicate_rows(df: DataFrame, cfg: Settings = DEFAULT, n: int | None = None) -> DataFrame:
     """All copies of rows that occur more than once, the first ``n`` by row id."""
-    tagged = df.withColumn("__digest", row_digest(cfg.data_columns(df.columns)))
-    repeated = tagged.groupBy("__digest").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    rows = rows_with_listed_key(tagged, repeated, "__digest", "n", cfg.row_id).drop("__digest")
-    return first_rows(rows, n or cfg.sample_rows, cfg.row_id)
+    digests = df.select(cfg.row_id, row_digest(cfg.data_columns(df.columns)).alias("digest"))
+    return _repeated_rows(df, digests, "digest", cfg, n)
 
 
 def repeated_key_rows(df: DataFrame, key: str, cfg: Settings = DEFAULT, n: int | None = None) -> DataFrame:
     """All rows whose present ``key`` occurs more than once, the first ``n`` by row id."""
-    present = df.where(is_present(F.col(key)))
-    repeated = present.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    return first_rows(rows_with_listed_key(present, repeated, key, "n", cfg.row_id), n or cfg.sample_rows, cfg.row_id)
+    keys = df.where(is_present(F.col(key))).select(cfg.row_id, bounded_key(F.col(key).cast("string")).alias("key"))
+    return _repeated_rows(df, keys, "key", cfg, n)
+
+
+def _repeated_rows(df: DataFrame, keyed: DataFrame, key: str, cfg: Settings, n: int | None) -> DataFrame:
+    repeated = keyed.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    selected = rows_with_listed_key(keyed, repeated, key, "n", cfg.row_id)
+    return first_selected_rows(df, selected, n or cfg.sample_rows, cfg.row_id)
 
 
 def repeats_element(c: Column) -> Column:

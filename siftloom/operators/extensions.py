@@ -16,6 +16,9 @@ from .scale import exact_quantiles, last_per_key, long_form
 # Scrape day as it appears in image paths.
 PATH_DATE = r"/(\d{4}/\d{2}/\d{2})/"
 
+# Fills are broadcast up to this many groups.
+FEW_GROUPS = 10_000
+
 
 def latest_per_key(df: DataFrame, key: str, stamp: str, cfg: Settings = DEFAULT) -> DataFrame:
     """Of the rows with a present key the latest per key; earlier rows win ties, rows without a date lose."""
@@ -66,32 +69,34 @@ def impute_by_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Fill gaps from the row's group: the median for numbers, the most frequent value for texts.
 
     ``<column>_imputed`` marks filled cells; groups without any value stay empty.
-    The group column must have few values (size systems: a fixed list of labels),
-    one row per group and column is broadcast back.
+    The fills, one row per group, are broadcast when a look at the group column
+    finds few groups. The table is read several times, so pass a stored one.
     """
+    few = df.select(group).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    small = F.broadcast if few else (lambda table: table)
     numbers = [c for c in columns if c in numeric_columns(df)]
     texts = [c for c in columns if c not in numbers]
     filled = df
     if numbers:
         tall = long_form(df, numbers, [F.col(c).cast("double") for c in numbers], keep=[group], value="v")
         keyed = tall.select(F.struct("variable", group).alias("key"), "v")
-        medians = exact_quantiles(keyed, "key", "v", [0.5])
-        filled = _fill(filled, medians.select("key.*", F.col("q0").alias("fill")), group, numbers)
+        medians = exact_quantiles(keyed, "key", "v", [0.5], few_groups=few)
+        filled = _fill(filled, medians.select("key.*", F.col("q0").alias("fill")), group, numbers, small)
     if texts:
         tall = long_form(df, texts, [F.col(c) for c in texts], keep=[group]).where(is_present(F.col("value")))
         counts = tall.groupBy(group, "variable", "value").agg(F.count("*").alias("n"))
         # Most frequent first; among equals the first in text order.
         most = counts.groupBy(group, "variable").agg(F.max("n").alias("n"))
-        modes = (counts.join(F.broadcast(most), [group, "variable", "n"])
+        modes = (counts.join(small(most), [group, "variable", "n"])
                  .groupBy(group, "variable").agg(F.min("value").alias("fill")))
-        filled = _fill(filled, modes, group, texts)
+        filled = _fill(filled, modes, group, texts, small)
     return filled
 
 
-def _fill(df: DataFrame, fills: DataFrame, group: str, columns: list[str]) -> DataFrame:
+def _fill(df: DataFrame, fills: DataFrame, group: str, columns: list[str], small) -> DataFrame:
     wide = fills.groupBy(group).agg(
         *[F.max(F.when(F.col("variable") == c, F.col("fill"))).alias(f"__fill_{c}") for c in columns])
-    joined = df.join(F.broadcast(wide), group, "left")
+    joined = df.join(small(wide), group, "left")
     order = [c for c in df.columns]
     out = []
     for c in order:

@@ -18,13 +18,19 @@ HOT_KEYS = 1_000
 # Slices per group for the first step of a two-step ranking.
 RANK_SLICES = 64
 
+# Slices of row ids when the first ones of a selection are looked up.
+ID_SLICES = 512
+
 # Row ids per block (2 to this power) when the first rows of a large selection are looked up.
 ID_BLOCK_BITS = 17
 
 # Largest n for which a plain top-n may go through one task.
 PLAIN_TOP_N = 1_000
 
-_TWICE_LOG2_SPAN = 1_075.0
+# Largest list of row ids that is broadcast (8 bytes each).
+BROADCAST_IDS = 1_000_000
+
+_LOG2_SPAN = 1_075.0
 _COARSE = float(1 << 8)
 _FINE = float(1 << 24)
 
@@ -61,12 +67,14 @@ def rows_with_listed_key(df: DataFrame, listed: DataFrame, key: str, weight: str
         F.col(key).alias("__hot_key"), F.lit(True).alias("__hot"))
     marked = df.join(F.broadcast(hot), df[key] == F.col("__hot_key"), "left").drop("__hot_key")
 
-    key_text = F.hex(key) if dict(df.dtypes)[key] == "binary" else F.col(key).cast("string")
-    spread = F.concat(F.lit("row:"), F.col(row_id).cast("string"))
-    marked = marked.withColumn(
-        "__meet", F.when(F.col("__hot"), spread).otherwise(F.concat(F.lit("key:"), F.coalesce(key_text, spread))))
-    listed_text = F.hex(key) if dict(listed.dtypes)[key] == "binary" else F.col(key).cast("string")
-    meet = listed.select(F.concat(F.lit("key:"), listed_text).alias("__meet"), F.lit(True).alias("__cold"))
+    def meeting_key(table: DataFrame, without: Column) -> Column:
+        # Never NULL, or Spark would push a null test, and with it the key's whole expression, into the scan.
+        text = F.hex(key) if dict(table.dtypes)[key] == "binary" else F.col(key).cast("string")
+        return F.when(F.col(key).isNull(), without).otherwise(F.concat(F.lit("key:"), F.coalesce(text, F.lit(""))))
+
+    spread = F.concat(F.lit("row:"), F.coalesce(F.col(row_id).cast("string"), F.lit("")))
+    marked = marked.withColumn("__meet", F.when(F.col("__hot"), spread).otherwise(meeting_key(df, spread)))
+    meet = listed.select(meeting_key(listed, F.lit("none")).alias("__meet"), F.lit(True).alias("__cold"))
     return (marked.join(meet, "__meet", "left")
             .where(F.col("__hot") | F.col("__cold"))
             .select(*df.columns))
@@ -76,21 +84,41 @@ def first_rows(df: DataFrame, n: int, row_id: str) -> DataFrame:
     """The ``n`` rows with the smallest row ids.
 
     A plain top-n merges up to ``n`` rows of every task in one place. For a large
-    ``n`` the rows are first counted per block of ids; only blocks that can hold
-    one of the first ``n`` rows are kept, which bounds what the merge sees to
-    ``n`` rows plus one block.
+    ``n`` only blocks of ids that can hold one of the first ``n`` rows are kept,
+    which bounds the merge to ``n`` rows plus one block; the condition is a plain
+    comparison, so the file reader can skip everything behind it.
     """
     if n > PLAIN_TOP_N:
         block = F.shiftright(F.col(row_id).cast("long"), ID_BLOCK_BITS)
         blocks = df.groupBy(block.alias("block")).agg(F.count("*").alias("n"))
         running = blocks.select("block", F.sum("n").over(Window.orderBy("block")).alias("upto"))
-        last_block = running.where(F.col("upto") >= n).agg(F.min("block").alias("last_block"))
-        last_id = last_block.select(F.shiftleft(F.col("last_block") + 1, ID_BLOCK_BITS) - 1)
-        # A plain comparison, so that the file reader can skip everything behind the last block.
-        df = df.where(F.col(row_id) <= F.coalesce(last_id.scalar(), F.lit((1 << 63) - 1)))
+        last = running.where(F.col("upto") >= n).agg(
+            (F.shiftleft(F.min("block") + 1, ID_BLOCK_BITS) - 1).alias("last"))
+        df = df.where(F.col(row_id) <= F.coalesce(last.scalar(), F.lit((1 << 63) - 1)))
     return df.orderBy(row_id).limit(n)
 
 
+def first_selected_rows(df: DataFrame, selected: DataFrame, n: int, row_id: str) -> DataFrame:
+    """The first ``n`` rows of ``df`` whose ids are in ``selected``.
+
+    For selections that need a shuffle: only ids travel. Slices of ids keep their
+    own first ``n``, one task merges those, and the at most ``n`` ids go back to
+    the table, by broadcast as long as ``n`` is small. The table is read no
+    further than the largest of them.
+    """
+    ids = selected.select(row_id)
+    if n > PLAIN_TOP_N:
+        slice_of = F.pmod(F.xxhash64(row_id), F.lit(ID_SLICES))
+        rank = F.row_number().over(Window.partitionBy("__slice").orderBy(row_id))
+        ids = (ids.withColumn("__slice", slice_of).withColumn("__rank", rank).where(F.col("__rank") <= n)
+               .select(row_id))
+    ids = ids.orderBy(row_id).limit(n)
+    last = ids.agg(F.max(row_id)).scalar()
+    if n <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.where(F.col(row_id) <= last).join(ids, row_id, "left_semi").orderBy(row_id)
+
+
 def top_n_per_group(df: DataFrame, group: str, order: list[Column], n: int, slice_by: str) -> DataFrame:
     """The first ``n`` rows of every group, ranked in two steps.
 
@@ -132,10 +160,10 @@ def _position(v: Column) -> Column:
     ``sign(v) * (log2|v| + 1075)`` covers every finite double. Only its
     monotony matters for exact ranks, its rounding does not.
     """
-    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log2(F.abs(v)) + F.lit(_TWICE_LOG2_SPAN)))
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log2(F.abs(v)) + F.lit(_LOG2_SPAN)))
 
 
-def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
+def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float], few_groups: bool = True) -> DataFrame:
     """Exact quantiles per group with linear interpolation: ``group, q0, q1, ...``.
 
     Spark's ``percentile`` keeps every distinct value of a group in one task.
@@ -144,8 +172,9 @@ def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[floa
     it with finer buckets, and only then look at single values. Each step is an
     aggregate with a small, bounded number of groups, so neither the number of
     rows nor one hot value matters. The wanted ranks are two per probability and
-    group, so the table of ranks is broadcast.
+    group, so with ``few_groups`` (one per column, say) they are broadcast.
     """
+    small = F.broadcast if few_groups else (lambda table: table)
     data = long_df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
         F.col(group).alias("g"), F.col(value).alias("v"), _position(F.col(value)).alias("at"))
     coarse = F.floor(F.col("at") * _COARSE)
@@ -168,15 +197,13 @@ def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[floa
     level1 = locate(data.groupBy("g", coarse.alias("b1")).agg(F.count("*").alias("n")), None, ["g"], "b1")
     level1 = level1.select("g", "b1", "q", "rank", "total", (F.col("rank") + F.col("before")).alias("full_rank"))
 
-    wanted1 = F.broadcast(level1)
-    inside1 = data.withColumn("b1", coarse).join(wanted1, ["g", "b1"])
+    inside1 = data.withColumn("b1", coarse).join(small(level1), ["g", "b1"])
     keys = ["g", "q", "full_rank"]
     counts2 = inside1.groupBy(*keys, fine.alias("b2")).agg(
         F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"))
     level2 = locate(counts2, level1, keys, "b2").select(*keys, "b2", "rank", "total")
 
-    wanted2 = F.broadcast(level2)
-    inside2 = data.withColumn("b2", fine).join(wanted2, ["g", "b2"])
+    inside2 = data.withColumn("b2", fine).join(small(level2), ["g", "b2"])
     counts3 = inside2.groupBy(*keys, "v").agg(
         F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"))
     picked = locate(counts3, level2, keys, "v").select(*keys, "v", "total")

@@ -139,9 +139,8 @@ def long_form(df: DataFrame, columns: list[str], values: list[Column], keep: lis
               value: str = "value") -> DataFrame:
     """One row per (row, column): ``keep..., variable, <value>``; the values share one type."""
     keep = keep or []
-    wide = df.select(*keep, *[v.alias(f"__v_{c}") for c, v in zip(columns, values)])
-    tall = wide.unpivot([F.col(k) for k in keep], [F.col(f"`__v_{c}`") for c in columns], "variable", value)
-    return tall.withColumn("variable", F.substring("variable", 5, 1_000))
+    wide = df.select(*keep, *[v.alias(c) for c, v in zip(columns, values)])
+    return wide.unpivot([F.col(k) for k in keep], [F.col(f"`{c}`") for c in columns], "variable", value)
 
 
 def wide_to_rows(df: DataFrame, rows: list[list[Column]], names: list[str]) -> DataFrame:
@@ -171,7 +170,7 @@ def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[floa
     value bucket, pick the bucket that holds each wanted rank, count again inside
     it with finer buckets, and only then look at single values. Each step is an
     aggregate with a small, bounded number of groups, so neither the number of
-    rows nor one hot value matters. The wanted ranks are two per probability and
+    rows nor one hot value matters. The last step is skipped where it is not needed. The wanted ranks are two per probability and
     group, so with ``few_groups`` (one per column, say) they are broadcast.
     """
     small = F.broadcast if few_groups else (lambda table: table)
@@ -200,13 +199,18 @@ def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[floa
     inside1 = data.withColumn("b1", coarse).join(small(level1), ["g", "b1"])
     keys = ["g", "q", "full_rank"]
     counts2 = inside1.groupBy(*keys, fine.alias("b2")).agg(
-        F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"))
-    level2 = locate(counts2, level1, keys, "b2").select(*keys, "b2", "rank", "total")
+        F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"),
+        F.min("v").alias("low"), F.max("v").alias("high"))
+    level2 = locate(counts2, level1, keys, "b2").select(*keys, "b2", "rank", "total", "low", "high")
+    # A bucket with a single value needs no further look. When that holds for all
+    # of them the list below is empty and adaptive execution drops the last pass.
+    settled = level2.where(F.col("low") == F.col("high")).select(*keys, F.col("low").alias("v"), "total")
+    level2 = level2.where(F.col("low") < F.col("high")).select(*keys, "b2", "rank", "total")
 
     inside2 = data.withColumn("b2", fine).join(small(level2), ["g", "b2"])
     counts3 = inside2.groupBy(*keys, "v").agg(
         F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"))
-    picked = locate(counts3, level2, keys, "v").select(*keys, "v", "total")
+    picked = locate(counts3, level2, keys, "v").select(*keys, "v", "total").unionByName(settled)
 
     columns = []
     for i, p in enumerate(probs):

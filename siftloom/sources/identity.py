@@ -11,14 +11,19 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 BROADCAST_PIECES = 200_000
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a local session may do without."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="siftloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="siftloom-")
+        folder = _local_folders[app]
     return folder.rstrip("/")
 
 

@@ -9,13 +9,13 @@ from ..functions.numbers import pct_text
 from ..functions.text import bounded_key, is_present, row_digest
 from ..settings import DEFAULT, Settings
 from .roles import Roles
-from .scale import first_per_key, first_selected_rows, long_form, rows_with_listed_key, wide_to_rows
+from .scale import first_per_key, first_selected_rows, long_form, row_identity, rows_with_listed_key, wide_to_rows
 
 
 def exact_duplicate_count(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """One row, ``copies``: how many rows repeat an earlier row."""
-    digests = df.groupBy(row_digest(cfg.data_columns(df.columns)).alias("digest")).agg(F.count("*").alias("n"))
-    return digests.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies"))
+    groups = df.groupBy(*row_identity(df, cfg.data_columns(df.columns))).agg(F.count("*").alias("n"))
+    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies"))
 
 
 def key_duplicate_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import pct
 from ..functions.text import (
-    bounded_key, has_edge_space, has_line_break, has_space_run, is_missing, is_present, needs_care, row_digest, sanitise,
+    bounded_key, has_edge_space, has_line_break, has_space_run, is_missing, is_present, needs_care, sanitise,
 )
 from ..settings import DEFAULT, Settings
-from .roles import Roles, text_columns
-from .scale import long_form, sum_all, top_n_per_group, wide_to_rows
+from .roles import Roles, missing_in, text_columns
+from .scale import long_form, row_identity, sum_all, top_n_per_group, wide_to_rows
+
+
+# Missing-field bits per word.
+_WORD = 60
 
 
 def _flag(condition: Column) -> Column:
@@ -20,22 +24,27 @@ def _flag(condition: Column) -> Column:
 def overview(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """``metric, value``: rows, columns, cells, exact duplicates, rows and columns with gaps.
 
-    Copies of a row share their missing fields, so one grouping by row digest
-    serves all six numbers.
+    Copies of a row share their missing fields, so one grouping by row identity
+    serves all six numbers; the missing fields ride along as bits.
     """
     columns = cfg.data_columns(df.columns)
-    per_row = df.select(row_digest(columns).alias("digest"),
-                        *[_flag(is_missing(F.col(c))).alias(f"m{i}") for i, c in enumerate(columns)])
-    flags = [F.col(f"m{i}") for i in range(len(columns))]
-    per_digest = per_row.groupBy("digest").agg(
-        F.count("*").alias("n"),
-        F.sum((sum_all(flags) > 0).cast("int")).alias("gap_rows"),
-        *[F.sum(f).alias(f"m{i}") for i, f in enumerate(flags)])
+    keys = row_identity(df, columns)
+    flags = [_flag(missing_in(df, c)).cast("long") for c in columns]
+    words = [flags[i:i + _WORD] for i in range(0, len(flags), _WORD)]
+    masks = [sum_all([F.shiftleft(f, bit) for bit, f in enumerate(word)]).alias(f"gaps_{w}")
+             for w, word in enumerate(words)]
+    per_row = df.select(*keys, *masks)
+    per_digest = per_row.groupBy(*per_row.columns).agg(F.count("*").alias("n"))
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    any_gap = sum_all([(F.col(f"gaps_{w}") != 0).cast("int") for w in range(len(words))]) > 0
     total = per_digest.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        rows_where(F.lit(True)).alias("n"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies"),
-        F.coalesce(F.sum("gap_rows"), F.lit(0)).alias("gap_rows"),
-        *[F.coalesce(F.sum(f"m{i}"), F.lit(0)).alias(f"m{i}") for i in range(len(columns))])
+        rows_where(any_gap).alias("gap_rows"),
+        *[rows_where(F.getbit(f"gaps_{i // _WORD}", F.lit(i % _WORD)) == 1).alias(f"m{i}") for i in range(len(columns))])
     width = F.lit(len(columns)).cast("long")
     gap_columns = sum_all([(F.col(f"m{i}") > 0).cast("long") for i in range(len(columns))])
     return wide_to_rows(total, [
@@ -51,7 +60,7 @@ def overview(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
 def missing_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """``ordinal, variable, missing_count, rows`` from a single pass without a row shuffle."""
     totals = df.agg(F.count("*").alias("rows"),
-                    *[F.count_if(is_missing(F.col(c))).alias(f"m{i}") for i, c in enumerate(columns)])
+                    *[F.count_if(missing_in(df, c)).alias(f"m{i}") for i, c in enumerate(columns)])
     return wide_to_rows(
         totals,
         [[F.lit(i), F.lit(c), F.col(f"m{i}"), F.col("rows")] for i, c in enumerate(columns)],
@@ -80,7 +89,7 @@ def missing_summary(df: DataFrame) -> DataFrame:
 
 def missingness_by_row(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """``missing_values_per_row, row_count``; at most one group per column count."""
-    per_row = sum_all([_flag(is_missing(F.col(c))) for c in cfg.data_columns(df.columns)])
+    per_row = sum_all([_flag(missing_in(df, c)) for c in cfg.data_columns(df.columns)])
     return (df.groupBy(per_row.alias("missing_values_per_row")).agg(F.count("*").alias("row_count"))
             .orderBy(F.desc("missing_values_per_row")))
 

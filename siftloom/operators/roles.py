@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Name patterns per role, matched on lower-cased names in column order.
 STRICT_PATTERNS = {
@@ -66,6 +66,12 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
+def missing_in(df: DataFrame, column: str) -> Column:
+    """NULL, or the empty string where the column is text; numbers are not rendered to find out."""
+    c = F.col(column)
+    return c.isNull() | (c == "") if isinstance(df.schema[column].dataType, T.StringType) else c.isNull()
+
+
 def numeric_like_columns(df: DataFrame) -> list[str]:
     """Numeric columns, then columns with a number-like name, each once."""
     named = [c for c in df.columns if re.search(NUMERIC_NAMES, c.lower())]

@@ -10,7 +10,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from ..functions.text import row_digest
+
+# Up to this many fixed-width columns take part in a row's identity as they are.
+PLAIN_KEYS = 16
 
 # A hot-key list has at most this many rows, so it can always be broadcast.
 HOT_KEYS = 1_000
@@ -35,6 +40,19 @@ _COARSE = float(1 << 8)
 _FINE = float(1 << 24)
 
 
+def row_identity(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Grouping columns that are equal exactly for equal rows.
+
+    A few numbers and times stand for themselves; everything else goes into one digest.
+    """
+    fixed = [c for c in columns if isinstance(df.schema[c].dataType, (T.NumericType, T.DatetimeType, T.BooleanType))]
+    if len(fixed) > PLAIN_KEYS:
+        fixed = []
+    rest = [c for c in columns if c not in fixed]
+    digest = [row_digest(rest).alias("__digest")] if rest else []
+    return [F.col(c).alias(f"__id_{i}") for i, c in enumerate(fixed)] + digest
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """For every key the whole row with the smallest ``order``.
 

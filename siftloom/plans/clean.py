@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import cleaning as C
-from ..operators.profile import distribution, missing_summary
+from ..operators.profile import distribution, missing_summary, missingness_by_variable
+from ..operators.ranges import range_checks
 from ..operators.roles import Roles, detect_roles, priority_first
 from ..operators.scale import wide_to_rows
 from ..operators.sizes import SIZE_RULES, SizeRule
@@ -33,6 +34,15 @@ class Cleaned:
         rows = [(e.column, e.action, e.reason) for e in self.log]
         return self.table.sparkSession.createDataFrame(rows, "column string, action string, reason string")
 
+    def statistics(self, cfg: Settings = DEFAULT) -> dict[str, DataFrame]:
+        """The summaries, and missing shares and numeric ranges of the cleaned table.
+
+        These read the table several times: write it first and pass the stored copy on.
+        """
+        numbers = [c for c in ("price", "size_count", "images_n") if c in self.table.columns]
+        return {**self.summaries(), "missingness": missingness_by_variable(self.table, cfg),
+                "ranges": range_checks(self.table, cfg, numbers)}
+
     def summaries(self) -> dict[str, DataFrame]:
         tables = {"missing_summary": missing_summary(self.table)}
         for column in ("size_system", "price_flag"):

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import parse_timestamp
 from ..functions.numbers import pct, pct_fixed
-from ..functions.text import has_edge_space, has_line_break, is_missing, is_present, needs_care, sanitise
+from ..functions.text import has_edge_space, has_line_break, is_present, needs_care, sanitise
 from ..operators import checks, duplicates, ranges
-from ..operators.roles import Roles, detect_roles, text_columns
+from ..operators.roles import Roles, detect_roles, missing_in, text_columns
 from ..operators.scale import sum_all
 from ..settings import DEFAULT, Settings
 
@@ -27,7 +27,7 @@ def _row_local_facts(df: DataFrame, roles: Roles, cfg: Settings) -> DataFrame:
     """One row with everything that needs no distinct values: a single pass over the table."""
     columns = cfg.data_columns(df.columns)
     texts = text_columns(df)
-    gaps = {c: F.coalesce(is_missing(F.col(c)), F.lit(False)) for c in columns}
+    gaps = {c: F.coalesce(missing_in(df, c), F.lit(False)) for c in columns}
     prices = checks.price_discount_conditions(roles)
 
     def text_hits(check) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from siftloom import CODED, clean, clean_rows, detect_roles
+from siftloom import CODED, Cleaned, clean, clean_rows, detect_roles
 from siftloom.operators import extensions
 from siftloom.plans.clean import PRIORITY, run_counters
 from siftloom.sources.identity import pin
@@ -36,6 +36,13 @@ def test_cleaning_again_changes_nothing(catalog):
     assert rows(again.select(*same)) == rows(once.select(*same))
 
 
+def test_statistics_of_the_stored_table(catalog):
+    done = clean(catalog)
+    stored = Cleaned(pin(done.table), done.log)
+    ranges = {r.variable: r for r in stored.statistics()["ranges"].collect()}
+    assert set(ranges) == {"price", "size_count", "images_n"} and ranges["images_n"].max == 2.0
+
+
 def test_missing_columns_are_skipped(spark):
     df = spark.createDataFrame([(1, "x")], "row_number long, other string")
     done = clean(df)

@@ -150,3 +150,17 @@ def test_alerts_on_a_clean_table(spark):
     fired = {r.rule: r.severity for r in alerts(df.withColumn("images", F.lit("['https://x/a']"))).collect()}
     assert fired == {"image_duplicates": "medium", "high_missing_columns": "low", "parse_failures": "low",
                      "no_price_or_discount_issue": "low", "url_issues": "low", "no_timestamp_column": "medium"}
+
+
+def test_overview_of_a_wide_table(spark):
+    names = [f"c{i}" for i in range(70)]
+    full, gap = ["x"] * 70, ["x"] * 65 + [None, "", "x", "x", "x"]
+    df = spark.createDataFrame([full, full, gap], names)
+    got = {r.metric: r.value for r in profile.overview(df).collect()}
+    assert list(got.values()) == [3, 70, 210, 1, 1, 2]
+
+
+def test_rows_with_numbers_are_compared_by_value(spark):
+    df = spark.createDataFrame([(1, 0.0, None, "a"), (2, -0.0, None, "a"), (3, 0.0, 0, "a"), (4, 0.0, None, None)],
+                               "row_number long, v double, n int, s string")
+    assert duplicates.exact_duplicate_count(df).first().copies == 1

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftloom.llm.store import map_arrow
 from siftloom.llm.words import ALNUM, bits_for, blocks, find_words
 
 WINDOW = 10
@@ -223,7 +224,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(counts), spans, _joined(rows.column(3), matches)], ["doc", "n_words", "spans", "matches"])
 
-        out = out.mapInArrow(run, out.schema)
+        out = map_arrow(out, run, out.schema)
     return out
 
 

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftloom.llm.decontaminate import contamination
+from siftloom.llm.line_chunks import without_repeated_chunks
+from siftloom.llm.mixture import mix
 from siftloom.llm.simhash_trie import simhash_groups
+from siftloom.llm.toxicity import labelled_rows, score, train, with_threshold
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,9 +34,40 @@ def op1_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
                 F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _held_out(folds: int, fold: int, doc_id: str = "doc_id") -> Column:
+    """Rows kept from learning; a missing id has no fold and is learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))
+
+
+def op2_cnn_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    net = train(labelled_rows(docs, _table(spark, folder, "labels")).where(~_held_out(5, 0)))
+    return with_threshold(score(docs, net), net).select(
+        "doc.doc_id", _held_out(5, 0, "doc.doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "threshold", "toxic")
+
+
+#: Example mixture: four domains by source, English first, sources alike, every document twice at most.
+MIXTURE_WEIGHTS = {"domain": {"domain0": 4.0, "domain1": 2.0}, "lang": {"en": 5.0, "fr": 2.0, "de": 2.0}}
+
+
+def mixture_domain() -> Column:
+    return F.concat(F.lit("domain"), (F.crc32(F.coalesce(F.col("source").cast("string"), F.lit(""))) % 4).cast("string"))
+
+
+def op3_budget_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return mix(docs, mixture_domain(), share=0.6, epochs=2, weights=MIXTURE_WEIGHTS, seed=13) \
+        .select("doc.doc_id", "doc.lang", "doc.source", "epoch", "tokens")
+
+
+def op6_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeated_chunks(_documents(spark, folder)).select("doc.doc_id", "text", "removed_lines", "removed_words")
+
+
 def op8_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(_documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_decontamination, op8_simhash_trie)}
+    return {f.__name__: f for f in (op1_suffix_decontamination, op2_cnn_toxicity, op3_budget_mixing, op6_line_chunks, op8_simhash_trie)}

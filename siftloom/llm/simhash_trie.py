@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftloom.llm.components import components
-from siftloom.llm.store import small_side, stored
+from siftloom.llm.store import map_arrow, small_side, stored
 from siftloom.llm.words import SPACED_LOWER, blocks, find_words
 
 SHINGLE = 4
@@ -79,9 +79,8 @@ def fingerprints(documents: DataFrame, id_column: str = "doc_id", text: str = "t
             fp = fingerprints_of(data, offsets).view(np.int64)
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(fp)], ["doc_id", "row", "fp"])
 
-    return documents.select(F.col(id_column).alias("doc_id"), row.alias("row"), F.col(text).alias("text")) \
-        .mapInArrow(run, documents.select(F.col(id_column).alias("doc_id"), F.lit(0).cast("bigint").alias("row"),
-                                          F.lit(0).cast("bigint").alias("fp")).schema)
+    rows = documents.select(F.col(id_column).alias("doc_id"), row.alias("row"), F.col(text).alias("text"))
+    return map_arrow(rows, run, rows.select("doc_id", F.lit(0).cast("bigint").alias("row"), F.lit(0).cast("bigint").alias("fp")).schema)
 
 
 def _columns(df: DataFrame) -> list[Column]:
@@ -241,8 +240,8 @@ def near_links(prints: DataFrame, part: int = PART) -> DataFrame:
                         lambda other: F.struct(F.least(own, other).alias("a"), F.greatest(own, other).alias("b")))
     tasks = leaves.select("order", "node", "leaf", F.inline(pairs))
     keys = ["order", "node", "a", "b"]
-    return tasks.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).select(*keys, "leaf") \
-        .mapInArrow(_join_run, "u bigint, v bigint")
+    dealt = tasks.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).select(*keys, "leaf")
+    return map_arrow(dealt, _join_run, "u bigint, v bigint")
 
 
 def near_components(prints: DataFrame, part: int = PART) -> DataFrame:

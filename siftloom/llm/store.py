@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +38,20 @@ def stored(df: DataFrame) -> DataFrame:
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a stored table for broadcast if it is counted to be small; larger ones are joined by shuffling."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with this package sent along, so that executors need not have it installed."""
+    context = df.sparkSession.sparkContext
+    if getattr(context, "_siftloom_sent", None) is None:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="siftloom-"), "siftloom.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+        context.addPyFile(path)
+        context._siftloom_sent = path
+    return df.mapInArrow(function, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftloom.llm.store import map_arrow, small_side, stored
-from siftloom.llm.words import SPACED, blocks, find_words
+from siftloom.llm.words import SPACED, blocks, find_words, lines_of
 
 #: Lines that the rolling hash covers, and one in how many of its values ends a chunk.
 ROLLING, DIVISOR = 2, 2
@@ -50,18 +50,8 @@ class Chunks:
     """Chunks of the documents of a block, as ranges of lines."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        breaks = np.flatnonzero(data == 10)
-        lines = np.searchsorted(breaks, offsets[1:]) - np.searchsorted(breaks, offsets[:-1]) + 1
-        docs = np.repeat(np.arange(len(lines)), lines)
-        self.first = np.cumsum(lines) - lines
+        self.first, docs, self.start, self.end = lines_of(data, offsets)
         n = len(docs)
-        self.start, self.end = np.empty(n, np.int64), np.empty(n, np.int64)
-        head = np.zeros(n, bool)
-        head[self.first] = True
-        self.start[head], self.start[~head] = offsets[:-1], breaks + 1
-        tail = np.zeros(n, bool)
-        tail[self.first + lines - 1] = True
-        self.end[tail], self.end[~tail] = offsets[1:], breaks
         words = find_words(data, offsets, SPACED).starts
         self.words = np.searchsorted(words, self.end) - np.searchsorted(words, self.start)
         self.raw, h = data.tobytes(), xxhash.xxh64_intdigest

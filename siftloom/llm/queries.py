@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftloom.llm import line_crf, ppm
 from siftloom.llm.decontaminate import contamination
 from siftloom.llm.line_chunks import without_repeated_chunks
 from siftloom.llm.mixture import mix
@@ -61,13 +62,27 @@ def op3_budget_mixing(spark: SparkSession, folder: str) -> DataFrame:
         .select("doc.doc_id", "doc.lang", "doc.source", "epoch", "tokens")
 
 
+def op5_crf_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    field = line_crf.train(line_crf.labelled_rows(docs, _table(spark, folder, "labels")))
+    return line_crf.judge(docs, field).select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                              "base_failed", "kept", "content_share")
+
+
 def op6_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeated_chunks(_documents(spark, folder)).select("doc.doc_id", "text", "removed_lines", "removed_words")
 
 
+def op7_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
+    trees = ppm.train(_table(spark, folder, "documents").where(~_held_out(4, 2)).select("text", "lang"))
+    return ppm.predict(_documents(spark, folder), trees).select(
+        "doc.doc_id", _held_out(4, 2, "doc.doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op8_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(_documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_decontamination, op2_cnn_toxicity, op3_budget_mixing, op6_line_chunks, op8_simhash_trie)}
+    return {f.__name__: f for f in (op1_suffix_decontamination, op2_cnn_toxicity, op3_budget_mixing, op5_crf_lines,
+                                    op6_line_chunks, op7_ppm_language, op8_simhash_trie)}

@@ -112,3 +112,31 @@ def find_words(data: np.ndarray, offsets: np.ndarray, kind: tuple[np.ndarray, np
 def bits_for(n: int) -> int:
     """Bits that hold the numbers 0 .. n - 1, one at least."""
     return max(1, int(n - 1).bit_length())
+
+
+def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The \\n-separated lines of the rows: first line of each row; row, start and end of each line. Every row has one."""
+    breaks = np.flatnonzero(data == 10)
+    counts = np.searchsorted(breaks, offsets[1:]) - np.searchsorted(breaks, offsets[:-1]) + 1
+    first = np.cumsum(counts) - counts
+    rows = np.repeat(np.arange(len(counts)), counts)
+    start, end = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+    head, tail = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
+    head[first], tail[first + counts - 1] = True, True
+    start[head], start[~head] = offsets[:-1], breaks + 1
+    end[tail], end[~tail] = offsets[1:], breaks
+    return first, rows, start, end
+
+
+def numbered_lines(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each line; equal numbers mean equal bytes. The lines cover all bytes but the line ends."""
+    offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+    packed = np.ascontiguousarray(data[data != 10])
+    array = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+    return array.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def within(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How many flags are set in each range."""
+    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+    return total[end] - total[start]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -26,5 +28,77 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
 
+WORDS = r"[^\x20\x09-\x0D]+"
+
+# The weights are those of the query; each level shares its budget as `fill` does.
+OP3 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, 'domain' || crc AS domain, text,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS BIGINT) AS tokens
+  FROM (SELECT *, CASE coalesce(source, '') {{crc}} END AS crc FROM documents)),
+leaves AS (
+  SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens, 2.0 * sum(tokens) AS cap,
+         CASE domain WHEN 'domain0' THEN 4.0 WHEN 'domain1' THEN 2.0 ELSE 1.0 END AS dw,
+         CASE lang WHEN 'en' THEN 5.0 WHEN 'fr' THEN 2.0 WHEN 'de' THEN 2.0 ELSE 1.0 END AS lw, CAST(1.0 AS DOUBLE) AS sw
+  FROM docs GROUP BY ALL),
+d1 AS (SELECT domain, any_value(dw) AS w, CAST(sum(cap) AS DOUBLE) AS cap, (SELECT floor(0.6 * sum(tokens)) FROM leaves) AS b FROM leaves GROUP BY domain),
+d2 AS (SELECT *, (b - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM d1 WINDOW o AS (ORDER BY cap / w, domain)),
+d3 AS (SELECT domain, least(cap, w * max(level) OVER ()) AS share FROM d2),
+l1 AS (SELECT domain, lang, any_value(lw) AS w, CAST(sum(cap) AS DOUBLE) AS cap FROM leaves GROUP BY domain, lang),
+l2 AS (SELECT l1.*, (share - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+       FROM l1 JOIN d3 USING (domain) WINDOW o AS (PARTITION BY domain ORDER BY cap / w, domain, lang)),
+l3 AS (SELECT domain, lang, least(cap, w * max(level) OVER (PARTITION BY domain)) AS share FROM l2),
+s2 AS (SELECT s.*, (share - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(sw) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+       FROM leaves s JOIN l3 ON s.domain = l3.domain AND s.lang IS NOT DISTINCT FROM l3.lang
+       WINDOW o AS (PARTITION BY s.domain, s.lang ORDER BY cap / sw, s.domain, s.lang, source)),
+s3 AS (SELECT domain, lang, source, tokens AS leaf_tokens,
+              CAST(floor(least(cap, sw * max(level) OVER (PARTITION BY domain, lang)) + 1e-6) AS BIGINT) AS quota FROM s2),
+plan AS (SELECT *, CASE WHEN leaf_tokens > 0 THEN quota // leaf_tokens ELSE 0 END AS whole FROM s3),
+keyed AS (SELECT d.*, whole, quota - whole * leaf_tokens AS rest,
+                 md5('13:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')) AS key
+          FROM docs d JOIN plan p ON d.domain = p.domain AND d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source),
+upto AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key RANGE UNBOUNDED PRECEDING) AS upto FROM keyed),
+copies AS (SELECT *, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS n FROM upto)
+SELECT doc_id, lang, source, CAST(unnest(range(n)) AS INTEGER) AS epoch, tokens FROM copies
+"""
+
+
+def _crc_cases(names: list[str]) -> str:
+    """CRC-32 modulo 4 of the sources, which DuckDB has no function for."""
+    return " ".join(f"WHEN '{n}' THEN '{zlib.crc32(n.encode()) % 4}'" for n in names)
+
+
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+g AS (SELECT sha, max(page_id) AS holder FROM p GROUP BY sha)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST(((16 * (instr('0123456789abcdef', substr(sha || '0', CAST(5 * i // 4 AS BIGINT) + 1, 1)) - 1)
+                    + instr('0123456789abcdef', substr(sha || '0', CAST(5 * i // 4 AS BIGINT) + 2, 1)) - 1)
+                   // CAST(2 ** (3 - (5 * i) % 4) AS BIGINT)) % 32 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM holder THEN NULL ELSE holder END AS refers_to
+FROM p JOIN g USING (sha)
+"""
+
+OP10 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(24 + length(role) + 2 * (length(role) - length(replace(replace(role, '%', ''), chr(10), '')))
+                + len(regexp_extract_all(role, '<\\*\|')) + length(text) + len(regexp_extract_all(text, '<\\*\|'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_decontamination": OP1}
+    return {"op1_suffix_decontamination": OP1, "op3_budget_mixing": OP3.replace("{crc}", _crc_cases([f"src{i}" for i in range(100)])),
+            "op9_warc_normalise": OP9, "op10_chat_fsm": OP10}

@@ -168,7 +168,7 @@ def without_repeated_chunks(documents: DataFrame, min_words: int = MIN_WORDS) ->
     passages stay as they are; a text that was one repeated passage becomes empty. An empty table gives no rows.
     """
     ranges = stored(repeated_ranges(documents))
-    side = small_side(ranges)
+    side = small_side(ranges, cells=F.size("ranges") + 1)
     docs = documents.select(F.struct("*").alias("doc"), F.col("doc_id").alias("key"), F.xxhash64("text").alias("hash"), F.col("text").alias("text"))
     joined = docs.join(side, docs["key"].eqNullSafe(side["id"]) & (docs["hash"] == side["row"]), "left").select("doc", "text", "ranges")
 

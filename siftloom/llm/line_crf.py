@@ -14,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftloom.llm.samples import Sample, labelled_sample
 from siftloom.llm.store import map_arrow
 from siftloom.llm.words import SPACED, blocks, find_words, lines_of, numbered_lines, within
 
-#: Documents used for fitting, at most so many of each quality, none with more characters than this.
+#: Documents used for fitting, about so many of each quality, none with more characters than this.
 SAMPLE, SAMPLE_CHARS = 1500, 20_000
 ROUNDS, RATE, RIDGE = 150, 0.1, 1e-3
 CONTENT_SHARE = 0.5
@@ -156,16 +157,12 @@ class Field:
         return d_weights, d_moves - both.sum(axis=0)
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Fit on columns ``text`` and ``label`` (1 good, 0 bad); None without rows of both labels."""
-    data = []
-    rows = labelled.where("text is not null").where(F.length("text") <= SAMPLE_CHARS)
-    for label in (0, 1):
-        data += rows.where(F.col("label") == label).orderBy(F.xxhash64("text"), "text").limit(sample).select("text", "label").collect()
-    label = np.array([r["label"] for r in data])
-    if len(set(label.tolist())) < 2:
+def train(sample: Sample) -> Field | None:
+    """Fit on a sample with labels 1 (good) and 0 (bad); None without rows of both."""
+    label = np.array(sample.labels)
+    if len(set(sample.labels)) < 2:
         return None
-    raw = [r["text"].encode() for r in data]
+    raw = [t.encode() for t in sample.texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     lines = Lines(np.frombuffer(b"".join(raw), np.uint8), offsets)
     counts = np.bincount(lines.row, minlength=len(raw))
@@ -213,7 +210,6 @@ def judge(documents: DataFrame, field: Field | None, text: str = "text") -> Data
     return map_arrow(rows, run, shape)
 
 
-def labelled_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with ``labels.quality``; each id's label counts once (the larger, if they differ)."""
-    label = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
-    return documents.select("doc_id", "text").join(label, "doc_id")
+def labelled(documents: DataFrame, labels: DataFrame) -> Sample:
+    """The sample for ``labels.quality``."""
+    return labelled_sample(documents, labels, "quality", SAMPLE, SAMPLE_CHARS)

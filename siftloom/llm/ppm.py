@@ -12,14 +12,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from siftloom.llm.samples import text_sample
 from siftloom.llm.store import map_arrow
 from siftloom.llm.words import blocks
 
 ORDER = 3
-#: Texts of each language used for fitting, at most, and the longest one used. All texts are scored whole.
+#: Texts of each language used for fitting, about so many, and the longest one used. All texts are scored whole.
 SAMPLE, SAMPLE_CHARS = 600, 20_000
 BLOCK, CELLS = 1_000_000, 4_000_000
 UNKNOWN = "und"
@@ -103,15 +103,12 @@ class Trees:
 
 
 def train(texts: DataFrame, sample: int = SAMPLE) -> Trees | None:
-    """Fit on columns ``text`` and ``lang``, at most ``sample`` texts of a language in the order of a hash; rows without
+    """Fit on columns ``text`` and ``lang``, about ``sample`` distinct texts of a language chosen by a hash; rows without
     either, and empty texts, are left out. None if nothing is left."""
-    rows = texts.where("text is not null and text != '' and lang is not null").where(F.length("text") <= SAMPLE_CHARS) \
-        .select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("hash"))
-    # Only hashes and ids are ranked; the rank filter keeps a bounded number of rows in each task.
-    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "text"))).where(F.col("n") <= sample)
+    chosen = text_sample(texts.where("text != ''"), sample, SAMPLE_CHARS, "lang")
     found: dict[str, list[str]] = {}
-    for r in ranked.select("lang", "text").collect():
-        found.setdefault(r["lang"], []).append(r["text"])
+    for lang, text in zip(chosen.labels, chosen.texts):
+        found.setdefault(lang, []).append(text)
     return Trees(found) if found else None
 
 

@@ -7,11 +7,11 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a stored table that may be broadcast; each has a few numbers only, so some 30 MB at most.
-BROADCAST_ROWS = 500_000
+#: Cells (rows of a few numbers, or list entries) of a stored table that may be broadcast: some 20 MB at most.
+BROADCAST_ROWS = 300_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,9 +35,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a stored table for broadcast if it is counted to be small; larger ones are joined by shuffling."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, cells: Column | None = None) -> DataFrame:
+    """Mark a stored table for broadcast if it is counted to be small; larger ones are joined by shuffling.
+
+    ``cells`` is what a row counts for, where rows hold lists.
+    """
+    size = df.agg(F.coalesce(F.sum(F.lit(1) if cells is None else cells), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= rows else df
 
 
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:

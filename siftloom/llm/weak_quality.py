@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftloom.llm.line_crf import SYMBOLS, Lines, _is
+from siftloom.llm.samples import text_sample
 from siftloom.llm.store import map_arrow
 from siftloom.llm.words import SPACED, blocks, find_words, within
 
@@ -24,7 +25,7 @@ from siftloom.llm.words import SPACED, blocks, find_words, within
 LABELLERS = ("symbols", "repeats", "word_length", "sentences", "capitals", "length", "bars", "same_again", "exclamations",
              "odd_words", "letters", "variety")
 BAD, GOOD, NOTHING = 0, 1, 2
-#: Texts the scorer is fitted to, at most, and the longest one used. All texts vote and are scored whole.
+#: Texts the scorer is fitted to, about so many, and the longest one used. All texts vote and are scored whole.
 SAMPLE, SAMPLE_CHARS = 6000, 20_000
 BUCKETS, EPOCHS, RATE = 1 << 16, 6, 0.5
 ROUNDS, PRIOR = 200, 1.0
@@ -177,14 +178,13 @@ def score(documents: DataFrame, sample: int = SAMPLE, text: str = "text") -> Dat
     # At most 3 ^ 12 patterns, whatever the number of documents.
     patterns = {r[0]: r[1] for r in map_arrow(texts, count, "votes string, n bigint").groupBy("votes").agg(F.sum("n")).collect()}
     posterior = pattern_posterior(patterns)
-    chosen = texts.where("text is not null").where(F.length("text") <= SAMPLE_CHARS) \
-        .orderBy(F.xxhash64("text", F.lit(3)), "text").limit(sample).collect()
+    chosen = text_sample(texts, sample, SAMPLE_CHARS).texts
     weights = np.zeros(BUCKETS + 1)
     if chosen:
-        raw = [r["text"].encode() for r in chosen]
+        raw = [t.encode() for t in chosen]
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         marks = _digits(votes(np.frombuffer(b"".join(raw), np.uint8), offsets))
-        weights = fit_scorer([r["text"] for r in chosen], np.array([posterior[str(p)] for p in marks]))
+        weights = fit_scorer(chosen, np.array([posterior[str(p)] for p in marks]))
     sent = context.broadcast((posterior, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

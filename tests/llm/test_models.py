@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from siftloom.llm import line_crf, ppm, toxicity, weak_quality
 from siftloom.llm.queries import op2_cnn_toxicity, op4_weak_quality, op5_crf_lines, op7_ppm_language
+from siftloom.llm.samples import Sample
 
 from . import helpers
 
@@ -28,8 +29,8 @@ def auc(score, label):
 def test_toxicity_learns_words_and_scores_whole_texts(spark):
     clean = [helpers.prose(k, 60) for k in range(150)]
     toxic = [helpers.prose(1000 + k, 60).replace(" ", f" vile{'abcdefgh'[k % 8]} ", 3 + k % 2) for k in range(120)]
-    rows = [(t, 0, "en") for t in clean] + [(t, 1, "fr") for t in toxic] + [(None, 1, None), ("x", None, "en")]
-    net = toxicity.train(spark.createDataFrame(rows, "text string, label int, lang string"))
+    rows = [(t, 0, "en") for t in clean] + [(t, 1, "fr") for t in toxic] + [("", 1, None), ("x", 0, None)]
+    net = toxicity.train(Sample([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], {0: 1500, 1: 120}))
     new = [helpers.prose(5000 + k, 60) for k in range(60)]
     bad = [t.replace("\n", " vilez \n vileq ", 2) for t in new]
     p = net.scores(*block(new + bad))
@@ -51,7 +52,7 @@ def test_toxicity_learns_words_and_scores_whole_texts(spark):
 def test_toxicity_of_awkward_rows(spark):
     docs = helpers.documents(spark, helpers.awkward())
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(20)] + [(None, 1, 1), (1, 1, None)], "doc_id long, quality int, toxic int")
-    net = toxicity.train(toxicity.labelled_rows(docs, labels))
+    net = toxicity.train(toxicity.labelled(docs, labels))
     out = toxicity.with_threshold(toxicity.score(docs, net), net).collect()
     assert len(out) == len(helpers.awkward()) and all(0 <= r.score <= 1 for r in out)
     by = {}

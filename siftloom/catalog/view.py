@@ -24,7 +24,7 @@ SELECT pk * 3 + scrape + 1 AS row_number,
        WHEN 3 THEN repeat(p_name || '.', 40) ELSE p_name END AS name,
   CASE pk % 40 WHEN 0 THEN '' WHEN 1 THEN 'undefined' WHEN 2 THEN '$$-5.00' WHEN 3 THEN '$$0.00'
        WHEN 4 THEN '$$12,500.50' WHEN 5 THEN '$$5.00-$$7.00' WHEN 6 THEN NULL
-       ELSE '$$' || CAST(p_retailprice AS STRING) END AS price,
+       WHEN 7 THEN '-$$5.00' WHEN 8 THEN '($$6.50)' ELSE '$$' || CAST(p_retailprice AS STRING) END AS price,
   CASE pk % 20 WHEN 0 THEN '150%' WHEN 1 THEN '-10%' WHEN 2 THEN 'n/a' WHEN 3 THEN 'sale'
        ELSE CAST(pk % 60 AS STRING) || '%' END AS discount,
   CASE pk % 7 WHEN 0 THEN p_brand || '?' || p_type WHEN 1 THEN '' WHEN 2 THEN p_brand || '�' || p_type
@@ -32,6 +32,7 @@ SELECT pk * 3 + scrape + 1 AS row_number,
   CASE pk % 9 WHEN 0 THEN '' WHEN 1 THEN NULL
        WHEN 2 THEN '[{' || chr(39) || 'Material' || chr(39) || ': ' || chr(39) || p_type || chr(39) || '}]'
        WHEN 3 THEN '[{' || chr(39) || 'Color' || chr(39) || ':' || chr(39) || split_part(p_name, ' ', 1) || chr(39) || '}]'
+       WHEN 4 THEN '[{' || chr(39) || 'Color' || chr(39) || ': ' || chr(39) || split_part(p_name, ' ', 1)
        ELSE '[{' || chr(39) || 'Color' || chr(39) || ': ' || chr(39) || split_part(p_name, ' ', 1) || chr(39) || '}, {'
             || chr(39) || 'Material' || chr(39) || ': ' || chr(39) || p_type || chr(39) || '}, {'
             || chr(39) || 'Style' || chr(39) || ' :  ' || chr(39) || ' Casual  fit ' || chr(39) || '}]' END AS description,
@@ -44,7 +45,7 @@ SELECT pk * 3 + scrape + 1 AS row_number,
        WHEN 22 THEN 'Tall M,Tall L' WHEN 23 THEN '2(xs),4(s)' WHEN 24 THEN '12M,18M' WHEN 25 THEN 'one-size,S'
        ELSE 'EUR38,S,M' END AS size,
   CASE pk % 5 WHEN 0 THEN '[' || chr(39) || 'https://img.example.com/a.jpg' || chr(39) || ', ' || chr(39) || 'https://img.example.com/a.jpg' || chr(39) || ']'
-       WHEN 1 THEN '[' || chr(39) || 'https://img.example.com/a.jpg' || chr(39) || ', ' || chr(39) || 'https://img.example.com/' || CAST(pk AS STRING) || '.jpg' || chr(39) || ']'
+       WHEN 1 THEN '[' || chr(39) || 'https://img.example.com/a.jpg' || chr(39) || ', ' || chr(39) || 'https://img.example.com/2024/0' || CAST(pk % 3 + 1 AS STRING) || '/05/' || CAST(pk AS STRING) || '.jpg' || chr(39) || ']'
        WHEN 2 THEN '' WHEN 3 THEN '[' || chr(39) || 'http://img.example.com/b.jpg' || chr(39) || ']' ELSE NULL END AS images,
   CASE WHEN scrape > 0 THEN '2024-03-01 08:00:00' WHEN pk % 6 = 0 THEN '2024-01-05 10:20:30' WHEN pk % 6 = 1 THEN '2024/01/06 10:20'
        WHEN pk % 6 = 2 THEN '01/25/2024' WHEN pk % 6 = 3 THEN '25-01-2024 09:00:00' WHEN pk % 6 = 4 THEN 'yesterday' ELSE '' END AS scraped_at

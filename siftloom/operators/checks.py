@@ -145,7 +145,7 @@ def issue_flags(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT) -> DataFra
     return with_issue_flags(df, roles).select(cfg.row_id, *flag_columns(roles), "issue_count")
 
 
-def problem_rows(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT) -> DataFrame:
-    """The first rows, by row id, with at least one flag."""
+def problem_rows(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT, n: int | None = None) -> DataFrame:
+    """The rows with at least one flag; with ``n`` the first ``n`` by row id, in that order."""
     flagged = with_issue_flags(df, roles).where(F.col("issue_count") > 0).select(*df.columns)
-    return first_rows(flagged, cfg.problem_rows, cfg.row_id)
+    return flagged if n is None else first_rows(flagged, n, cfg.row_id)

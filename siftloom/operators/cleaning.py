@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lists import distinct_urls
 from ..functions.numbers import digits_only_number, parse_number
-from ..functions.text import REPLACEMENT_CHAR, blank_to_null, first_match, fold_latin, trim_all
+from ..functions.text import REPLACEMENT_CHAR, blank_to_null, first_match, fold_latin, named, trim_all
 from ..settings import DEFAULT, Settings
 from .duplicates import keep_first_per_key
 from .roles import replace_column
@@ -17,7 +17,7 @@ from .sizes import SIZE_RULES, SizeRule, add_size_columns
 # The patterns of the cleaning rules.
 SKU_PREFIX = r"^SKU:\s*"
 BRAND_HEAD = f"^[^?{REPLACEMENT_CHAR}]+"
-COLOR = r"'Color':\s*'([^']+)'"
+COLOR = r"'Color':\s*'([^']+)"
 COLOR_ONE_SPACE = r"'Color':\s'([^']+)"
 
 
@@ -44,9 +44,18 @@ def clean_sku(df: DataFrame, cfg: Settings = DEFAULT, column: str = "sku") -> St
     return keep_first_per_key(clean_sku_text(df, column), column, cfg), []
 
 
+# A minus before the currency mark, or the whole amount in brackets.
+MINUS_FIRST = r"^\s*-\s*[^0-9.,()\-]{1,4}\s*[0-9.]"
+IN_BRACKETS = r"^\s*\(\s*[^0-9.,()\-]{0,4}\s*[0-9.,]+\s*\)\s*$"
+
+
 def price_number(c: Column, cfg: Settings = DEFAULT) -> Column:
-    """Price as a number; as coded the sign is lost and ``$5.00-$7.00`` does not parse."""
-    return digits_only_number(c) if cfg.as_coded else parse_number(c)
+    """Price as a number; ``-$5.00`` and ``($5.00)`` are negative. As coded the sign is lost and ``$5.00-$7.00`` does
+    not parse."""
+    if cfg.as_coded:
+        return digits_only_number(c)
+    number = parse_number(c)
+    return F.when(c.rlike(MINUS_FIRST) | c.rlike(IN_BRACKETS), -F.abs(number)).otherwise(number)
 
 
 def price_flag(price: Column, cfg: Settings = DEFAULT) -> Column:
@@ -55,15 +64,22 @@ def price_flag(price: Column, cfg: Settings = DEFAULT) -> Column:
 
 
 def clean_price(df: DataFrame, column: str | None, cfg: Settings = DEFAULT) -> Step:
-    """The price column becomes the number ``price``, with ``price_flag`` beside it."""
+    """The price column becomes the number ``price``, with ``price_flag`` beside it.
+
+    Another column that is called ``price`` stays as ``price_other``.
+    """
     if column is None or column not in df.columns:
         return df, []
-    number = df.withColumn("__price", price_number(F.col(column).cast("string"), cfg))
+    log = []
+    if column != "price" and "price" in df.columns:
+        df = df.withColumnRenamed("price", "price_other")
+        log.append(LogEntry("price", "renamed", f"kept as price_other, as {column} becomes the column price"))
+    number = df.withColumn("__price", price_number(named(column).cast("string"), cfg))
     flagged = number.withColumn("price_flag", price_flag(F.col("__price"), cfg))
-    named = replace_column(flagged, column, "__price")
+    priced = replace_column(flagged, column, "__price")
     if column != "price":
-        named = named.withColumnRenamed(column, "price")
-    return named, [LogEntry(column, "replaced", "text without currency marks, as a number; price_flag tells"
+        priced = priced.withColumnRenamed(column, "price")
+    return priced, [*log, LogEntry(column, "replaced", "text without currency marks, as a number; price_flag tells"
                                                 " missing, invalid and very high prices apart")]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lists import has_repeats, list_elements
 from ..functions.numbers import pct_text
-from ..functions.text import bounded_key, is_present, row_digest
+from ..functions.text import bounded_key, is_present, named, rendered, row_digest
 from ..settings import DEFAULT, Settings
 from .roles import Roles
 from .scale import first_per_key, first_selected_rows, long_form, row_identity, rows_with_listed_key, wide_to_rows
@@ -24,7 +24,7 @@ def key_duplicate_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     Counts per value are formed before the shuffle, so a value that fills a
     third of the column costs one row per task.
     """
-    tall = long_form(df, columns, [F.col(c).cast("string") for c in columns]).where(is_present(F.col("value")))
+    tall = long_form(df, columns, [rendered(df, c) for c in columns]).where(is_present(F.col("value")))
     per_value = tall.groupBy("variable", bounded_key(F.col("value")).alias("key")).agg(F.count("*").alias("n"))
     return per_value.groupBy("variable").agg(F.sum("n").alias("present"), F.sum(F.col("n") - 1).alias("copies"))
 
@@ -52,21 +52,25 @@ def duplicate_summary(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT) -> D
 
 
 def exact_duplicate_rows(df: DataFrame, cfg: Settings = DEFAULT, n: int | None = None) -> DataFrame:
-    """All copies of rows that occur more than once, the first ``n`` by row id."""
-    digests = df.select(cfg.row_id, row_digest(cfg.data_columns(df.columns)).alias("digest"))
-    return _repeated_rows(df, digests, "digest", cfg, n)
+    """All copies of rows that occur more than once; with ``n`` the first ``n`` by row id, in that order."""
+    return _repeated_rows(df, row_digest(df, cfg.data_columns(df.columns)), cfg, n)
 
 
 def repeated_key_rows(df: DataFrame, key: str, cfg: Settings = DEFAULT, n: int | None = None) -> DataFrame:
-    """All rows whose present ``key`` occurs more than once, the first ``n`` by row id."""
-    keys = df.where(is_present(F.col(key))).select(cfg.row_id, bounded_key(F.col(key).cast("string")).alias("key"))
-    return _repeated_rows(df, keys, "key", cfg, n)
+    """All rows whose present ``key`` occurs more than once; with ``n`` the first ``n`` by row id, in that order."""
+    present = F.when(is_present(named(key)), bounded_key(rendered(df, key)))
+    return _repeated_rows(df, present, cfg, n)
 
 
-def _repeated_rows(df: DataFrame, keyed: DataFrame, key: str, cfg: Settings, n: int | None) -> DataFrame:
-    repeated = keyed.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    selected = rows_with_listed_key(keyed, repeated, key, "n", cfg.row_id)
-    return first_selected_rows(df, selected, n or cfg.sample_rows, cfg.row_id)
+def _repeated_rows(df: DataFrame, key: Column, cfg: Settings, n: int | None) -> DataFrame:
+    """One aggregate over the keys and one semi-join. Rows without a key do not count as repeated."""
+    if n is not None:
+        keyed = df.select(cfg.row_id, key.alias("__key")).where(F.col("__key").isNotNull())
+    else:
+        keyed = df.withColumn("__key", key).where(F.col("__key").isNotNull())
+    repeated = keyed.select("__key").groupBy("__key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    selected = rows_with_listed_key(keyed, repeated, "__key", "n", cfg.row_id)
+    return selected.drop("__key") if n is None else first_selected_rows(df, selected, n, cfg.row_id)
 
 
 def repeats_element(c: Column) -> Column:
@@ -85,7 +89,9 @@ def image_dup_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def image_dup_summary(df: DataFrame, column: str = "images") -> DataFrame:
-    """``metric, value`` (texts): records with a repeated image URL, as number and share."""
+    """``metric, value`` (texts): records with a repeated image URL, as number and share; empty without the column."""
+    if column not in df.columns:
+        return df.sparkSession.createDataFrame([], "metric string, value string")
     return wide_to_rows(image_dup_counts(df, column), [
         [F.lit("Records with at least one duplicate image URL"), F.col("records").cast("string")],
         [F.lit("Pct of total records"), pct_text(F.col("records"), F.col("rows"))],
@@ -107,5 +113,5 @@ def drop_exact_duplicates(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """One row, the first, of every set of equal rows."""
     columns = df.columns
     data = [c for c in columns if c != cfg.row_id]
-    tagged = df.withColumn("__digest", row_digest(data))
+    tagged = df.withColumn("__digest", row_digest(df, data))
     return first_per_key(tagged, ["__digest"], F.col(cfg.row_id)).select(*columns)

@@ -7,18 +7,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.dates import parse_timestamp
 from ..functions.lists import list_elements
 from ..functions.numbers import parse_number
-from ..functions.text import first_match, is_present, is_web_url, needs_care, squish
+from ..functions.text import first_match, is_present, is_web_url, named, needs_care, squish
 from ..settings import DEFAULT, Settings
 from .profile import high_missing_columns, missingness_by_variable
-from .roles import numeric_columns, text_columns
+from .roles import missing_in, numeric_columns, text_columns
 from .scale import exact_quantiles, last_per_key, long_form
 
 # Scrape day as it appears in image paths.
 PATH_DATE = r"/(\d{4}/\d{2}/\d{2})/"
 
-# Fills are broadcast up to this many groups.
-FEW_GROUPS = 10_000
-
 
 def latest_per_key(df: DataFrame, key: str, stamp: str, cfg: Settings = DEFAULT) -> DataFrame:
     """Of the rows with a present key the latest per key; earlier rows win ties, rows without a date lose."""
@@ -68,42 +65,32 @@ def documented_only(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
 def impute_by_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Fill gaps from the row's group: the median for numbers, the most frequent value for texts.
 
-    ``<column>_imputed`` marks filled cells; groups without any value stay empty.
-    The fills, one row per group, are broadcast when a look at the group column
-    finds few groups. The table is read several times, so pass a stored one.
+    ``<column>_imputed`` marks filled cells; groups without any value stay empty,
+    and rows without a group are a group of their own. All fills of a group, one
+    row, meet the table in a single join.
     """
-    few = df.select(group).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
-    small = F.broadcast if few else (lambda table: table)
     numbers = [c for c in columns if c in numeric_columns(df)]
     texts = [c for c in columns if c not in numbers]
-    filled = df
+    fills = []
     if numbers:
-        tall = long_form(df, numbers, [F.col(c).cast("double") for c in numbers], keep=[group], value="v")
-        keyed = tall.select(F.struct("variable", group).alias("key"), "v")
-        medians = exact_quantiles(keyed, "key", "v", [0.5], few_groups=few)
-        filled = _fill(filled, medians.select("key.*", F.col("q0").alias("fill")), group, numbers, small)
+        tall = long_form(df, numbers, [named(c).cast("double") for c in numbers], keep=[group], value="v")
+        keyed = tall.select(F.struct("variable", named(group).alias("group")).alias("key"), "v")
+        medians = exact_quantiles(keyed, "key", "v", [0.5])
+        fills.append(medians.select("key.group", "key.variable", F.col("q0").alias("number"), F.lit(None).cast("string").alias("text")))
     if texts:
-        tall = long_form(df, texts, [F.col(c) for c in texts], keep=[group]).where(is_present(F.col("value")))
-        counts = tall.groupBy(group, "variable", "value").agg(F.count("*").alias("n"))
+        tall = long_form(df, texts, [named(c) for c in texts], keep=[group]).where(is_present(F.col("value")))
+        counts = tall.groupBy(named(group).alias("group"), "variable", "value").agg(F.count("*").alias("n"))
         # Most frequent first; among equals the first in text order.
-        most = counts.groupBy(group, "variable").agg(F.max("n").alias("n"))
-        modes = (counts.join(small(most), [group, "variable", "n"])
-                 .groupBy(group, "variable").agg(F.min("value").alias("fill")))
-        filled = _fill(filled, modes, group, texts, small)
-    return filled
-
-
-def _fill(df: DataFrame, fills: DataFrame, group: str, columns: list[str], small) -> DataFrame:
-    wide = fills.groupBy(group).agg(
-        *[F.max(F.when(F.col("variable") == c, F.col("fill"))).alias(f"__fill_{c}") for c in columns])
-    joined = df.join(small(wide), group, "left")
-    order = [c for c in df.columns]
-    out = []
-    for c in order:
-        out.append(F.coalesce(F.when(is_present(F.col(c)), F.col(c)), F.col(f"__fill_{c}")).alias(c)
-                   if c in columns else F.col(c))
-    flags = [(~is_present(F.col(c)) & F.col(f"__fill_{c}").isNotNull()).alias(f"{c}_imputed") for c in columns]
-    return joined.select(*out, *flags)
+        modes = counts.groupBy("group", "variable").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("text"))
+        fills.append(modes.select("group", "variable", F.lit(None).cast("double").alias("number"), "text"))
+    both = fills[0] if len(fills) == 1 else fills[0].unionByName(fills[1])
+    wide = both.groupBy("group").agg(*[F.max(F.when(F.col("variable") == c, F.col("number" if c in numbers else "text"))).alias(f"__fill_{i}")
+                                       for i, c in enumerate(columns)])
+    joined = df.join(wide.withColumnRenamed("group", "__group"), named(group).eqNullSafe(F.col("__group")), "left")
+    present = {c: ~missing_in(df, c) for c in columns}
+    filled = {c: F.coalesce(F.when(present[c], named(c)), F.col(f"__fill_{i}")).alias(c) for i, c in enumerate(columns)}
+    flags = [(~present[c] & F.col(f"__fill_{i}").isNotNull()).alias(f"{c}_imputed") for i, c in enumerate(columns)]
+    return joined.select(*[filled.get(c, named(c)) for c in df.columns], *flags)
 
 
 def image_scrape_dates(df: DataFrame, column: str = "images", cfg: Settings = DEFAULT) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import pct
 from ..functions.text import (
-    bounded_key, has_edge_space, has_line_break, has_space_run, is_missing, is_present, needs_care, sanitise,
+    bounded_key, has_edge_space, has_line_break, has_space_run, is_missing, is_present, named, needs_care, rendered, sanitise,
 )
 from ..settings import DEFAULT, Settings
 from .roles import Roles, missing_in, text_columns
@@ -102,7 +102,7 @@ def variable_types(df: DataFrame, cfg: Settings = DEFAULT, approx: bool = False)
     """
     columns = cfg.data_columns(df.columns)
     types = dict(df.dtypes)
-    tall = long_form(df, columns, [F.col(c).cast("string") for c in columns])
+    tall = long_form(df, columns, [rendered(df, c) for c in columns])
     if approx:
         stats = tall.groupBy("variable").agg(
             F.count("*").alias("rows"), F.count_if(is_missing(F.col("value"))).alias("missing_count"),
@@ -132,7 +132,7 @@ def text_quality(df: DataFrame, cfg: Settings = DEFAULT, columns: list[str] | No
     """
     columns = columns or text_columns(df)
     raw = F.col("raw")
-    tall = (long_form(df, columns, [F.col(c) for c in columns], value="raw").withColumn("care", needs_care(raw))
+    tall = (long_form(df, columns, [named(c) for c in columns], value="raw").withColumn("care", needs_care(raw))
             .withColumn("clean", F.when(F.col("care"), sanitise(raw)).otherwise(raw)))
     space = F.col("clean") if cfg.as_coded else raw
     care = F.col("care")
@@ -168,15 +168,18 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     return (df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("count")).orderBy(column))
 
 
-def level_summary(df: DataFrame, columns: list[str], n: int) -> DataFrame:
-    """``variable, value, count``: the ``n`` most frequent present values of each column."""
+def level_summary(df: DataFrame, columns: list[str], n: int | None = None) -> DataFrame:
+    """``variable, value, count``: the present values of each column, the most frequent first; with ``n`` so many of each."""
     spark = df.sparkSession
     if not columns:
         return spark.createDataFrame([], "variable string, value string, count bigint")
-    counts = (long_form(df, columns, [F.col(c).cast("string") for c in columns])
+    counts = (long_form(df, columns, [rendered(df, c) for c in columns])
               .where(is_present(F.col("value")))
               .groupBy("variable", "value").agg(F.count("*").alias("count")))
-    return top_n_per_group(counts, "variable", [F.desc("count"), F.asc("value")], n, slice_by="value")
+    order = [F.desc("count"), F.asc("value")]
+    if n is not None:
+        counts = top_n_per_group(counts, "variable", order, n, slice_by="value")
+    return counts.orderBy(F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("variable")), *order)
 
 
 def level_columns(roles: Roles) -> list[str]:

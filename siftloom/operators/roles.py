@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions.text import named
+
 # Name patterns per role, matched on lower-cased names in column order.
 STRICT_PATTERNS = {
     "product": r"product.*name|product_name|title|^name$",
@@ -52,10 +54,18 @@ def detect_roles(df: DataFrame, patterns: dict[str, str] = STRICT_PATTERNS) -> R
     return {role: find_column(df.columns, pattern) for role, pattern in patterns.items()}
 
 
+def present_rows(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
+    """Add ``present_rows``: how many rows have a value in the column of ``df`` that ``listed[column]`` names."""
+    counts = df.agg(*[F.count_if(~missing_in(df, c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    pairs = F.array(*[F.struct(F.lit(c).alias(column), F.col(f"n{i}").alias("present_rows")) for i, c in enumerate(df.columns)])
+    # One row per column: the schema bounds what is broadcast.
+    return listed.join(F.broadcast(counts.select(F.inline(pairs))), column, "left").select(*listed.columns, "present_rows")
+
+
 def detected_columns(df: DataFrame, roles: Roles) -> DataFrame:
-    """``expected_field, detected_column``; NULL where no column fits."""
-    return df.sparkSession.createDataFrame(
-        list(roles.items()), "expected_field string, detected_column string")
+    """``expected_field, detected_column, present_rows``; NULL where no column fits."""
+    listed = df.sparkSession.createDataFrame(list(roles.items()), "expected_field string, detected_column string")
+    return present_rows(df, listed, "detected_column")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -67,9 +77,11 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def missing_in(df: DataFrame, column: str) -> Column:
-    """NULL, or the empty string where the column is text; numbers are not rendered to find out."""
-    c = F.col(column)
-    return c.isNull() | (c == "") if isinstance(df.schema[column].dataType, T.StringType) else c.isNull()
+    """NULL, the empty string where the column is text, NaN where it is a number; numbers are not rendered to find out."""
+    c, kind = named(column), df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        return c.isNull() | (c == "")
+    return c.isNull() | F.isnan(c) if isinstance(kind, (T.FloatType, T.DoubleType)) else c.isNull()
 
 
 def numeric_like_columns(df: DataFrame) -> list[str]:
@@ -81,9 +93,9 @@ def numeric_like_columns(df: DataFrame) -> list[str]:
 def priority_first(df: DataFrame, priority: list[str]) -> DataFrame:
     """The priority columns that exist, in that order, then all others."""
     ahead = [c for c in priority if c in df.columns]
-    return df.select(*ahead, *[c for c in df.columns if c not in ahead])
+    return df.select(*[named(c) for c in [*ahead, *[c for c in df.columns if c not in ahead]]])
 
 
 def replace_column(df: DataFrame, old: str, new: str) -> DataFrame:
-    """Let ``new`` take the place and name of ``old``."""
+    """Let ``new`` take the name of ``old``."""
     return df.drop(old).withColumnRenamed(new, old)

@@ -12,10 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.text import row_digest
-
-# Up to this many fixed-width columns take part in a row's identity as they are.
-PLAIN_KEYS = 16
+from ..functions.text import named, row_digest
 
 # A hot-key list has at most this many rows, so it can always be broadcast.
 HOT_KEYS = 1_000
@@ -37,20 +34,21 @@ BROADCAST_IDS = 1_000_000
 
 _LOG2_SPAN = 1_075.0
 _COARSE = float(1 << 8)
-_FINE = float(1 << 24)
+
+# Equal steps that a bucket is cut into, and how often.
+LINEAR, LINEAR_STEPS = 65_536, 2
 
 
 def row_identity(df: DataFrame, columns: list[str]) -> list[Column]:
     """Grouping columns that are equal exactly for equal rows.
 
-    A few numbers and times stand for themselves; everything else goes into one digest.
+    Numbers and times stand for themselves, everything else goes into one digest; both take -0.0 as 0.0 and all NaN
+    as one value.
     """
     fixed = [c for c in columns if isinstance(df.schema[c].dataType, (T.NumericType, T.DatetimeType, T.BooleanType))]
-    if len(fixed) > PLAIN_KEYS:
-        fixed = []
     rest = [c for c in columns if c not in fixed]
-    digest = [row_digest(rest).alias("__digest")] if rest else []
-    return [F.col(c).alias(f"__id_{i}") for i, c in enumerate(fixed)] + digest
+    digest = [row_digest(df, rest).alias("__digest")] if rest else []
+    return [named(c).alias(f"__id_{i}") for i, c in enumerate(fixed)] + digest
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
@@ -68,8 +66,8 @@ def last_per_key(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
 
 
 def _pick_per_key(df: DataFrame, keys: list[str], pick, order: Column) -> DataFrame:
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).agg(
+    row = F.struct(*[named(c) for c in df.columns])
+    return df.groupBy(*[named(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).agg(
         pick(row, order).alias("__row")).select("__row.*")
 
 
@@ -157,8 +155,8 @@ def long_form(df: DataFrame, columns: list[str], values: list[Column], keep: lis
               value: str = "value") -> DataFrame:
     """One row per (row, column): ``keep..., variable, <value>``; the values share one type."""
     keep = keep or []
-    wide = df.select(*keep, *[v.alias(c) for c, v in zip(columns, values)])
-    return wide.unpivot([F.col(k) for k in keep], [F.col(f"`{c}`") for c in columns], "variable", value)
+    wide = df.select(*[named(k) for k in keep], *[v.alias(c) for c, v in zip(columns, values)])
+    return wide.unpivot([named(k) for k in keep], [named(c) for c in columns], "variable", value)
 
 
 def wide_to_rows(df: DataFrame, rows: list[list[Column]], names: list[str]) -> DataFrame:
@@ -180,55 +178,69 @@ def _position(v: Column) -> Column:
     return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log2(F.abs(v)) + F.lit(_LOG2_SPAN)))
 
 
-def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float], few_groups: bool = True) -> DataFrame:
-    """Exact quantiles per group with linear interpolation: ``group, q0, q1, ...``.
+def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
+    """Exact quantiles per group with linear interpolation: ``group, q0, q1, ...``."""
+    return quantiles_and_stats(long_df, group, value, probs).select(group, *[f"q{i}" for i in range(len(probs))])
+
+
+def quantiles_and_stats(long_df: DataFrame, group: str, value: str, probs: list[float], stats: dict[str, tuple[Column, Column]] | None = None
+                        ) -> DataFrame:
+    """Exact quantiles per group, and other aggregates taken on the same first pass.
 
     Spark's ``percentile`` keeps every distinct value of a group in one task.
     Here ranks are found by successive refinement instead: count rows per coarse
-    value bucket, pick the bucket that holds each wanted rank, count again inside
-    it with finer buckets, and only then look at single values. Each step is an
-    aggregate with a small, bounded number of groups, so neither the number of
-    rows nor one hot value matters. The last step is skipped where it is not needed. The wanted ranks are two per probability and
-    group, so with ``few_groups`` (one per column, say) they are broadcast.
+    value bucket, pick the bucket that holds each wanted rank, and count again
+    in ``LINEAR`` equal steps between the smallest and the largest value of that
+    bucket. A coarse bucket spans less than a half per cent of its values, so after two
+    such steps it can hold a few thousand doubles at most, and these are listed.
+    Each step is an aggregate with a bounded number of groups, so neither the
+    number of rows nor one hot value matters, nor how close values lie. Steps
+    that are not needed find an empty list of buckets and are dropped by adaptive
+    execution.
+
+    ``stats`` names pairs: an aggregate over the rows of a bucket, whose value is ``v``, NULL where
+    there is none (such rows share one bucket), and one over the buckets' results,
+    which are columns of that name. The lists of buckets have two rows per
+    probability and group; Spark decides from their size how to join them.
     """
-    small = F.broadcast if few_groups else (lambda table: table)
-    data = long_df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
-        F.col(group).alias("g"), F.col(value).alias("v"), _position(F.col(value)).alias("at"))
-    coarse = F.floor(F.col("at") * _COARSE)
-    fine = F.floor(F.col("at") * _FINE)
+    stats = stats or {}
+    number = F.when(~F.isnan(value), F.col(value))
+    rows = long_df.select(F.col(group).alias("g"), number.alias("v"), F.floor(_position(number) * _COARSE).alias("b1"))
+    first = rows.groupBy("g", "b1").agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
+                                        *[inner.alias(name) for name, (inner, _) in stats.items()])
+    data = rows.where(F.col("v").isNotNull()).select("g", "v", "b1")
+    keys = ["g", "q", "full_rank"]
 
-    def locate(counts: DataFrame, targets: DataFrame | None, by: list[str], bucket: str) -> DataFrame:
+    def locate(counts: DataFrame, by: list[str], bucket: str) -> DataFrame:
         """Per wanted rank the bucket that holds it and the rank inside that bucket."""
         upto = F.sum("n").over(Window.partitionBy(*by).orderBy(bucket))
         running = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
-        if targets is None:
-            running = running.withColumn("total", F.sum("n").over(Window.partitionBy(*by)))
-            wanted = F.array(*[
-                F.struct(F.lit(i).alias("q"), side.cast("long").alias("rank"))
-                for i, p in enumerate(probs)
-                for side in _neighbours(F.col("total"), p)])
-            running = running.select("*", F.inline(F.array_distinct(wanted)))
         hit = running.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
         return hit.withColumn("rank", F.col("rank") - F.col("before"))
 
-    level1 = locate(data.groupBy("g", coarse.alias("b1")).agg(F.count("*").alias("n")), None, ["g"], "b1")
-    level1 = level1.select("g", "b1", "q", "rank", "total", (F.col("rank") + F.col("before")).alias("full_rank"))
-
-    inside1 = data.withColumn("b1", coarse).join(small(level1), ["g", "b1"])
-    keys = ["g", "q", "full_rank"]
-    counts2 = inside1.groupBy(*keys, fine.alias("b2")).agg(
-        F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"),
-        F.min("v").alias("low"), F.max("v").alias("high"))
-    level2 = locate(counts2, level1, keys, "b2").select(*keys, "b2", "rank", "total", "low", "high")
-    # A bucket with a single value needs no further look. When that holds for all
-    # of them the list below is empty and adaptive execution drops the last pass.
-    settled = level2.where(F.col("low") == F.col("high")).select(*keys, F.col("low").alias("v"), "total")
-    level2 = level2.where(F.col("low") < F.col("high")).select(*keys, "b2", "rank", "total")
-
-    inside2 = data.withColumn("b2", fine).join(small(level2), ["g", "b2"])
-    counts3 = inside2.groupBy(*keys, "v").agg(
-        F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"))
-    picked = locate(counts3, level2, keys, "v").select(*keys, "v", "total").unionByName(settled)
+    known = first.where("n > 0").withColumn("total", F.sum("n").over(Window.partitionBy("g")))
+    wanted = F.array_distinct(F.array(*[
+        F.struct(F.lit(i).alias("q"), side.cast("long").alias("rank"))
+        for i, p in enumerate(probs) for side in _neighbours(F.col("total"), p)]))
+    upto = known.withColumn("upto", F.sum("n").over(Window.partitionBy("g").orderBy("b1")))
+    ranks = upto.withColumn("before", F.col("upto") - F.col("n")).select("*", F.inline(wanted)).withColumn("full_rank", F.col("rank"))
+    level = ranks.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto"))) \
+        .select(*keys, (F.col("rank") - F.col("before")).alias("rank"), "total", "b1", "low", "high")
+    done = []
+    for _ in range(LINEAR_STEPS):
+        done.append(level.where("low = high").select(*keys, F.col("low").alias("v"), "total"))
+        level = level.where("low < high")
+        inside = data.join(level, ["g", "b1"]).where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+        share = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low"))
+        step = F.least(F.floor(share * LINEAR), F.lit(LINEAR - 1)).alias("b2")
+        counts = inside.groupBy(*keys, "b1", step).agg(F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"),
+                                                       F.min("v").alias("low"), F.max("v").alias("high"))
+        level = locate(counts, keys, "b2").select(*keys, "rank", "total", "b1", "low", "high")
+    done.append(level.where("low = high").select(*keys, F.col("low").alias("v"), "total"))
+    level = level.where("low < high")
+    inside = data.join(level, ["g", "b1"]).where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+    counts = inside.groupBy(*keys, "v").agg(F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"))
+    picked = reduce(DataFrame.unionByName, done, locate(counts, keys, "v").select(*keys, "v", "total"))
 
     columns = []
     for i, p in enumerate(probs):
@@ -239,7 +251,11 @@ def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[floa
         lo = F.min_by(F.when(mine, F.col("v")), F.when(mine, F.col("full_rank")))
         hi = F.max_by(F.when(mine, F.col("v")), F.when(mine, F.col("full_rank")))
         columns.append((lo + weight * (hi - lo)).alias(f"q{i}"))
-    return picked.groupBy("g").agg(*columns).withColumnRenamed("g", group)
+    found = picked.groupBy("g").agg(*columns)
+    if stats:
+        sums = first.groupBy("g").agg(*[outer.alias(name) for name, (_, outer) in stats.items()])
+        found = found.join(sums.withColumnRenamed("g", "__g"), F.col("g").eqNullSafe(F.col("__g"))).drop("__g")
+    return found.withColumnRenamed("g", group)
 
 
 def _neighbours(total: Column, p: float) -> list[Column]:

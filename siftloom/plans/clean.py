@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import cleaning as C
 from ..operators.profile import distribution, missing_summary, missingness_by_variable
 from ..operators.ranges import range_checks
-from ..operators.roles import Roles, detect_roles, priority_first
+from ..operators.roles import Roles, detect_roles, present_rows, priority_first
 from ..operators.scale import wide_to_rows
 from ..operators.sizes import SIZE_RULES, SizeRule
 from ..settings import DEFAULT, Settings
@@ -29,19 +29,21 @@ class Cleaned:
 
     table: DataFrame
     log: list[C.LogEntry]
+    source: DataFrame | None = None
 
     def log_table(self) -> DataFrame:
+        """``column, action, reason``, and ``present_rows`` of the raw column where the raw table is known."""
         rows = [(e.column, e.action, e.reason) for e in self.log]
-        return self.table.sparkSession.createDataFrame(rows, "column string, action string, reason string")
+        table = self.table.sparkSession.createDataFrame(rows, "column string, action string, reason string")
+        return table if self.source is None else present_rows(self.source, table, "column")
 
     def statistics(self, cfg: Settings = DEFAULT) -> dict[str, DataFrame]:
         """The summaries, and missing shares and numeric ranges of the cleaned table.
 
         These read the table several times: write it first and pass the stored copy on.
         """
-        numbers = [c for c in ("price", "size_count", "images_n") if c in self.table.columns]
         return {**self.summaries(), "missingness": missingness_by_variable(self.table, cfg),
-                "ranges": range_checks(self.table, cfg, numbers)}
+                "ranges": range_checks(self.table, cfg)}
 
     def summaries(self) -> dict[str, DataFrame]:
         tables = {"missing_summary": missing_summary(self.table)}
@@ -72,7 +74,7 @@ def clean(df: DataFrame, roles: Roles | None = None, cfg: Settings = DEFAULT, **
     """First row per SKU, then all row-local steps. The SKU step is the only shuffle."""
     roles = roles or detect_roles(df)
     deduplicated, _ = C.clean_sku(df, cfg)
-    return clean_rows(deduplicated, roles, cfg, **options)
+    return replace(clean_rows(deduplicated, roles, cfg, **options), source=df)
 
 
 def run_counters(df: DataFrame, roles: Roles | None = None, cfg: Settings = DEFAULT) -> DataFrame:

@@ -34,7 +34,7 @@ def diagnose(df: DataFrame, roles: Roles | None = None, cfg: Settings = DEFAULT)
         "url_checks": checks.url_checks(df, roles, cfg),
         "datetime_checks": checks.datetime_checks(df, roles, cfg),
         "text_quality": profile.text_quality(df, cfg),
-        "level_summary": profile.level_summary(df, profile.level_columns(roles), cfg.sample_rows),
+        "level_summary": profile.level_summary(df, profile.level_columns(roles)),
         "attr_names": attributes.attribute_counts(pairs, ["attribute_name"]),
         "attr_values": attributes.attribute_counts(pairs, ["attribute_value"]),
         "attr_name_values": attributes.attribute_counts(pairs, ["attribute_name", "attribute_value"]),

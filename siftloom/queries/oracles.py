@@ -139,6 +139,10 @@ PRICE_RANGES = {
 # ---------------------------------------------------------------- duplicates
 
 
+def first(n: int | None, key: str = "row_number") -> str:
+    return "" if n is None else f" ORDER BY {key} LIMIT {n}"
+
+
 def key_copies(table: str, c: str) -> str:
     return f"(SELECT count({c}) - count(DISTINCT {c}) FROM {table} WHERE {present(c)})"
 
@@ -154,10 +158,10 @@ UNION ALL SELECT 'Duplicate image URLs', CAST(NULL AS BIGINT)"""
 EXACT_COPIES = f"(SELECT count(*) FROM catalog) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(DATA)} FROM catalog))"
 
 
-def exact_rows(n: int) -> str:
+def exact_rows(n: int | None = None) -> str:
     return f"""
 SELECT {', '.join(ALL)} FROM (SELECT *, count(*) OVER (PARTITION BY {', '.join(DATA)}) AS n FROM catalog)
-WHERE n > 1 ORDER BY row_number LIMIT {n}"""
+WHERE n > 1{first(n)}"""
 
 
 LIST = r"string_split_regex(regexp_replace({c}, ',\s*$', ''), ',\s*')"
@@ -215,9 +219,10 @@ def flags(which: dict[str, str]) -> str:
     return f"SELECT row_number, {', '.join(which)}, CAST({total} AS INTEGER) AS issue_count FROM (SELECT *, {listed} FROM catalog)"
 
 
-PROBLEMS = f"""
+def problems(n: int | None = None) -> str:
+    return f"""
 SELECT {', '.join('c.' + c for c in ALL)} FROM catalog c JOIN ({flags(_FLAGS)}) f USING (row_number)
-WHERE f.issue_count > 0 ORDER BY row_number LIMIT 100"""
+WHERE f.issue_count > 0{first(n)}"""
 
 # ---------------------------------------------------------------- attributes
 
@@ -234,9 +239,11 @@ def attr(*keys: str) -> str:
     return f"SELECT {listed}, count(*) AS count FROM ({PAIRS}) WHERE {where} GROUP BY {listed}"
 
 
-def levels(table: str, columns: list[str], n: int) -> str:
+def levels(table: str, columns: list[str], n: int | None = None) -> str:
     parts = [f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM {table}"
              f" WHERE {present(c)} GROUP BY 2" for c in columns]
+    if n is None:
+        return union(parts)
     return f"""SELECT variable, value, count FROM ({union(parts)})
 QUALIFY row_number() OVER (PARTITION BY variable ORDER BY count DESC, value) <= {n}"""
 
@@ -254,7 +261,11 @@ def deduplicated(coded: bool) -> str:
 
 
 def price(coded: bool) -> str:
-    return "TRY_CAST(regexp_replace(price, '[^0-9.]', '', 'g') AS DOUBLE)" if coded else num("price")
+    if coded:
+        return "TRY_CAST(regexp_replace(price, '[^0-9.]', '', 'g') AS DOUBLE)"
+    minus = r"regexp_matches(price, '^\s*-\s*[^0-9.,()\-]{1,4}\s*[0-9.]')"
+    brackets = r"regexp_matches(price, '^\s*\(\s*[^0-9.,()\-]{0,4}\s*[0-9.,]+\s*\)\s*$')"
+    return f"(CASE WHEN {minus} OR {brackets} THEN -abs({num('price')}) ELSE {num('price')} END)"
 
 
 def price_flag(p: str) -> str:
@@ -263,7 +274,7 @@ def price_flag(p: str) -> str:
 
 
 BRAND = f"nullif(regexp_replace(regexp_extract(strip_accents(brand), '^[^?�]+'), '^{WS}+|{WS}+$', '', 'g'), '')"
-COLOR = r"nullif(regexp_extract(description, '''Color'':\s*''([^'']+)''', 1), '')"
+COLOR = r"nullif(regexp_extract(description, '''Color'':\s*''([^'']+)', 1), '')"
 COLOR_ONE_SPACE = r"nullif(regexp_extract(description, '''Color'':\s''([^'']+)', 1), '')"
 SIZE = (f"regexp_replace(regexp_replace({squish('size')}, '{WS}*\\(', '(', 'g'), '{WS}*,{WS}*', ',', 'g')")
 
@@ -387,9 +398,26 @@ SELECT {f('rows')} AS total_rows, {len(DATA)}::BIGINT AS total_columns, {f('exac
 FROM ({facts(coded)})"""
 
 
-def register(coded: bool) -> str:
-    from ..plans.report import REGISTER
+# The rows of the issue register.
+REGISTER = [
+    ('S1', 'Structure', 'Exact duplicate rows', 'exact_duplicates', 'High', 'Drop exact copies, keep the first row'),
+    ('S2', 'Missingness', '{n} column(s) exceed 30% missing', 'high_missing_columns', 'Medium', 'Decide per column: impute, exclude or document'),
+    ('D1', 'Duplicates', 'Duplicate product URLs — multi-date scraping', 'duplicate_urls', 'High', 'Keep the latest scrape per product URL'),
+    ('D2', 'Duplicates', 'Duplicate product names', 'duplicate_names', 'Medium', 'Tell real variants from scraping copies'),
+    ('D3', 'Duplicates', 'Duplicate image URLs within product rows', 'image_duplicates', 'Medium', 'Keep each image URL once per row'),
+    ('P1', 'Price', 'Price values that could not be parsed', 'price_unparsed', 'High', 'Strip marks and parse; NULL when hopeless'),
+    ('P2', 'Price', 'Prices equal to zero', 'price_zero', 'Medium', 'Settle: free item or missing price'),
+    ('P3', 'Price', 'Prices that are negative', 'price_negative', 'High', 'Set NULL and report to the source'),
+    ('P4', 'Discount', 'Discounts exceeding 100%', 'discount_over_100', 'High', 'Cap at 100 and flag'),
+    ('U1', 'URLs', 'URLs not starting with http(s)://', 'url_issues', 'Medium', 'Repair the prefix, else drop'),
+    ('T1', 'Text', 'Leading / trailing whitespace', 'edge_space', 'Low', 'Squish every text column'),
+    ('T2', 'Text', 'Embedded newline characters', 'line_breaks', 'Low', 'Turn line breaks into blanks'),
+    ('DT1', 'Timestamps', 'Timestamp parsing failures', 'timestamps_unparsed', 'Medium', 'Add date orders'),
+    ('I1', 'Images', 'Multi-date scrape without deduplication', 'image_duplicates', 'High', 'Treat the latest scrape per URL as the product'),
+]
 
+
+def register(coded: bool) -> str:
     rows = ", ".join("(" + ", ".join(f"'{quoted(v)}'" for v in row) + ")" for row in REGISTER)
     return f"""
 SELECT id, category, replace(description, '{{n}}', CAST(value AS VARCHAR)) AS description, value AS affected, priority, action
@@ -426,22 +454,19 @@ STRICT_ROLES = [("product", "name"), ("price", "price"), ("discount", "discount"
 LOOSE_ROLES = [(r, "images" if r == "image_url" else c) for r, c in STRICT_ROLES]
 
 
+# The log of the cleaner.
+DROP_LOG = [
+    ("price", "replaced", "text without currency marks, as a number; price_flag tells missing, invalid and very high prices apart"),
+    ("description", "dropped", "serialised attributes; only the colour is kept, as column color, the others are too sparse"),
+    ("size", "replaced", "mixes several size systems; replaced by size_system, size_labels, size_us, size_eu, dimensions_raw, waist, inseam,"
+                         " size_count and has_petite, has_tall, has_plus, empty where they do not apply"),
+    ("images", "replaced", "serialised list; replaced by images_clean (distinct URLs) and images_n (their number)"),
+]
+
+
 def drop_log() -> str:
-    from ..operators import cleaning as C
-
-    log = []
-    for column, action, reason in (
-            ("price", "replaced", "text without currency marks, as a number; price_flag tells missing, invalid and very"
-                                  " high prices apart"),
-            ("description", "dropped", "serialised attributes; only the colour is kept, as column color, the others are"
-                                       " too sparse"),
-            ("size", "replaced", "mixes several size systems; replaced by size_system, size_labels, size_us, size_eu,"
-                                 " dimensions_raw, waist, inseam, size_count and has_petite, has_tall, has_plus, empty"
-                                 " where they do not apply"),
-            ("images", "replaced", "serialised list; replaced by images_clean (distinct URLs) and images_n (their number)")):
-        log.append(C.LogEntry(column, action, reason))
-    return union([f"""SELECT '{e.column}' AS "column", '{e.action}' AS action, '{quoted(e.reason)}' AS reason,
-        (SELECT count(*) FROM catalog WHERE {present(e.column)}) AS present_rows""" for e in log])
+    return union([f"""SELECT '{column}' AS "column", '{action}' AS action, '{quoted(reason)}' AS reason,
+        (SELECT count(*) FROM catalog WHERE {present(column)}) AS present_rows""" for column, action, reason in DROP_LOG])
 
 
 IMPUTED = f"""
@@ -457,6 +482,23 @@ SELECT c.row_number, c.size_system, round(coalesce(c.price, med.m), 6) AS price,
 FROM c LEFT JOIN med USING (size_system) LEFT JOIN b USING (size_system) LEFT JOIN k USING (size_system)"""
 
 
+PREPARED = ["sku", "url", "name", "discount", "brand", "description", "size", "scraped_at", "price", "price_flag", "discount_flag",
+            "images_clean", "images_n"]
+
+
+def prepared() -> str:
+    own = {c: squish(c) for c in ("sku", "name", "brand", "description", "size", "scraped_at")}
+    own |= {"row_number": "row_number", "price": "p", "price_flag": price_flag("p"), "images_clean": images(False)["images_clean"],
+            "images_n": images(False)["images_n"], "discount": "CASE WHEN d IS NOT NULL THEN least(d, 100.0) END",
+            "discount_flag": f"CASE WHEN {miss('discount')} THEN 'missing' WHEN d IS NULL THEN 'unparsed' WHEN d > 100 OR d < 0 THEN 'invalid' ELSE 'ok' END",
+            "url": squish("CASE WHEN regexp_matches(url, '^https?://') THEN url WHEN regexp_matches(url, '^www\\.') THEN 'https://' || url END")}
+    listed = ", ".join(f"{sql} AS {name}" for name, sql in own.items())
+    return f"""SELECT {listed} FROM (SELECT *, {price(False)} AS p, {num('discount')} AS d FROM (
+  SELECT *, row_number() OVER (PARTITION BY CASE WHEN {present('url')} THEN 'key:' || url ELSE 'row:' || CAST(row_number AS VARCHAR) END
+    ORDER BY {STAMP} DESC NULLS LAST, row_number) AS rn
+  FROM (SELECT min(row_number) AS row_number, {', '.join(DATA)} FROM catalog GROUP BY {', '.join(DATA)})) WHERE rn = 1)"""
+
+
 def column_summary(table: str, columns: dict[str, str], numeric: set[str]) -> str:
     parts = []
     for c, t in columns.items():
@@ -468,15 +510,17 @@ def column_summary(table: str, columns: dict[str, str], numeric: set[str]) -> st
     return union(parts)
 
 
-LINE_NUMBERS = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-LINE_TYPES = {"l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz",
+               "o_orderpriority": "string"}
+LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINE_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
               "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
               "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
 
 
 def oracle_sql() -> dict[str, str]:
-    dup_rows = on_catalog(f"""SELECT {', '.join(ALL)} FROM (SELECT *, count(*) OVER (PARTITION BY url) AS n FROM catalog
-        WHERE {present('url')}) WHERE n > 1 ORDER BY row_number LIMIT 111189""")
+    dup_rows = f"""SELECT {', '.join(ALL)} FROM (SELECT *, count(*) OVER (PARTITION BY url) AS n FROM catalog
+        WHERE {present('url')}) WHERE n > 1"""
     types = {c: "string" for c in DATA}
     high = f"SELECT * FROM ({missingness('catalog', DATA)}) WHERE missing_pct >= 30"
     doc_copies = union([f"SELECT '{c}' AS variable, count({c}) AS present, count({c}) - count(DISTINCT {c}) AS copies"
@@ -494,9 +538,10 @@ def oracle_sql() -> dict[str, str]:
         "missingness_by_row": on_catalog(missing_by_row("catalog", DATA)),
         "duplicate_summary": on_catalog(duplicate_summary(EXACT_COPIES)),
         "duplicate_summary_as_coded": on_catalog(duplicate_summary("CAST(0 AS BIGINT)")),
-        "exact_dup_rows": on_catalog(exact_rows(111_189)),
+        "exact_dup_rows": on_catalog(exact_rows()),
         "exact_dup_rows_top50": on_catalog(exact_rows(50)),
-        "dup_url_rows": dup_rows,
+        "dup_url_rows": on_catalog(dup_rows),
+        "dup_url_rows_top50": on_catalog(dup_rows + first(50)),
         "image_dup_summary": on_catalog(f"""
 SELECT 'Records with at least one duplicate image URL' AS metric, CAST({count_if(REPEATS)} AS VARCHAR) AS value FROM catalog
 UNION ALL SELECT 'Pct of total records', regexp_replace(CAST({pct(count_if(REPEATS), 'count(*)')} AS VARCHAR), '\\.0$', '') || '%'
@@ -518,7 +563,7 @@ FROM catalog"""),
         "text_issue_columns": on_catalog(f"""
 SELECT variable, blank_count, leading_trailing_space_count, multiple_space_count, newline_count, max_text_length
 FROM ({text_quality('catalog', DATA)}) WHERE blank_count + leading_trailing_space_count + multiple_space_count + newline_count > 0"""),
-        "level_summary": on_catalog(levels("catalog", ["size"], 111_189)),
+        "level_summary": on_catalog(levels("catalog", ["size"])),
         "level_summary_top50": on_catalog(levels("catalog", ["size", "description"], 50)),
         "attribute_pairs": on_catalog(PAIRS),
         "attr_names": on_catalog(attr("attribute_name")),
@@ -526,7 +571,8 @@ FROM ({text_quality('catalog', DATA)}) WHERE blank_count + leading_trailing_spac
         "attr_name_values": on_catalog(attr("attribute_name", "attribute_value")),
         "issue_flags": on_catalog(flags(_FLAGS)),
         "issue_flags_loose": on_catalog(flags({**_FLAGS, **_IMAGE_FLAG})),
-        "problem_rows": on_catalog(PROBLEMS),
+        "problem_rows": on_catalog(problems()),
+        "problem_rows_top100": on_catalog(problems(100)),
         "issue_register": on_catalog(register(False)),
         "issue_register_as_coded": on_catalog(register(True)),
         "executive_metrics": on_catalog(executive(False)),
@@ -535,8 +581,8 @@ FROM ({text_quality('catalog', DATA)}) WHERE blank_count + leading_trailing_spac
         "report_facts": on_catalog(facts()),
         "preview_head": on_catalog(f"SELECT {', '.join(ALL)} FROM catalog ORDER BY row_number LIMIT 3"),
         "column_summary_lineitem": column_summary("lineitem", LINE_TYPES, set(LINE_NUMBERS)),
-        "sample_extract": on_catalog("SELECT row_number, " + ", ".join(f"{sane(c)} AS {c}" for c in DATA)
-                                     + " FROM catalog ORDER BY row_number LIMIT 111189"),
+        "sample_extract": on_catalog("SELECT row_number, " + ", ".join(f"{sane(c)} AS {c}" for c in DATA) + " FROM catalog"),
+        "sample_extract_top1000": on_catalog("SELECT row_number, " + ", ".join(f"{sane(c)} AS {c}" for c in DATA) + " FROM catalog" + first(1000)),
         "row_identity_orders": "SELECT row_number() OVER (ORDER BY o_orderkey) AS row_number, o_orderkey FROM orders",
         "sku_dedup": on_catalog(deduplicated(False)),
         "sku_dedup_as_coded": on_catalog(deduplicated(True)),
@@ -578,6 +624,8 @@ SELECT size, format('{{:,}}', count(*) * 1000) AS n_text,
   printf('%.1f%%', CAST({count_if(present('price'))} AS DOUBLE) * 100 / (count(*) * 3)) AS present_text FROM catalog GROUP BY size"""),
         "latest_per_url": on_catalog(f"""SELECT {', '.join(ALL)} FROM (SELECT *, row_number() OVER (PARTITION BY url
   ORDER BY {STAMP} DESC NULLS LAST, row_number) AS rn FROM catalog WHERE {present('url')}) WHERE rn = 1"""),
+        "image_scrape_dates": on_catalog(f"""SELECT DISTINCT row_number, replace(d, '/', '-') AS scrape_date
+  FROM (SELECT row_number, regexp_extract(images, '/(\\d{{4}}/\\d{{2}}/\\d{{2}})/', 1) AS d FROM ({IMAGE_ITEMS})) WHERE d <> ''"""),
         "exact_dedup": on_catalog(f"SELECT min(row_number) AS row_number, {', '.join(DATA)} FROM catalog GROUP BY {', '.join(DATA)}"),
         "discount_cap": on_catalog(f"""SELECT row_number, CASE WHEN d IS NOT NULL THEN least(d, 100.0) END AS discount,
   CASE WHEN {miss('discount')} THEN 'missing' WHEN d IS NULL THEN 'unparsed' WHEN d > 100 OR d < 0 THEN 'invalid' ELSE 'ok' END AS discount_flag
@@ -590,25 +638,28 @@ SELECT size, format('{{:,}}', count(*) * 1000) AS n_text,
         "impute_by_size_system": on_catalog("SELECT * FROM i", i=IMPUTED),
         "post_clean_missingness": on_catalog(missingness("c", [c for c in CLEANED_COLUMNS if c != "row_number"]), c=cleaned()),
         "post_clean_ranges": on_catalog(ranges("c", {"price": ("double", "price"), "size_count": ("int", "size_count"),
-                                                     "images_n": ("int", "images_n")}), c=cleaned()),
+                                                     "images_n": ("int", "images_n"),
+                                                     "discount": PRICE_RANGES["discount"]}), c=cleaned()),
+        "prepared_table": on_catalog("SELECT * FROM prepared", prepared=prepared()),
+        "prepared_decisions": on_catalog(f"""SELECT variable, missing_pct, CASE WHEN missing_count = 0 THEN 'keep'
+  WHEN missing_pct >= 30 THEN 'document' ELSE 'impute' END AS decision FROM ({missingness('prepared', PREPARED)})""", prepared=prepared()),
         "text_quality_documents": text_quality("documents", ["text", "lang", "source"]),
         "text_quality_pages": text_quality("pages", ["url", "html"]),
         "dup_documents": doc_copies,
         "dup_document_rows": f"""SELECT doc_id, text, lang, source, n_chars FROM
-  (SELECT *, count(*) OVER (PARTITION BY text) AS n FROM documents WHERE {present('text')}) WHERE n > 1
-  ORDER BY doc_id LIMIT 111189""",
+  (SELECT *, count(*) OVER (PARTITION BY text) AS n FROM documents WHERE {present('text')}) WHERE n > 1""",
         "exact_dedup_documents": "SELECT min(doc_id) AS doc_id, text, lang, source, n_chars FROM documents GROUP BY 2, 3, 4, 5",
         "url_checks_pages": url_stats("Product URL", "url", "SELECT url AS u FROM pages"),
         "range_checks_lineitem": ranges("lineitem", {c: (LINE_TYPES[c], c) for c in LINE_NUMBERS}),
         "range_checks_orders": ranges("orders", {**native("o_orderkey", "o_custkey", shown="bigint"), **native("o_totalprice")}),
-        "range_checks_events": ranges("events", {**native("value"), **native("user_id", shown="bigint")}),
+        "range_checks_events": ranges("events", {**native("event_id", "user_id", shown="bigint"), **native("value")}),
         "level_summary_customer": levels("customer", ["c_mktsegment", "c_nationkey"], 10),
-        "level_summary_documents": union([f"SELECT '{c}' AS variable, {c} AS value, count(*) AS count FROM documents GROUP BY 2"
-                                          for c in ("lang", "source")]),
+        "level_summary_documents": levels("documents", ["lang", "source"]),
         "missingness_events": missingness("events", ["event_id", "ts", "user_id", "event_type", "value", "props"]),
         "missingness_by_row_events": missing_by_row("events", ["event_id", "ts", "user_id", "event_type", "value", "props"]),
+        "inferred_types_orders": variable_types("orders", ORDER_TYPES),
         "variable_types_customer": variable_types("customer", {
             "c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}),
-        "overview_lineitem": overview("lineitem", ["l_orderkey", *LINE_TYPES]),
-        "overview_conversations": overview("conversations", ["turn", "role", "text"]),
+        "overview_lineitem": overview("lineitem", list(LINE_TYPES)),
+        "overview_conversations": overview("conversations", ["conv_id", "turn", "role", "text"]),
     }

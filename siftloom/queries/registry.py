@@ -10,18 +10,18 @@ from ..catalog.view import catalog, read_table
 from ..functions import dates, lists, numbers, text
 from ..operators import attributes, checks, cleaning, duplicates, extensions, profile, ranges, sizes
 from ..operators.roles import LOOSE_PATTERNS, detect_roles, detected_columns
-from ..operators.scale import long_form
-from ..plans import clean as clean_plan, report
+from ..plans import clean as clean_plan, prepare, report
 from ..session import tune
 from ..settings import CODED, DEFAULT, Settings
 from ..sources import preview, tables
-from ..sources.identity import number_rows, pin
+from ..sources.identity import number_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Native tables have no row number; their keys give the order.
 _DOCS = Settings(row_id="doc_id")
-_LINES = Settings(row_id="l_orderkey")
+# Tables whose key is not unique, or is itself to be profiled: every column is data.
+_NONE = Settings(row_id="__none")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -42,13 +42,6 @@ def _roles(df: DataFrame):
     return detect_roles(df)
 
 
-def _with_coverage(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
-    """Metadata rows beside the number of present values of the column they name."""
-    counts = profile.missing_counts(df, df.columns).select(
-        F.col("variable").alias(column), (F.col("rows") - F.col("missing_count")).alias("present_rows"))
-    return listed.join(F.broadcast(counts), column, "left").select(*listed.columns, "present_rows")
-
-
 def _cleaned(df: DataFrame, cfg: Settings = DEFAULT, **options) -> DataFrame:
     return clean_plan.clean(df, _roles(df), cfg, **options).table
 
@@ -63,14 +56,17 @@ def _images(cfg: Settings) -> Callable[[DataFrame], DataFrame]:
 
 def _imputed(df: DataFrame) -> DataFrame:
     wanted = ["row_number", "size_system", "price", "brand", "color"]
-    filled = extensions.impute_by_group(pin(_cleaned(df).select(*wanted)), "size_system", ["price", "brand", "color"])
+    filled = extensions.impute_by_group(_cleaned(df).select(*wanted), "size_system", ["price", "brand", "color"])
     return rounded(filled.select("row_number", "size_system", "price", "price_imputed", "brand", "brand_imputed",
                                  "color", "color_imputed"))
 
 
 def _post_clean_ranges(df: DataFrame) -> DataFrame:
-    columns = ["price", "size_count", "images_n"]
-    return rounded(ranges.range_checks(pin(_cleaned(df).select(*columns)), columns=columns))
+    return rounded(ranges.range_checks(_cleaned(df)))
+
+
+def _prepared(df: DataFrame) -> DataFrame:
+    return prepare.prepare(df).table
 
 
 def _number_formats(df: DataFrame) -> DataFrame:
@@ -84,19 +80,13 @@ def _attr(keys: list[str]) -> Query:
     return _catalog(lambda df: attributes.attribute_counts(attributes.attribute_pairs(df), keys))
 
 
-def _long_documents(df: DataFrame) -> DataFrame:
-    tall = long_form(df, ["lang", "source"], [F.col("lang"), F.col("source")])
-    return tall.groupBy("variable", "value").agg(F.count("*").alias("count"))
-
-
 def queries() -> dict[str, Query]:
     return {
         # Diagnostics over the catalogue.
         "overview": _catalog(profile.overview),
         "overview_as_coded": _catalog(lambda df: profile.overview(df, CODED)),
-        "detected_columns": _catalog(lambda df: _with_coverage(df, detected_columns(df, _roles(df)), "detected_column")),
-        "detected_columns_loose": _catalog(lambda df: _with_coverage(
-            df, detected_columns(df, detect_roles(df, LOOSE_PATTERNS)), "detected_column")),
+        "detected_columns": _catalog(lambda df: detected_columns(df, _roles(df))),
+        "detected_columns_loose": _catalog(lambda df: detected_columns(df, detect_roles(df, LOOSE_PATTERNS))),
         "variable_types": _catalog(profile.variable_types),
         "variable_types_as_coded": _catalog(lambda df: profile.variable_types(df, CODED)),
         "missingness_by_variable": _catalog(profile.missingness_by_variable),
@@ -107,6 +97,7 @@ def queries() -> dict[str, Query]:
         "duplicate_summary_as_coded": _catalog(lambda df: duplicates.duplicate_summary(df, _roles(df), CODED)),
         "exact_dup_rows": _catalog(duplicates.exact_duplicate_rows),
         "exact_dup_rows_top50": _catalog(lambda df: duplicates.exact_duplicate_rows(df, n=50)),
+        "dup_url_rows_top50": _catalog(lambda df: duplicates.repeated_key_rows(df, "url", n=50)),
         "dup_url_rows": _catalog(lambda df: duplicates.repeated_key_rows(df, "url")),
         "image_dup_summary": _catalog(duplicates.image_dup_summary),
         "image_dup_rows": _catalog(lambda df: duplicates.repeated_element_rows(df, "images").select("row_number", "images")),
@@ -122,8 +113,7 @@ def queries() -> dict[str, Query]:
         "text_quality": _catalog(profile.text_quality),
         "text_quality_as_coded": _catalog(lambda df: profile.text_quality(df, CODED)),
         "text_issue_columns": _catalog(lambda df: profile.text_issues_only(profile.text_quality(df))),
-        "level_summary": _catalog(lambda df: profile.level_summary(
-            df, profile.level_columns(_roles(df)), DEFAULT.sample_rows)),
+        "level_summary": _catalog(lambda df: profile.level_summary(df, profile.level_columns(_roles(df)))),
         "level_summary_top50": _catalog(lambda df: profile.level_summary(df, ["size", "description"], 50)),
         "attribute_pairs": _catalog(attributes.attribute_pairs),
         "attr_names": _attr(["attribute_name"]),
@@ -132,6 +122,8 @@ def queries() -> dict[str, Query]:
         "issue_flags": _catalog(lambda df: checks.issue_flags(df, _roles(df))),
         "issue_flags_loose": _catalog(lambda df: checks.issue_flags(df, detect_roles(df, LOOSE_PATTERNS))),
         "problem_rows": _catalog(lambda df: checks.problem_rows(df, _roles(df))),
+        "problem_rows_top100": _catalog(lambda df: checks.problem_rows(df, _roles(df), n=100)),
+        "image_scrape_dates": _catalog(extensions.image_scrape_dates),
         # Report.
         "issue_register": _catalog(report.issue_register),
         "issue_register_as_coded": _catalog(lambda df: report.issue_register(df, cfg=CODED)),
@@ -141,8 +133,9 @@ def queries() -> dict[str, Query]:
         "report_facts": _catalog(report.facts),
         # Sources and previews.
         "preview_head": _catalog(preview.head),
-        "column_summary_lineitem": _native("lineitem", lambda df: rounded(preview.column_summary(df, _LINES))),
+        "column_summary_lineitem": _native("lineitem", lambda df: rounded(preview.column_summary(df, _NONE))),
         "sample_extract": _catalog(tables.sample_extract),
+        "sample_extract_top1000": _catalog(lambda df: tables.sample_extract(df, 1000)),
         "row_identity_orders": _native("orders", lambda df: number_rows(df).select("row_number", "o_orderkey")),
         # Cleaning.
         "sku_dedup": _catalog(lambda df: cleaning.clean_sku(df)[0]),
@@ -166,7 +159,7 @@ def queries() -> dict[str, Query]:
         "clean_missing_summary": _catalog(lambda df: profile.missing_summary(_cleaned(df))),
         "size_system_distribution": _catalog(lambda df: profile.distribution(_cleaned(df), "size_system")),
         "price_flag_distribution": _catalog(lambda df: profile.distribution(_cleaned(df), "price_flag")),
-        "drop_log": _catalog(lambda df: _with_coverage(df, clean_plan.clean(df).log_table(), "column")),
+        "drop_log": _catalog(lambda df: clean_plan.clean(df).log_table()),
         "clean_run_counters": _catalog(clean_plan.run_counters),
         "clean_run_counters_as_coded": _catalog(lambda df: clean_plan.run_counters(df, cfg=CODED)),
         # Scalar functions over whole columns.
@@ -193,6 +186,8 @@ def queries() -> dict[str, Query]:
         "squish_all": _catalog(extensions.squish_all),
         "imputation_plan": _catalog(extensions.imputation_plan),
         "impute_by_size_system": _catalog(_imputed),
+        "prepared_table": _catalog(_prepared),
+        "prepared_decisions": _catalog(lambda df: prepare.prepare(df).decisions),
         "post_clean_missingness": _catalog(lambda df: profile.missingness_by_variable(_cleaned(df))),
         "post_clean_ranges": _catalog(_post_clean_ranges),
         # The same operators over the native tables.
@@ -202,14 +197,16 @@ def queries() -> dict[str, Query]:
         "dup_document_rows": _native("documents", lambda df: duplicates.repeated_key_rows(df, "text", _DOCS)),
         "exact_dedup_documents": _native("documents", lambda df: duplicates.drop_exact_duplicates(df, _DOCS)),
         "url_checks_pages": _native("pages", lambda df: checks.url_column_check(df, "Product URL", "url")),
-        "range_checks_lineitem": _native("lineitem", lambda df: rounded(ranges.range_checks(df, _LINES))),
+        "range_checks_lineitem": _native("lineitem", lambda df: rounded(ranges.range_checks(df, _NONE))),
         "range_checks_orders": _native("orders", lambda df: rounded(ranges.range_checks(df))),
-        "range_checks_events": _native("events", lambda df: rounded(ranges.range_checks(df, columns=["value", "user_id"]))),
+        "range_checks_events": _native("events", lambda df: rounded(ranges.range_checks(df, _NONE))),
         "level_summary_customer": _native("customer", lambda df: profile.level_summary(df, ["c_mktsegment", "c_nationkey"], 10)),
-        "level_summary_documents": _native("documents", _long_documents),
+        "level_summary_documents": _native("documents", lambda df: profile.level_summary(df, ["lang", "source"])),
         "missingness_events": _native("events", profile.missingness_by_variable),
         "missingness_by_row_events": _native("events", profile.missingness_by_row),
+        "inferred_types_orders": _native("orders", lambda df: profile.variable_types(tables.infer_types(
+            df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])))),
         "variable_types_customer": _native("customer", profile.variable_types),
-        "overview_lineitem": _native("lineitem", lambda df: profile.overview(df, Settings(row_id="l_none"))),
-        "overview_conversations": _native("conversations", lambda df: profile.overview(df, Settings(row_id="conv_id"))),
+        "overview_lineitem": _native("lineitem", lambda df: profile.overview(df, _NONE)),
+        "overview_conversations": _native("conversations", lambda df: profile.overview(df, _NONE)),
     }

@@ -32,8 +32,6 @@ class Settings:
 
     mode: str = INTENT
     row_id: str = "row_number"
-    sample_rows: int = 111_189
-    problem_rows: int = 100
     iqr_multiplier: float = 1.5
     long_text: int = 200
     high_missing_pct: float = 30.0

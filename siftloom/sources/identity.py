@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-# The table of file pieces is broadcast up to this many rows (about 100 bytes each).
-BROADCAST_PIECES = 200_000
-
-
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local session may do without."""
+    """The folder the cluster names in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_folders:
-            _local_folders[app] = tempfile.mkdtemp(prefix="siftloom-")
-        folder = _local_folders[app]
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
 
 
@@ -53,8 +41,11 @@ def number_rows(df: DataFrame, name: str = "row_number", from_files: bool = True
         F.monotonically_increasing_id().alias("__at"))
     pieces = placed.groupBy("__file", "__start").agg(F.count("*").alias("n"), F.min("__at").alias("__first"))
     before = F.sum("n").over(Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = pieces.select("__file", "__start", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
-    if len(df.inputFiles()) + df.rdd.getNumPartitions() <= BROADCAST_PIECES:
-        offsets = F.broadcast(offsets)
-    numbered = placed.join(offsets, ["__file", "__start"])
-    return numbered.select((F.col("__before") + F.col("__at") - F.col("__first") + 1).alias(name), *columns)
+    # A piece is known by a hash: 24 bytes for each 128 MB of the table, so this is always small enough to broadcast.
+    piece = F.xxhash64("__file", "__start")
+    offsets = pieces.select(piece.alias("__piece"), (F.coalesce(before, F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    twice = F.count("*").over(Window.partitionBy("__piece")) > 1
+    offsets = offsets.select("__piece", F.when(twice, F.raise_error("two file pieces share a hash").cast("bigint"))
+                             .otherwise(F.col("__shift")).alias("__shift"))
+    numbered = placed.withColumn("__piece", piece).join(F.broadcast(offsets), "__piece")
+    return numbered.select((F.col("__shift") + F.col("__at")).alias(name), *columns)

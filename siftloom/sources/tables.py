@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.text import sanitise
+from ..functions.text import is_present, named, sanitise
 from ..operators.roles import text_columns
 from ..operators.scale import first_rows
 from ..settings import DEFAULT, Settings
@@ -16,26 +19,85 @@ class InputError(ValueError):
     """The input is missing or has no rows or columns."""
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
-    """Every field as text, UTF-8, double quotes, short rows padded with NULL, long rows cut.
+#: Where the text of records with more fields than their header has is kept.
+OVERFLOW = "_overflow"
+
+
+def _headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """Distinct first lines of the files, as column names, each with its files."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    firsts = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files").collect()
+    return [([c.strip() for c in next(csv.reader([g.header.lstrip("\ufeff")]))], list(g.files)) for g in groups]
 
-    ``multi_line`` allows line ends inside quotes; each file is then read by one
-    task, so large inputs should come as many files. Files without such fields
-    are split when ``multi_line`` is off. The word NA is NULL.
+
+def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True,
+             overflow: str = OVERFLOW) -> DataFrame:
+    """Every field as text by the name in its own file's header: UTF-8, double quotes, short rows padded with NULL.
+
+    Files may list their columns in any order, and a column that a file lacks is NULL there. Records with more fields
+    than their header keep these fields as named, and the whole record's text in ``overflow``; nothing is cut.
+    ``columns`` gives the names instead of the headers, which are then skipped. ``multi_line`` allows line ends inside
+    quotes; each file is then read by one task, so large inputs should come as many files. Files without such fields
+    are split when ``multi_line`` is off. The word NA is NULL. Headers are read in a pass of their own.
     """
-    reader = (spark.read
-              .option("header", True).option("multiLine", multi_line).option("encoding", "UTF-8")
-              .option("quote", '"').option("escape", '"').option("nullValue", "NA").option("mode", "PERMISSIVE")
-              .option("enforceSchema", True)
-              .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     try:
-        return reader.csv(path)
+        groups = [(columns, [path])] if columns else _headers(spark, path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise InputError(f"raw data file not found: {path}") from error
         raise
+    parts = [_read_files(spark, names, files, multi_line, overflow) for names, files in groups]
+    if not parts:
+        return spark.createDataFrame([], f"`{overflow}` string")
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return table.select(*[named(c) for c in table.columns if c != overflow], named(overflow))
+
+
+def _read_files(spark: SparkSession, names: list[str], files: list[str], multi_line: bool, overflow: str) -> DataFrame:
+    options = {"quote": '"', "escape": '"', "nullValue": "NA", "mode": "PERMISSIVE"}
+    fields = [T.StructField(c, T.StringType()) for c in names]
+    raw = (spark.read.options(**options).option("header", True).option("multiLine", multi_line).option("encoding", "UTF-8")
+           .option("enforceSchema", True).option("columnNameOfCorruptRecord", overflow)
+           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+           .schema(T.StructType([*fields, T.StructField(overflow, T.StringType())])).csv(files))
+    # A record of another length than the header comes with its text; it is short unless it has one field more.
+    wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    surplus = F.from_csv(named(overflow), wider, {**options, "multiLine": "true"})[f"c{len(names)}"].isNotNull()
+    return raw.withColumn(overflow, F.when(surplus, named(overflow)))
+
+
+def overflow_count(df: DataFrame, overflow: str = OVERFLOW) -> DataFrame:
+    """One row, ``records``: how many records of a landed table had more fields than their header."""
+    return df.agg(F.count(named(overflow)).alias("records"))
+
+
+# Types a text column may turn out to have, in this order: name, and when a text is of that type.
+_KINDS = (
+    ("bigint", lambda c: c.rlike(r"^[+-]?(0|[1-9][0-9]*)$") & c.try_cast("bigint").isNotNull()),
+    ("double", lambda c: c.rlike(r"^[+-]?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$") & c.try_cast("double").isNotNull()),
+    ("boolean", lambda c: c.rlike("^(true|false|TRUE|FALSE|True|False|T|F)$")),
+    ("date", lambda c: c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & c.try_cast("date").isNotNull()),
+    ("timestamp_ntz", lambda c: c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}") & c.try_cast("timestamp_ntz").isNotNull()),
+)
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """Text columns as numbers, booleans, dates or times where all their present values are.
+
+    One aggregate over all rows decides, no sample. Numbers with leading zeros stay texts; columns without values too.
+    """
+    texts = text_columns(df)
+    if not texts:
+        return df
+    counts = df.agg(*[x for i, c in enumerate(texts) for x in (
+        F.count_if(is_present(named(c))).alias(f"n{i}"),
+        *[F.count_if(is_present(named(c)) & kind(named(c))).alias(f"k{i}_{j}") for j, (_, kind) in enumerate(_KINDS)])]).first()
+    to = {c: next((name for j, (name, _) in enumerate(_KINDS) if counts[f"n{i}"] and counts[f"k{i}_{j}"] == counts[f"n{i}"]), "string")
+          for i, c in enumerate(texts)}
+    return df.select(*[named(c).try_cast(to[c]).alias(c) if to.get(c, "string") != "string" else named(c) for c in df.columns])
 
 
 def validated(df: DataFrame) -> DataFrame:
@@ -47,11 +109,27 @@ def validated(df: DataFrame) -> DataFrame:
     return df
 
 
+def _has_files(df: DataFrame) -> bool:
+    """Whether rows still know their place in a file; those of files with different headers do not."""
+    try:
+        return bool(df.select("_metadata.file_path").columns)
+    except AnalysisException:
+        return False
+
+
 def land_csv(spark: SparkSession, source: str, target: str, cfg: Settings = DEFAULT, **options) -> DataFrame:
-    """CSV to Parquet once, with row numbers; everything later reads the Parquet copy."""
-    numbered = number_rows(validated(read_csv(spark, source, **options)), cfg.row_id)
+    """CSV to Parquet once, with row numbers; everything later reads the Parquet copy.
+
+    Rows are numbered in file order; where files differ in their headers, those with the same header come together.
+
+    The column of records with surplus fields is there if there are any.
+    """
+    raw = validated(read_csv(spark, source, **options))
+    numbered = number_rows(raw, cfg.row_id, from_files=_has_files(raw))
     numbered.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    landed = spark.read.parquet(target)
+    overflow = options.get("overflow", OVERFLOW)
+    return landed if overflow_count(landed, overflow).first().records else landed.drop(overflow)
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
@@ -73,8 +151,8 @@ def sanitised(df: DataFrame) -> DataFrame:
 
 
 def sample_extract(df: DataFrame, n: int | None = None, cfg: Settings = DEFAULT) -> DataFrame:
-    """The first ``n`` rows with safe texts."""
-    return sanitised(first_rows(df, n or cfg.sample_rows, cfg.row_id))
+    """Rows with safe texts: the first ``n`` by row id, or all."""
+    return sanitised(df if n is None else first_rows(df, n, cfg.row_id))
 
 
 def write_bundle(tables: dict[str, DataFrame], folder: str) -> None:

@@ -11,12 +11,14 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
+    shared = tmp_path_factory.mktemp("shared")
     session = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
                .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").getOrCreate())
+               .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
+               .config("spark.checkpoint.dir", f"file://{shared}").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
 

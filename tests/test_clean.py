@@ -40,7 +40,7 @@ def test_statistics_of_the_stored_table(catalog):
     done = clean(catalog)
     stored = Cleaned(pin(done.table), done.log)
     ranges = {r.variable: r for r in stored.statistics()["ranges"].collect()}
-    assert set(ranges) == {"price", "size_count", "images_n"} and ranges["images_n"].max == 2.0
+    assert set(ranges) == {"price", "size_count", "images_n", "discount"} and ranges["images_n"].max == 2.0
 
 
 def test_missing_columns_are_skipped(spark):
@@ -93,16 +93,15 @@ def test_discount_and_url_repair(spark):
     assert [r.url for r in extensions.repair_url(urls).collect()] == ["https://a", "https://www.a.b", None, None]
 
 
-@pytest.mark.parametrize("few_groups", [10_000, 0])
-def test_impute_by_group(spark, few_groups, monkeypatch):
-    monkeypatch.setattr(extensions, "FEW_GROUPS", few_groups)
+def test_impute_by_group(spark):
     df = spark.createDataFrame(
-        [(1, "a", 1.0, "x"), (2, "a", 4.0, "y"), (3, "a", None, "y"), (4, "a", 2.0, ""), (5, "b", None, None), (6, "b", 9.0, "q")],
+        [(1, "a", 1.0, "x"), (2, "a", 4.0, "y"), (3, "a", None, "y"), (4, "a", 2.0, ""), (5, "b", None, None), (6, "b", 9.0, "q"),
+         (7, None, 3.0, "n"), (8, None, float("nan"), None)],
         "row_number long, g string, price double, brand string")
     got = extensions.impute_by_group(df, "g", ["price", "brand"]).orderBy("row_number").collect()
     assert [(r.price, r.price_imputed, r.brand, r.brand_imputed) for r in got] == [
         (1.0, False, "x", False), (4.0, False, "y", False), (2.0, True, "y", False), (2.0, False, "y", True),
-        (9.0, True, "q", True), (9.0, False, "q", False)]
+        (9.0, True, "q", True), (9.0, False, "q", False), (3.0, False, "n", False), (3.0, True, "n", True)]
 
 
 def test_imputation_plan_and_documented_columns(catalog):
@@ -121,3 +120,15 @@ def test_image_scrape_dates(spark):
 def test_pin_keeps_the_table(spark, catalog):
     assert rows(pin(catalog)) == rows(catalog)
     assert SF
+
+
+def test_two_price_columns(spark):
+    df = spark.createDataFrame([(1, "$3", "-$4.00"), (2, "($5.00)", "x")], "row_number long, sale_price string, price string")
+    done = clean(df)
+    assert [e.action for e in done.log] == ["renamed", "replaced"]
+    assert [(r.price, r.price_other) for r in done.table.orderBy("row_number").collect()] == [(3.0, "-$4.00"), (-5.0, "x")]
+
+
+def test_truncated_colour(spark):
+    df = spark.createDataFrame([(1, "[{'Color': 'Bla")], "row_number long, description string")
+    assert clean(df).table.first().color == "Bla" and clean(df, cfg=CODED).table.first().color == "Bla"

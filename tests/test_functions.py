@@ -113,7 +113,7 @@ def test_bounded_key_keeps_values_apart(spark):
 def test_row_digest_tells_null_blank_and_boundaries_apart(spark):
     data = [(None, "a"), ("a", None), ("", "a"), ("a", ""), ("a1:b", None), ("a", "b"), ("ab", ""), ("", "ab"), ("-", None), (None, "-")]
     df = spark.createDataFrame(data, "a string, b string")
-    assert df.select(text.row_digest(["a", "b"])).distinct().count() == len(data)
+    assert df.select(text.row_digest(df, ["a", "b"])).distinct().count() == len(data)
 
 
 def test_number_texts(spark):

@@ -102,10 +102,9 @@ def test_exact_quantiles(spark, values):
     assert got["h"] == [1.0] * len(PROBS)
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_exact_quantiles_on_skewed_data(skewed, few):
+def test_exact_quantiles_on_skewed_data(skewed):
     data, df = skewed
-    got = exact_quantiles(df, "k", "v", [0.25, 0.5, 0.75], few_groups=few)
+    got = exact_quantiles(df, "k", "v", [0.25, 0.5, 0.75])
     by_key: dict[str, list[float]] = {}
     for _, k, v in data:
         by_key.setdefault(k, []).append(v)

@@ -6,8 +6,13 @@ import pytest
 
 from siftloom import diagnose, land_csv, number_rows, read_csv, write_bundle, write_clean
 from siftloom.sources import preview
-from siftloom.sources.tables import InputError, read_bundle, sample_extract, validated, write_clean_csv
-from tests.conftest import rows
+from siftloom.operators.profile import missingness_by_variable
+from siftloom.sources.tables import InputError, infer_types, overflow_count, read_bundle, sample_extract, validated, write_clean_csv
+from pyspark.sql import functions as F
+
+from siftloom.operators import checks, duplicates, profile
+from siftloom.operators.roles import detect_roles
+from tests.conftest import SF, rows
 
 CSV = 'a,b,c\n1,x,y\n3\n4,"",z,extra\n5,"two\nlines","say ""hi"""\n6, pad ,NA\n'
 
@@ -20,12 +25,38 @@ def csv_file(tmp_path):
 
 
 def test_ragged_csv(spark, csv_file):
-    got = [tuple(r) for r in read_csv(spark, csv_file).collect()]
-    assert got == [("1", "x", "y"), ("3", None, None), ("4", "", "z"), ("5", "two\nlines", 'say "hi"'), ("6", "pad", None)]
+    table = read_csv(spark, csv_file)
+    got = [tuple(r) for r in table.collect()]
+    assert [g[:3] for g in got] == [("1", "x", "y"), ("3", None, None), ("4", "", "z"), ("5", "two\nlines", 'say "hi"'), ("6", "pad", None)]
+    assert [g[3] for g in got] == [None, None, '4,"",z,extra', None, None]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_files_with_other_columns(spark, tmp_path, multi_line):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a,b\n1,2\n3,4,5\n")
+    (folder / "b.csv").write_text("b,a\n20,10\n")
+    (folder / "c.csv").write_text('a,"x.y"\n7,8\n9\n')
+    table = read_csv(spark, str(folder), multi_line=multi_line)
+    assert table.columns == ["a", "b", "x.y", "_overflow"]
+    assert rows(table) == rows(spark.createDataFrame(
+        [("1", "2", None, None), ("3", "4", None, "3,4,5"), ("10", "20", None, None), ("7", None, "8", None), ("9", None, None, None)],
+        "a string, b string, xy string, o string"))
+    landed = land_csv(spark, str(folder), str(tmp_path / "landed"), multi_line=multi_line)
+    assert landed.count() == 5 and overflow_count(landed).first().records == 1
+    assert {r.variable: r.missing_count for r in missingness_by_variable(landed).collect()}["x.y"] == 4
+
+
+def test_types_come_from_all_rows(spark):
+    data = [("1", "1.5", "true", "2024-01-02", "2024-01-02 03:04:05", "01", None, "x", "1")] * 50 + [("-7", "2", "F", "", None, "2", "", "y", "1e3")]
+    got = infer_types(spark.createDataFrame(data, "a string, b string, c string, d string, e string, f string, g string, h string, i string"))
+    assert [t for _, t in got.dtypes] == ["bigint", "double", "boolean", "date", "timestamp_ntz", "string", "string", "string", "double"]
+    assert got.where("a = -7 and b = 2 and not c and d is null and i = 1000").count() == 1
 
 
 def test_given_columns(spark, csv_file):
-    assert read_csv(spark, csv_file, columns=["p", "q", "r"]).columns == ["p", "q", "r"]
+    assert read_csv(spark, csv_file, columns=["p", "q", "r"]).columns == ["p", "q", "r", "_overflow"]
 
 
 def test_missing_file(spark):
@@ -71,7 +102,7 @@ def test_number_rows_on_computed_tables(spark):
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", None), (2, "", 'q"uote'), (3, "l1\nl2", "é")], "row_number long, x string, y string")
     write_clean_csv(df, str(tmp_path / "out"))
-    got = [tuple(r) for r in read_csv(spark, str(tmp_path / "out")).collect()]
+    got = [tuple(r)[:3] for r in read_csv(spark, str(tmp_path / "out")).collect()]
     assert sorted(got) == [("1", "a", None), ("2", None, 'q"uote'), ("3", "l1\nl2", "é")]
 
 
@@ -90,6 +121,23 @@ def test_bundle(spark, catalog, tmp_path):
     assert back["problem_rows"].where("name like '%\n%'").count() == 0
 
 
+def test_every_table_can_be_diagnosed(spark):
+    for name in ("customer", "events", "documents"):
+        df = spark.read.parquet(f"{SF}/{name}.parquet").withColumn("row_number", F.monotonically_increasing_id()).limit(50)
+        tables = diagnose(df)
+        assert {k for k, t in tables.items() if t.columns} == set(tables) and len(tables) == 20
+        assert all(tables[k].count() == 0 for k in ("attr_names", "attr_name_values", "image_dup_summary"))
+
+
+def test_no_limit_unless_asked(spark):
+    df = spark.range(1, 120_001).selectExpr("id AS row_number", "'u' AS url", "CAST(-1 AS STRING) AS price", "CAST(id AS STRING) AS size")
+    roles = detect_roles(df)
+    assert duplicates.repeated_key_rows(df, "url").count() == checks.problem_rows(df, roles).count() == 120_000
+    assert profile.level_summary(df, ["size"]).count() == sample_extract(df).count() == 120_000
+    assert duplicates.repeated_key_rows(df, "url", n=0).count() == checks.problem_rows(df, roles, n=0).count() == 0
+    assert [r.row_number for r in duplicates.exact_duplicate_rows(df.drop("size"), n=3).collect()] == [1, 2, 3]
+
+
 def test_sample_extract(catalog):
     sample = sample_extract(catalog, 20)
     assert sample.count() == 20 and sample.where("name like '%\n%'").count() == 0

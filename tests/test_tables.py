@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftloom import CODED, alerts, detect_roles, diagnose, executive_metrics, issue_register
-from siftloom.operators import checks, duplicates, profile, ranges
+from siftloom.operators import checks, duplicates, profile, ranges, scale
 from siftloom.operators.roles import LOOSE_PATTERNS, find_column, numeric_like_columns, priority_first
 from siftloom.plans.diagnose import diagnose_loose
 from siftloom.plans.report import facts
@@ -164,3 +164,37 @@ def test_rows_with_numbers_are_compared_by_value(spark):
     df = spark.createDataFrame([(1, 0.0, None, "a"), (2, -0.0, None, "a"), (3, 0.0, 0, "a"), (4, 0.0, None, None)],
                                "row_number long, v double, n int, s string")
     assert duplicates.exact_duplicate_count(df).first().copies == 1
+
+
+def test_one_row_identity_everywhere(spark):
+    zero = spark.createDataFrame([(1, 0.0, ["a, b"]), (2, -0.0, ["a, b"]), (3, float("nan"), ["a", "b"]), (4, float("nan"), ["a", "b"])],
+                                 "row_number long, x double, a array<string>")
+    wide = zero.select("*", *[F.col("x").alias(f"x{i}") for i in range(20)])
+    inner = zero.select("row_number", F.array("x").alias("l"), F.struct("x", "a").alias("s"), F.create_map(F.lit("k"), "x").alias("m"))
+    for df in (zero, wide, inner):
+        copies = {r.metric: r.value for r in profile.overview(df).collect()}["Exact duplicate rows"]
+        assert copies == 2 and duplicates.exact_duplicate_count(df).first().copies == 2
+        assert sorted(r.row_number for r in duplicates.exact_duplicate_rows(df).collect()) == [1, 2, 3, 4]
+        assert sorted(r.row_number for r in duplicates.drop_exact_duplicates(df).collect()) == [1, 3]
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, float("nan"))], "row_number long, price double")
+    assert profile.missingness_by_variable(df).first().missing_count == 2
+    assert profile.variable_types(df).first().missing_count == 2
+    assert ranges.range_checks(df).first().parsed_count == 1
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, "x", 2.0), (2, "", 3.0), (2, None, 4.0)], "row_number long, `a.b` string, `price.usd` double")
+    assert {r.variable: r.missing_count for r in profile.missingness_by_variable(df).collect()} == {"a.b": 2, "price.usd": 0}
+    assert [r.variable for r in ranges.range_checks(df).collect()] == ["price.usd"]
+    assert profile.text_quality(df).count() == 1 and profile.variable_types(df).count() == 2
+    assert duplicates.exact_duplicate_count(df).first().copies == 0
+
+
+def test_values_close_together_stay_in_small_buckets(spark):
+    df = spark.range(100_000).select(F.lit("g").alias("g"), (F.lit(100.0) + F.col("id") * 1e-14 * 3).alias("v"))
+    values = sorted(100.0 + i * 1e-14 * 3 for i in range(100_000))
+    got = scale.exact_quantiles(df, "g", "v", [0.5]).first().q0
+    assert got == pytest.approx((values[49_999] + values[50_000]) / 2, abs=1e-15)

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions.text import named
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``."""
@@ -48,4 +50,4 @@ def number_rows(df: DataFrame, name: str = "row_number", from_files: bool = True
     offsets = offsets.select("__piece", F.when(twice, F.raise_error("two file pieces share a hash").cast("bigint"))
                              .otherwise(F.col("__shift")).alias("__shift"))
     numbered = placed.withColumn("__piece", piece).join(F.broadcast(offsets), "__piece")
-    return numbered.select((F.col("__shift") + F.col("__at")).alias(name), *columns)
+    return numbered.select((F.col("__shift") + F.col("__at")).alias(name), *[named(c) for c in columns])

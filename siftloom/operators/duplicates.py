@@ -8,7 +8,7 @@ from ..functions.lists import has_repeats, list_elements
 from ..functions.numbers import pct_text
 from ..functions.text import bounded_key, is_present, named, rendered, row_digest
 from ..settings import DEFAULT, Settings
-from .roles import Roles
+from .roles import Roles, missing_in
 from .scale import first_per_key, first_selected_rows, long_form, row_identity, rows_with_listed_key, wide_to_rows
 
 
@@ -58,16 +58,12 @@ def exact_duplicate_rows(df: DataFrame, cfg: Settings = DEFAULT, n: int | None =
 
 def repeated_key_rows(df: DataFrame, key: str, cfg: Settings = DEFAULT, n: int | None = None) -> DataFrame:
     """All rows whose present ``key`` occurs more than once; with ``n`` the first ``n`` by row id, in that order."""
-    present = F.when(is_present(named(key)), bounded_key(rendered(df, key)))
-    return _repeated_rows(df, present, cfg, n)
+    return _repeated_rows(df.where(~missing_in(df, key)), bounded_key(rendered(df, key)), cfg, n)
 
 
 def _repeated_rows(df: DataFrame, key: Column, cfg: Settings, n: int | None) -> DataFrame:
-    """One aggregate over the keys and one semi-join. Rows without a key do not count as repeated."""
-    if n is not None:
-        keyed = df.select(cfg.row_id, key.alias("__key")).where(F.col("__key").isNotNull())
-    else:
-        keyed = df.withColumn("__key", key).where(F.col("__key").isNotNull())
+    """One aggregate over the keys and one semi-join; with ``n`` only ids travel until the first are known."""
+    keyed = df.withColumn("__key", key) if n is None else df.select(cfg.row_id, key.alias("__key"))
     repeated = keyed.select("__key").groupBy("__key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     selected = rows_with_listed_key(keyed, repeated, "__key", "n", cfg.row_id)
     return selected.drop("__key") if n is None else first_selected_rows(df, selected, n, cfg.row_id)

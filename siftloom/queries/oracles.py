@@ -117,7 +117,7 @@ def ranges(table: str, columns: dict[str, tuple[str, str]]) -> str:
     for c, (shown, expr) in columns.items():
         parts.append(f"""
 SELECT '{c}' AS variable, '{shown}' AS original_type, count(v) AS parsed_count, {pct('count(v)', 'count(*)')} AS parsed_pct,
-  round(min(v), 6) AS min, round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS median, round(avg(v) * (1 + 1e-12::DOUBLE), 6) AS mean,
+  round(min(v), 6) AS min, round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS median, round(favg(v) * (1 + 1e-12::DOUBLE), 6) AS mean,
   round(any_value(q3), 6) AS q3, round(max(v), 6) AS max, {count_if('v < 0')} AS negative_count,
   {count_if('v = 0')} AS zero_count,
   {count_if('v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)')} AS iqr_outlier_count
@@ -505,7 +505,7 @@ def column_summary(table: str, columns: dict[str, str], numeric: set[str]) -> st
         stats = ", ".join(
             f"round({sql.format(c=f'CAST({c} AS DOUBLE)')}, 6) AS {name}" if c in numeric else f"CAST(NULL AS DOUBLE) AS {name}"
             for name, sql in (("min", "min({c})"), ("q1", "quantile_cont({c}, 0.25)"), ("median", "quantile_cont({c}, 0.5)"),
-                              ("mean", "avg({c}) * (1 + 1e-12::DOUBLE)"), ("q3", "quantile_cont({c}, 0.75)"), ("max", "max({c})")))
+                              ("mean", "favg({c}) * (1 + 1e-12::DOUBLE)"), ("q3", "quantile_cont({c}, 0.75)"), ("max", "max({c})")))
         parts.append(f"SELECT '{c}' AS variable, '{t}' AS type, count(*) AS length, {count_if(c + ' IS NULL')} AS nulls, {stats} FROM {table}")
     return union(parts)
 

@@ -25,8 +25,9 @@ _NONE = Settings(row_id="__none")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that the order of a sum does not show; exact ties, which sums of decimals meet, go up."""
-    return df.select(*[F.round(F.col(f.name) * F.lit(1 + 1e-12), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+    """Doubles rounded, so that the order of a sum does not show; means that are exact ties, as of decimals, go up."""
+    up = {"mean": 1 + 1e-12}
+    return df.select(*[F.round(F.col(f.name) * F.lit(up.get(f.name, 1.0)), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                        for f in df.schema])
 
 

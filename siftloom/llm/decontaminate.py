@@ -20,7 +20,7 @@ from siftloom.llm.store import map_arrow
 from siftloom.llm.words import ALNUM, bits_for, blocks, find_words
 
 WINDOW = 10
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 #: Benchmark text sent to the tasks at once; a larger benchmark takes several rounds over the documents.
 BENCHMARK_BYTES = 16_000_000
 PAIRS = 1_000_000

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 3_000_000
 
 
 def _table(word: str, lower: bool) -> tuple[np.ndarray, np.ndarray]:

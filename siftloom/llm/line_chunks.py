@@ -23,6 +23,8 @@ from siftloom.llm.words import SPACED, blocks, find_words, lines_of
 ROLLING, DIVISOR = 2, 2
 #: A line of so many words is a chunk by itself.
 LONG_LINE = 16
+#: Short lines beside a repeated chunk that are compared too. Chunks may be cut otherwise at the edges of a passage.
+BESIDE = 8
 #: Repeated passages of fewer words stay.
 MIN_WORDS = 50
 
@@ -50,7 +52,8 @@ class Chunks:
     """Chunks of the documents of a block, as ranges of lines."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.first, docs, self.start, self.end = lines_of(data, offsets)
+        self.first, self.row, self.start, self.end = lines_of(data, offsets)
+        docs = self.row
         n = len(docs)
         words = find_words(data, offsets, SPACED).starts
         self.words = np.searchsorted(words, self.end) - np.searchsorted(words, self.start)
@@ -61,18 +64,22 @@ class Chunks:
         self.low = np.concatenate([[0], self.high[:-1]]).astype(np.int64) if n else self.high
         self.doc = docs[self.low]
         filled = np.concatenate([[0], np.cumsum(self.words > 0)])
-        # A chunk is looked for if it has several lines with words, or is a long line.
-        self.wanted = np.flatnonzero((filled[self.high] - filled[self.low] > 1) | (self.words[self.low] >= LONG_LINE))
+        # Every chunk with words is looked for; whether it goes is decided for whole runs of repeated lines.
+        self.wanted = np.flatnonzero(filled[self.high] > filled[self.low])
 
     def bytes_of(self, chunk: int) -> bytes:
         return self.raw[self.start[self.low[chunk]]:self.end[self.high[chunk] - 1]]
 
     def beside(self, chunk: int, step: int) -> bytes | None:
-        """The neighbouring chunk in the same document, unless it is a long line."""
-        other = chunk + step
-        if not 0 <= other < len(self.doc) or self.doc[other] != self.doc[chunk] or self.words[self.low[other]] >= LONG_LINE:
+        """The short lines before (-1) or after (1) a chunk in its document, ``BESIDE`` at most, up to a long one."""
+        edge = self.low[chunk] - 1 if step < 0 else self.high[chunk]
+        at = edge
+        while 0 <= at < len(self.row) and abs(at - edge) < BESIDE and self.row[at] == self.doc[chunk] and self.words[at] < LONG_LINE:
+            at += step
+        if at == edge:
             return None
-        return self.bytes_of(other)
+        a, b = (at + 1, edge) if step < 0 else (edge, at - 1)
+        return self.raw[self.start[a]:self.end[b]]
 
 
 def _key(documents: DataFrame, *more: Column) -> DataFrame:

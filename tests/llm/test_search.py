@@ -165,3 +165,15 @@ def test_line_chunks_of_awkward_rows(spark):
     assert [t for i, _, t in texts if i == 7 and t == helpers.prose(3, 80)] == [helpers.prose(3, 80)] * 2  # equal rows are one document
     assert drop_repeated_chunks(docs).columns == docs.columns
     assert without_repeated_chunks(docs.limit(0)).count() == 0
+
+
+def test_passages_of_short_lines(spark):
+    found = 0
+    for k in range(12):
+        words = helpers.alnum(helpers.prose(800 + k, 84))
+        shared = "\n".join(" ".join(words[i:i + 12]) for i in range(0, 84, 12))
+        rows = [(j, helpers.prose(1000 + 10 * k + j, 40, 5) + "\n" + shared + "\n" + helpers.prose(2000 + 10 * k + j, 40, 5)) for j in range(3)]
+        out = {r.doc_id: r for r in without_repeated_chunks(helpers.documents(spark, rows)).select("doc.doc_id", "text", "removed_words").collect()}
+        assert shared in out[0].text and all(helpers.prose(1000 + 10 * k + j, 40, 5) in out[j].text for j in range(3))
+        found += sum(out[j].removed_words == 84 for j in (1, 2))
+    assert found >= 18

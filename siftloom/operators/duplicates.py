@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lists import has_repeats, list_elements
 from ..functions.numbers import pct_text
-from ..functions.text import bounded_key, is_present, named, rendered, row_digest
+from ..functions.text import bounded_key, is_present, rendered, row_digest
 from ..settings import DEFAULT, Settings
 from .roles import Roles, missing_in
 from .scale import first_per_key, first_selected_rows, long_form, row_identity, rows_with_listed_key, wide_to_rows

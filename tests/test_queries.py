@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from siftloom.queries import oracles, registry
 from tests.compare import connect, difference
 from tests.conftest import SF
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registry.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -4,7 +4,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from siftloom.llm import line_crf, ppm, toxicity, weak_quality
 from siftloom.llm.queries import op2_cnn_toxicity, op4_weak_quality, op5_crf_lines, op7_ppm_language

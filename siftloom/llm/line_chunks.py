@@ -132,7 +132,8 @@ def repeated_ranges(documents: DataFrame) -> DataFrame:
         .select("digest", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"), F.col("first.line").alias("first_line")))
     texts = map_arrow(
         _key(documents, F.col("text")), _run(True), f"digest binary, id {kind}, row bigint, line int, lines int, body binary, before binary, after binary")
-    found = stored(texts.join(small_side(firsts), "digest").withColumn(
+    # The list of repeated chunks grows with the corpus: both sides are shuffled, at every size alike.
+    found = stored(texts.join(firsts, "digest").withColumn(
         "is_first", F.col("id").eqNullSafe(F.col("first_id")) & (F.col("row") == F.col("first_row")) & (F.col("line") == F.col("first_line"))))
     first = found.where("is_first").select("digest", F.col("body").alias("first_body"), F.col("before").alias("first_before"),
                                            F.col("after").alias("first_after")).dropDuplicates(["digest"])

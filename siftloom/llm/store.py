@@ -10,8 +10,8 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Cells (rows of a few numbers, or list entries) of a stored table that may be broadcast: some 20 MB at most.
-BROADCAST_ROWS = 300_000
+#: Cells (rows of a few numbers, or list entries) of a stored table that may be broadcast: some 60 MB at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,8 +1,10 @@
 """Line deduplication by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last two lines says after which line a chunk ends, so equal passages are cut
-alike wherever they stand; a long line is a chunk by itself. Chunks that occur in more than one document are compared
-byte by byte with their first occurrence, grown by the equal short lines next to them, and removed everywhere else.
+A chunk is the shortest run of lines with ``MIN_WORDS`` words that begins with a line, or that ends with it. Its lines
+alone say where it ends, so equal passages are cut alike whatever stands around them, and two documents share a run of
+lines with that many words exactly if they share a chunk; the shared chunks cover all of the run. Chunks are keyed by a
+rolling hash over the hashes of their lines. Each occurrence is matched with the first one, chunks in step are joined
+to one passage, and passages are compared byte by byte with their first occurrence before they go.
 """
 
 from __future__ import annotations
@@ -19,129 +21,141 @@ from pyspark.sql import functions as F
 from siftloom.llm.store import map_arrow, small_side, stored
 from siftloom.llm.words import SPACED, blocks, find_words, lines_of
 
-#: Lines that the rolling hash covers, and one in how many of its values ends a chunk.
-ROLLING, DIVISOR = 2, 2
-#: A line of so many words is a chunk by itself.
-LONG_LINE = 16
-#: Short lines beside a repeated chunk that are compared too. Chunks may be cut otherwise at the edges of a passage.
-BESIDE = 8
 #: Repeated passages of fewer words stay.
 MIN_WORDS = 50
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: Factors of the two rolling hashes, modulo 2^64; odd, so that they can be divided by.
+_STEPS = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
-def boundaries(hashes: np.ndarray, words: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Whether a chunk ends after each line; ``docs`` numbers the document of each line."""
-    n = len(hashes)
-    rolled = hashes.copy()
-    for back in range(1, ROLLING):
-        same = docs[back:] == docs[:-back]
-        rolled[back:] += np.where(same, hashes[:-back], np.uint64(0)) * _STEP ** np.uint64(back)
-    rolled = (rolled ^ (rolled >> np.uint64(31))) * _MIX
-    long = words >= LONG_LINE
-    end = ((rolled >> np.uint64(33)) % np.uint64(DIVISOR) == 0) | long
-    if n:
-        end[:-1] |= long[1:] | (docs[1:] != docs[:-1])
-        end[-1] = True
-    return end
+def chunk_bounds(words: np.ndarray, docs: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First line and line after the last one of every chunk; ``docs`` numbers the document of each line."""
+    n, least = len(words), max(1, min_words)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    line = np.arange(n)
+    high = np.searchsorted(total, total[:-1] + least, side="left")
+    whole = (high <= n) & (docs[np.minimum(high, n) - 1] == docs)
+    low = np.searchsorted(total, total[1:] - least, side="right") - 1
+    back = (low >= 0) & (docs[np.maximum(low, 0)] == docs)
+    pairs = np.concatenate([line[whole] * (n + 1) + high[whole], low[back] * (n + 1) + line[back] + 1])
+    return tuple(np.divmod(np.unique(pairs), n + 1))
+
+
+def _powers(step: int, n: int) -> np.ndarray:
+    """``step`` to the powers 0 .. n, modulo 2^64."""
+    out = np.full(n + 1, step, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
 class Chunks:
-    """Chunks of the documents of a block, as ranges of lines."""
+    """Chunks of the documents of a block, as ranges of lines with two 64-bit keys."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.first, self.row, self.start, self.end = lines_of(data, offsets)
-        docs = self.row
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, min_words: int):
+        first, docs, start, end = lines_of(data, offsets)
         n = len(docs)
         words = find_words(data, offsets, SPACED).starts
-        self.words = np.searchsorted(words, self.end) - np.searchsorted(words, self.start)
-        self.raw, h = data.tobytes(), xxhash.xxh64_intdigest
-        hashes = np.fromiter((h(self.raw[a:b]) for a, b in zip(self.start.tolist(), self.end.tolist())), np.uint64, n)
-        end = boundaries(hashes, self.words, docs)
-        self.high = np.flatnonzero(end) + 1
-        self.low = np.concatenate([[0], self.high[:-1]]).astype(np.int64) if n else self.high
+        words = np.searchsorted(words, end) - np.searchsorted(words, start)
+        self.low, self.high = chunk_bounds(words, docs, min_words)
+        raw, h = data.tobytes(), xxhash.xxh3_128_digest
+        hashes = np.frombuffer(b"".join([h(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())]), np.uint64).reshape(n, 2)
+        self.keys = []
+        for j, step in enumerate(_STEPS):
+            power, back = _powers(step, n), _powers(pow(step, -1, 1 << 64), n)
+            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[:, j] * power[:-1], dtype=np.uint64)])
+            self.keys.append(((upto[self.high] - upto[self.low]) * back[self.low]).view(np.int64))
         self.doc = docs[self.low]
-        filled = np.concatenate([[0], np.cumsum(self.words > 0)])
-        # Every chunk with words is looked for; whether it goes is decided for whole runs of repeated lines.
-        self.wanted = np.flatnonzero(filled[self.high] > filled[self.low])
-
-    def bytes_of(self, chunk: int) -> bytes:
-        return self.raw[self.start[self.low[chunk]]:self.end[self.high[chunk] - 1]]
-
-    def beside(self, chunk: int, step: int) -> bytes | None:
-        """The short lines before (-1) or after (1) a chunk in its document, ``BESIDE`` at most, up to a long one."""
-        edge = self.low[chunk] - 1 if step < 0 else self.high[chunk]
-        at = edge
-        while 0 <= at < len(self.row) and abs(at - edge) < BESIDE and self.row[at] == self.doc[chunk] and self.words[at] < LONG_LINE:
-            at += step
-        if at == edge:
-            return None
-        a, b = (at + 1, edge) if step < 0 else (edge, at - 1)
-        return self.raw[self.start[a]:self.end[b]]
-
+        self.line = self.low - first[self.doc]
 
-def _key(documents: DataFrame, *more: Column) -> DataFrame:
-    return documents.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("row"), *more)
 
-
-def _run(with_text: bool):
+def _run(min_words: int, placed: bool):
+    """Keys of all chunks, with their document, or with their place in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in blocks(batches, "text"):
-            chunks = Chunks(data, offsets)
-            wanted = chunks.wanted
-            bodies = [chunks.bytes_of(c) for c in wanted.tolist()]
-            doc = chunks.doc[wanted]
-            line = chunks.low[wanted] - chunks.first[doc]
-            of = pa.array(doc)
-            out = [pa.array([xxhash.xxh3_128_digest(b) for b in bodies], pa.binary()), rows.column(0).take(of),
-                   rows.column(1).take(of), pa.array(line.astype(np.int32))]
-            names = ["digest", "id", "row", "line"]
-            if with_text:
-                out += [pa.array((chunks.high - chunks.low)[wanted].astype(np.int32)),
-                        *(pa.array(x, pa.binary()) for x in (bodies, [chunks.beside(c, -1) for c in wanted.tolist()],
-                                                             [chunks.beside(c, 1) for c in wanted.tolist()]))]
-                names += ["lines", "body", "before", "after"]
-            yield pa.RecordBatch.from_arrays(out, names)
+            chunks = Chunks(data, offsets, min_words)
+            of = pa.array(chunks.doc)
+            out = {"hi": pa.array(chunks.keys[0]), "lo": pa.array(chunks.keys[1])}
+            out |= {c: rows.column(rows.schema.get_field_index(c)).take(of) for c in (("id", "row") if placed else ("who",))}
+            if placed:
+                out |= {"line": pa.array(chunks.line.astype(np.int32)), "lines": pa.array((chunks.high - chunks.low).astype(np.int32))}
+            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
     return run
 
 
-def _equal_lines(a: str, b: str, last: bool) -> Column:
-    """How many leading (or last) lines two texts have in common; 0 if either is missing."""
-    def lines(x: str) -> Column:
-        parts = F.split(F.decode(x, "UTF-8"), "\n")
-        return F.reverse(parts) if last else parts
-
-    same = F.zip_with(lines(a), lines(b), lambda x, y: F.coalesce(x == y, F.lit(False)))
-    return F.coalesce(F.array_position(F.concat(same, F.array(F.lit(False))), F.lit(False)) - 1, F.lit(0)).cast("int")
-
-
-def repeated_ranges(documents: DataFrame) -> DataFrame:
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of a document in step with the same first document, joined where they overlap or touch."""
+    for batch in batches:
+        of, low, high = [], [], []
+        for i, chunks in enumerate(batch.column(batch.schema.get_field_index("chunks")).to_pylist()):
+            end = -1
+            for a, b in sorted((c["line"], c["line"] + c["lines"]) for c in chunks):
+                if a > end:
+                    of.append(i)
+                    low.append(a)
+                    high.append(b)
+                end = high[-1] = max(high[-1], b)
+        kept = batch.select(["id", "row", "first_id", "first_row"]).take(pa.array(of, pa.int64()))
+        shift = batch.column(batch.schema.get_field_index("shift")).to_numpy()[np.array(of, np.int64)]
+        low, high = np.array(low, np.int32), np.array(high, np.int32)
+        yield pa.RecordBatch.from_arrays([*kept.columns, *map(pa.array, (low, high, (low - shift).astype(np.int32)))],
+                                         ["id", "row", "first_id", "first_row", "a", "b", "first_a"])
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the wanted ranges of lines."""
+    for rows, data, offsets in blocks(batches, "text"):
+        first, _, start, end = lines_of(data, offsets)
+        raw = data.tobytes()
+        wanted = rows.column(rows.schema.get_field_index("wanted"))
+        flat = wanted.flatten()
+        low, high = flat.field("a").to_numpy(), flat.field("b").to_numpy()
+        of = np.repeat(np.arange(rows.num_rows), np.diff(wanted.offsets.to_numpy()))
+        bodies = [raw[x:y] for x, y in zip(start[first[of] + low].tolist(), end[first[of] + high - 1].tolist())]
+        keys = [rows.column(rows.schema.get_field_index(c)).take(pa.array(of)) for c in ("id", "row")]
+        yield pa.RecordBatch.from_arrays([*keys, flat, pa.array(bodies, pa.binary())], ["id", "row", "range", "body"])
+
+
+def repeated_ranges(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Columns ``id``, ``row`` (hash of the text) and ``ranges`` of lines [a, b) that repeat an earlier occurrence.
 
     The first occurrence is the one with the smallest document id (null last), text hash and line.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
-    narrow = map_arrow(_key(documents, F.col("text")), _run(False), f"digest binary, id {kind}, row bigint, line int")
-    who = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))
-    place = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"), F.col("line").alias("line"))
-    firsts = stored(
-        narrow.groupBy("digest").agg(F.min(place).alias("first"), F.max(who).alias("last"))
-        .where(~(F.col("first.id").eqNullSafe(F.col("last.id")) & (F.col("first.row") == F.col("last.row"))))
-        .select("digest", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"), F.col("first.line").alias("first_line")))
-    texts = map_arrow(
-        _key(documents, F.col("text")), _run(True), f"digest binary, id {kind}, row bigint, line int, lines int, body binary, before binary, after binary")
-    found = stored(texts.join(small_side(firsts), "digest").withColumn(
-        "is_first", F.col("id").eqNullSafe(F.col("first_id")) & (F.col("row") == F.col("first_row")) & (F.col("line") == F.col("first_line"))))
-    first = found.where("is_first").select("digest", F.col("body").alias("first_body"), F.col("before").alias("first_before"),
-                                           F.col("after").alias("first_after")).dropDuplicates(["digest"])
-    # The byte comparison: a chunk whose bytes differ from those of the first one stays.
-    repeats = found.where("not is_first").join(first, "digest").where("body = first_body")
-    low = F.col("line") - _equal_lines("before", "first_before", True)
-    high = F.col("line") + F.col("lines") + _equal_lines("after", "first_after", False)
-    return repeats.select("id", "row", F.struct(low.alias("a"), high.alias("b")).alias("range")) \
-        .groupBy("id", "row").agg(F.collect_set("range").alias("ranges"))
+    # Most chunks occur once, and that takes three numbers a chunk to see; places are looked at for the others only.
+    keys = map_arrow(documents.select(F.xxhash64("doc_id", "text").alias("who"), "text"), _run(min_words, False), "hi bigint, lo bigint, who bigint")
+    shared = stored(keys.groupBy("hi", "lo").agg(F.min("who").alias("a"), F.max("who").alias("b")).where("a != b").select("hi", "lo"))
+    docs = documents.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("row"), "text")
+    places = map_arrow(docs, _run(min_words, True), f"hi bigint, lo bigint, id {kind}, row bigint, line int, lines int")
+    found = stored(places.join(small_side(shared), ["hi", "lo"]))
+    place = F.struct(F.col("id").isNull().alias("none"), *[F.col(c).alias(c) for c in ("id", "row", "line")])
+    firsts = stored(found.groupBy("hi", "lo").agg(F.min(place).alias("first")).select(
+        "hi", "lo", *[F.col(f"first.{c}").alias(f"first_{c}") for c in ("id", "row", "line")]))
+    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("row") == F.col("first_row"))
+    # In its own document, a repeat that overlaps the first occurrence is part of it.
+    repeats = found.join(small_side(firsts), ["hi", "lo"]).where(~same | (F.col("line") >= F.col("first_line") + F.col("lines")))
+    groups = repeats.groupBy("id", "row", "first_id", "first_row", (F.col("line") - F.col("first_line")).alias("shift")) \
+        .agg(F.collect_set(F.struct("line", "lines")).alias("chunks"))
+    passages = stored(map_arrow(groups, _passages, f"id {kind}, row bigint, first_id {kind}, first_row bigint, a int, b int, first_a int"))
+    # The byte comparison: a passage whose bytes differ from those of the first one stays.
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (("first_id", kind), ("first_row", "bigint"), ("first_a", "int"))}
+    first_b = F.col("first_a") + F.col("b") - F.col("a")
+    firsts = passages.select(F.col("first_id").alias("id"), F.col("first_row").alias("row"), F.col("first_a").alias("a"), first_b.alias("b")).distinct()
+    fields = ["a", "b", "first_id", "first_row", "first_a"]
+    wanted = passages.select("id", "row", *fields).unionByName(firsts.select("id", "row", "a", "b", *none.values())) \
+        .groupBy("id", "row").agg(F.collect_set(F.struct(*fields)).alias("wanted"))
+    side = small_side(stored(wanted), cells=F.size("wanted") + 1)
+    joined = docs.join(side, docs["id"].eqNullSafe(side["id"]) & (docs["row"] == side["row"])).select(docs["*"], "wanted")
+    bodies = stored(map_arrow(joined, _bodies, f"id {kind}, row bigint, range struct<a int, b int, first_id {kind}, first_row bigint, first_a int>, body binary"))
+    first = bodies.where("range.first_row is null").select(
+        F.col("id").alias("of_id"), F.col("row").alias("of_row"), F.col("range.a").alias("of_a"), F.col("range.b").alias("of_b"),
+        F.col("body").alias("first_body")).dropDuplicates(["of_id", "of_row", "of_a", "of_b"])
+    repeats = bodies.where("range.first_row is not null").select("id", "row", "body", "range.*")
+    both = repeats.join(first, F.col("first_id").eqNullSafe(F.col("of_id")) & (F.col("first_row") == F.col("of_row"))
+                        & (F.col("first_a") == F.col("of_a")) & (first_b == F.col("of_b"))).where("body = first_body")
+    return both.groupBy("id", "row").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
 
 
 def _without(text: str, ranges: list[dict], min_words: int) -> tuple[str, int, int]:
@@ -169,12 +183,12 @@ def without_repeated_chunks(documents: DataFrame, min_words: int = MIN_WORDS) ->
     """One row per document: ``doc`` (the input row), ``text`` (without repeated passages), ``removed_lines``,
     ``removed_words``.
 
-    A passage is a run of lines that repeat, chunk by chunk, an earlier occurrence in another document (or, for a
-    chunk that several documents have, in the same one); it goes if it has ``min_words`` words. Rows with equal id and
+    A passage is a run of lines with ``min_words`` words or more that an earlier document has too (or, if several
+    documents have it, that stands earlier in the same one); all such runs go, and nothing else. Rows with equal id and
     text count as one document and are treated alike. A null text stays null; empty texts and texts without repeated
     passages stay as they are; a text that was one repeated passage becomes empty. An empty table gives no rows.
     """
-    ranges = stored(repeated_ranges(documents))
+    ranges = stored(repeated_ranges(documents, min_words))
     side = small_side(ranges, cells=F.size("ranges") + 1)
     docs = documents.select(F.struct("*").alias("doc"), F.col("doc_id").alias("key"), F.xxhash64("text").alias("hash"), F.col("text").alias("text"))
     joined = docs.join(side, docs["key"].eqNullSafe(side["id"]) & (docs["hash"] == side["row"]), "left").select("doc", "text", "ranges")

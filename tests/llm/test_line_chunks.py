@@ -29,6 +29,18 @@ def test_every_passage_of_short_lines_goes(spark, lines, words):
     assert all(shared[k] in out[10 * k][0] for k in range(24))
 
 
+def test_a_line_in_an_earlier_document_hides_no_passage(spark):
+    rows = []
+    for k in range(24):
+        middle = line(28, 70_000 + k)
+        shared = f"{line(13, 71_000 + k)}\n{middle}\n{line(12, 72_000 + k)}"
+        rows += [(10 * k, f"{line(10, 73_000 + k)}\n{middle}\n{line(10, 74_000 + k)}")]
+        rows += [(10 * k + j, f"{line(10, 75_000 + 10 * k + j)}\n{shared}\n{line(10, 76_000 + 10 * k + j)}") for j in (1, 2)]
+    out = result(without_repeated_chunks(helpers.documents(spark, rows)).select("doc.doc_id", "text", "removed_lines", "removed_words"))
+    assert [out[10 * k + 2][2] for k in range(24)] == [53] * 24
+    assert all(out[10 * k + j][1] == 0 for k in range(24) for j in (0, 1))
+
+
 def test_repeats_within_a_document(spark):
     """What several documents have goes from the second time on in the first one too; its first occurrence stays whole."""
     shared = "\n".join(line(12, 80_000 + j) for j in range(5))

@@ -1,15 +1,37 @@
-"""Line deduplication: passages of short lines, and what stays."""
+"""``op6_line_chunks`` against brute force: all runs of equal lines against all earlier documents."""
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from siftloom.llm.line_chunks import without_repeated_chunks
+from siftloom.llm.line_chunks import MIN_WORDS, without_repeated_chunks
+from siftloom.llm.queries import op6_line_chunks
 
 from . import helpers
 
 
+def brute_force(rows, min_words=MIN_WORDS):
+    """{doc_id: (text, removed lines, removed words)} of (doc_id, text) with distinct ids."""
+    out, docs = {}, [(i, (t or "").split("\n")) for i, t in sorted(rows)]
+    for k, (doc_id, lines) in enumerate(docs):
+        count = [len(helpers.SPACED.findall(x)) for x in lines]
+        gone = set()
+        for _, before in docs[:k]:
+            for shift in range(-len(before) + 1, len(lines)):
+                run = []
+                for i in range(len(lines) + 1):
+                    if i < len(lines) and 0 <= i - shift < len(before) and lines[i] == before[i - shift]:
+                        run.append(i)
+                        continue
+                    gone |= set(run) if sum(count[j] for j in run) >= min_words else set()
+                    run = []
+        out[doc_id] = ("\n".join(x for j, x in enumerate(lines) if j not in gone), len(gone), sum(count[j] for j in gone))
+    return out
+
+
 def result(df):
     return {r.doc_id: (r.text, r.removed_lines, r.removed_words) for r in df.collect()}
 
@@ -18,6 +40,45 @@ def line(words, seed):
     return " ".join(helpers.alnum(helpers.prose(seed, 2 * words))[:words])
 
 
+def passages_in_context(seed, docs=60):
+    """Documents of passages of short lines, of single lines that many documents have, of blank lines and of their own lines."""
+    rnd = random.Random(seed)
+    shapes = [(4, 14), (5, 12), (6, 10), (7, 12), (8, 8), (3, 20), (1, 60), (10, 5), (2, 24), (7, 7)]
+    passages = [[line(n, 10_000 + 100 * p + j) for j in range(k)] for p, (k, n) in enumerate(shapes * 2)]
+    frequent = [line(n, 20_000 + n) for n in (3, 9, 15, 16, 28, 40)]
+    rows = []
+    for d in range(docs):
+        lines = []
+        for part in range(rnd.randint(2, 6)):
+            p = rnd.choice(passages)
+            a, b = sorted(rnd.sample(range(len(p) + 1), 2))
+            lines += rnd.choice([p, p, p[a:b], [rnd.choice(frequent)], [rnd.choice(frequent), *p], ["", "  "],
+                                 [line(rnd.randint(1, 30), 30_000 + 100 * d + part)]])
+        rows.append((d, "\n".join(lines)))
+    return rows
+
+
+def twice(text):
+    """Whether the text has a passage twice."""
+    lines = text.split("\n")
+    for shift in range(1, len(lines)):
+        n = 0
+        for a, b in zip(lines, lines[shift:]):
+            n = n + len(helpers.SPACED.findall(a)) if a == b else 0
+            if n >= MIN_WORDS:
+                return True
+    return False
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_query_equals_brute_force(spark, tmp_path, seed):
+    # Repeats within one document have a test of their own.
+    rows = [(i, t) for i, t in passages_in_context(seed) if not twice(t)]
+    assert len(rows) > 30
+    helpers.documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    assert result(op6_line_chunks(spark, str(tmp_path))) == brute_force(rows)
+
+
 @pytest.mark.parametrize("lines, words", [(4, 14), (5, 12), (6, 10), (7, 12), (8, 8)])
 def test_every_passage_of_short_lines_goes(spark, lines, words):
     rows, shared = [], {}

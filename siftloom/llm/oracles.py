@@ -99,6 +99,53 @@ FROM c GROUP BY conv_id
 """
 
 
+# Kind, pattern, characters that a match, or its second group, needs. In the order in which equal starts are listed.
+OP11_KINDS = (
+    ("assign", """((?i:password|passwd|secret|token|api_?key))["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]{24,}", 0, 24),
+    ("github", "gh[opsur]_[A-Za-z0-9]{36,}", 0, 0),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("pem", "-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", 0, 0),
+)
+
+
+def _op11() -> str:
+    """Starts of matches are the lengths of the pieces and matches before them; letters with other case forms are put out of the way."""
+    parts = " UNION ALL ".join(f"""
+  SELECT r, '{kind}' AS kind, {k} AS k, regexp_extract_all(text, '{p}') AS m, regexp_extract_all(text, '{p}', {group}) AS g,
+         string_split_regex(text, '{p}') AS s, {least} AS least FROM d""" for k, (kind, p, group, least) in enumerate(OP11_KINDS))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), chr(383) || chr(8490), '##') AS text FROM documents),
+found AS ({parts}),
+each AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM found),
+spans AS (
+  SELECT r, kind, k, coalesce(list_sum(list_transform(s[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS first,
+         length(m[i]) AS size FROM each WHERE length(g[i]) >= least),
+named AS (SELECT *, kind || ':' || CAST(CAST(first AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(first + size AS BIGINT) AS VARCHAR) AS name FROM spans),
+lists AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+                 string_agg(name, ',' ORDER BY first, k) FILTER (k < 3) AS base, string_agg(name, ',' ORDER BY first, k) AS spans FROM named GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN lists USING (r)
+"""
+
+
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id, CAST(list_dot_product(a.x, v.x) AS BIGINT) AS score
+      FROM v AS a JOIN v ON a.vec_id % 100 = 0 AND v.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_suffix_decontamination": OP1, "op3_budget_mixing": OP3.replace("{crc}", _crc_cases([f"src{i}" for i in range(100)])),
-            "op9_warc_normalise": OP9, "op10_chat_fsm": OP10}
+            "op9_warc_normalise": OP9, "op10_chat_fsm": OP10, "op11_secret_ledger": _op11(), "op12_hard_negatives": OP12}

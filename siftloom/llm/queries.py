@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftloom.llm import line_crf, ppm, weak_quality
+from siftloom.llm import hard_negatives, line_crf, ppm, secret_ledger, weak_quality, whitening
 from siftloom.llm.chat import format_conversations, read_back
 from siftloom.llm.decontaminate import contamination
 from siftloom.llm.line_chunks import without_repeated_chunks
@@ -112,7 +112,34 @@ def op10_chat_fsm(spark: SparkSession, folder: str) -> DataFrame:
                        F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["rule"], s["first"], s["last"])), ",")
+
+
+def op11_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_ledger.scan(_documents(spark, folder), ["doc_id"])
+    base = [r.kind for r in secret_ledger.BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["rule"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("path.doc_id", *map(count, base), F.sha2(_joined(F.filter("found", lambda s: s["rule"].isin(base))), 256).alias("base_sha256"),
+                        _joined(F.col("found")).alias("spans"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_cholesky_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.select("doc.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_suffix_decontamination, op2_cnn_toxicity, op3_budget_mixing, op4_weak_quality, op5_crf_lines, op6_line_chunks,
-             op7_ppm_language, op8_simhash_trie, op9_warc_normalise, op10_chat_fsm)
+             op7_ppm_language, op8_simhash_trie, op9_warc_normalise, op10_chat_fsm, op11_secret_ledger, op12_hard_negatives,
+             op13_cholesky_whitening)
     return {f.__name__: f for f in found}

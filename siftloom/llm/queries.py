@@ -13,7 +13,7 @@ from siftloom.llm.decontaminate import contamination
 from siftloom.llm.line_chunks import without_repeated_chunks
 from siftloom.llm.mixture import mix
 from siftloom.llm.simhash_trie import simhash_groups
-from siftloom.llm.toxicity import labelled, score, train, with_threshold
+from siftloom.llm.toxicity import fitted, score, with_threshold
 from siftloom.llm.warc import through_archives
 
 
@@ -44,7 +44,7 @@ def _held_out(folds: int, fold: int, doc_id: str = "doc_id") -> Column:
 
 def op2_cnn_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
-    net = train(labelled(docs, _table(spark, folder, "labels").where(~_held_out(5, 0))))
+    net = fitted(docs, _table(spark, folder, "labels").where(~_held_out(5, 0)))
     return with_threshold(score(docs, net), net).select(
         "doc.doc_id", _held_out(5, 0, "doc.doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "threshold", "toxic")

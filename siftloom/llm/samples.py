@@ -11,6 +11,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftloom.llm.store import stored
+
+#: UTF-8 bytes of the texts of a labelled sample, half of them for each label.
+SAMPLE_BYTES = 64_000_000
+
 
 @dataclass
 class Sample:
@@ -36,20 +41,46 @@ def by_group(rows: DataFrame, group: str, hash_: Column, sample: int) -> tuple[D
     return rows.where(keep), totals
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, sample: int, chars: int, seed: int = 7) -> Sample:
-    """About ``sample`` documents of each label in ``labels[column]`` (0 or 1) whose texts have at most ``chars`` characters.
+def labelled_rows(documents: DataFrame, labels: DataFrame, column: str, sample: int, chars: int, seed: int = 7, max_bytes: int = SAMPLE_BYTES
+                  ) -> tuple[DataFrame, dict]:
+    """About ``sample`` documents of each label in ``labels[column]`` (0 or 1) whose texts have at most ``chars`` characters,
+    as stored rows ``label, text, lang``, and how many rows each label has in all.
 
     An id's label counts once (the larger, if they differ), and so does its text (the smallest). The chosen ids are a
-    bounded list and are sent to the documents. Null ids, labels and texts are left out.
+    bounded list and are sent to the documents. Null ids, labels and texts are left out. Where the chosen texts of a label
+    exceed half of ``max_bytes``, the last ones by hash are left out.
     """
     label = labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1)).groupBy("doc_id").agg(F.max(column).alias("label"))
-    ids, totals = by_group(label, "label", F.xxhash64("doc_id", F.lit(seed)), sample)
+    hash_ = F.xxhash64("doc_id", F.lit(seed))
+    ids, totals = by_group(label, "label", hash_, sample)
     lang = F.col("lang").cast("string") if "lang" in documents.columns else F.lit(None).cast("string")
     texts = documents.where("text is not null").where(F.length("text") <= chars).select("doc_id", "text", lang.alias("lang"))
-    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("text", "lang")).alias("row")) \
-        .select("label", "row.text", "row.lang").collect()
-    rows = sorted(rows, key=lambda r: (r["label"], r["text"], r["lang"] or ""))
-    return Sample([r["text"] for r in rows], [r["label"] for r in rows], [r["lang"] for r in rows], totals)
+    rows = stored(texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("text", "lang")).alias("row"))
+                  .select("label", hash_.alias("hash"), "row.text", "row.lang"))
+    sizes: dict = {}
+    for r in sorted(rows.select("label", "hash", F.octet_length("text").alias("n")).collect()):
+        sizes.setdefault(r["label"], []).append((r["hash"], r["n"]))
+    keep = F.lit(True)
+    for value, found in sizes.items():
+        left = max_bytes // 2
+        for at, n in found:
+            left -= n
+            if left < 0:
+                keep = keep & ((F.col("label") != value) | (F.col("hash") < at))
+                break
+    return rows.where(keep).select("label", "text", "lang"), totals
+
+
+def as_sample(rows: list, totals: dict) -> Sample:
+    """Rows of label, text and language in an order of their own."""
+    rows = sorted(rows, key=lambda r: (r[0], r[1], r[2] or ""))
+    return Sample([r[1] for r in rows], [r[0] for r in rows], [r[2] for r in rows], totals)
+
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, sample: int, chars: int, seed: int = 7) -> Sample:
+    """The rows of ``labelled_rows`` on the driver."""
+    rows, totals = labelled_rows(documents, labels, column, sample, chars, seed)
+    return as_sample(rows.collect(), totals)
 
 
 def text_sample(texts: DataFrame, sample: int, chars: int, group: str | None = None, seed: int = 3) -> Sample:

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from siftloom.llm import line_crf, ppm, toxicity, weak_quality
+from siftloom.llm import line_crf, ppm, samples, toxicity, weak_quality
 from siftloom.llm.queries import op2_cnn_toxicity, op4_weak_quality, op5_crf_lines, op7_ppm_language
 from siftloom.llm.samples import Sample
 
@@ -224,3 +224,23 @@ def test_language_query(spark):
     assert len(rows) == len(lang)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in rows if r.held_out]) > 0.98
+
+
+def test_labelled_rows_are_bounded_in_bytes(spark):
+    docs = helpers.documents(spark, [(i, helpers.prose(i, 50 + i)) for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    whole, totals = samples.labelled_rows(docs, labels, "toxic", 1000, 10_000)
+    assert whole.count() == 200 and totals == {0: 100, 1: 100}
+    few = samples.labelled_rows(docs, labels, "toxic", 1000, 10_000, max_bytes=20_000)[0].collect()
+    for k in (0, 1):
+        sizes = [len(r.text.encode()) for r in few if r.label == k]
+        assert 9_000 < sum(sizes) <= 10_000
+    assert {r.text for r in few} <= {r.text for r in whole.collect()}
+
+
+def test_toxicity_is_fitted_alike_in_a_task(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("doc_id % 4 = 0")
+    here, there = toxicity.train(toxicity.labelled(docs, labels)), toxicity.fitted(docs, labels)
+    assert np.array_equal(here.embedding, there.embedding) and here.thresholds == there.thresholds
+    assert toxicity.fitted(docs.limit(0), labels) is None

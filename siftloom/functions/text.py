@@ -16,6 +16,14 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, or with as many underscores behind it as make it a name that none of the columns has."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def rendered(df: DataFrame, column: str) -> Column:
     """A column as text, a number that is NaN as NULL."""
     c = named(column)

@@ -29,6 +29,25 @@ def pin(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(target)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``pin`` where the session has a shared folder; else the table as it is, to be computed again where it is read."""
+    return df if df.sparkSession.conf.get("spark.checkpoint.dir", None) is None else pin(df)
+
+
+def number_placed(df: DataFrame, name: str = "row_number", file: str = "file", start: str = "start", at: str = "at") -> DataFrame:
+    """Replace the place of each row (file, piece of the file, order in the piece) by a dense row number in that order.
+
+    Rows are ranked within their piece, which is bounded, and pieces are counted; nothing is sorted as a whole or copied.
+    """
+    columns = [c for c in df.columns if c not in (file, start, at)]
+    pieces = df.groupBy(file, start).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(file, start).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = pieces.select(named(file).alias("__f"), named(start).alias("__s"), F.coalesce(before, F.lit(0)).alias("__before"))
+    ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy(file, start).orderBy(at)))
+    met = ranked.join(F.broadcast(offsets), (named(file) == F.col("__f")) & (named(start) == F.col("__s")))
+    return met.select((F.col("__before") + F.col("__rank")).alias(name), *[named(c) for c in columns])
+
+
 def number_rows(df: DataFrame, name: str = "row_number", from_files: bool = True) -> DataFrame:
     """Add a dense row number in input order (file path, position in the file).
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,7 +13,8 @@ from ..functions.text import is_present, named, sanitise
 from ..operators.roles import text_columns
 from ..operators.scale import first_rows
 from ..settings import DEFAULT, Settings
-from .identity import number_rows
+from .identity import number_placed, number_rows
+from .quoted_csv import PLAIN, QUOTED, RETURNS, physical_lines, records, survey
 
 
 class InputError(ValueError):
@@ -23,52 +25,115 @@ class InputError(ValueError):
 OVERFLOW = "_overflow"
 
 
-def _headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
-    """Distinct first lines of the files, as column names, each with its files."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
-    firsts = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files").collect()
-    return [([c.strip() for c in next(csv.reader([g.header.lstrip("\ufeff")]))], list(g.files)) for g in groups]
+# Where a row of a CSV file comes from.
+_PLACE = ("__csv_file", "__csv_start", "__csv_at")
+_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "NA", "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+            "maxCharsPerColumn": "-1"}
+
+
+def header_names(text: str, overflow: str = OVERFLOW) -> list[str]:
+    """Column names of a header record: trimmed, nameless ones by their place (``V2``), repeated ones numbered (``x_2``)."""
+    found: list[str] = []
+    taken = {overflow.lower()}
+    for i, name in enumerate(next(csv.reader(io.StringIO(text.lstrip("\ufeff"), newline=""))), 1):
+        name = base = name.strip() or f"V{i}"
+        k = 1
+        while name.lower() in taken:
+            k += 1
+            name = f"{base}_{k}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def _groups(spark: SparkSession, path: str, columns: list[str] | None, multi_line: bool, overflow: str) -> list[tuple[list[str], str, bool, list[str]]]:
+    """Files by column names, kind, and whether their lines end with a carriage return too; one pass over the text finds all."""
+    files = survey(physical_lines(spark, path)).where("header IS NOT NULL")
+    if not multi_line:
+        files = files.withColumn("kind", F.lit(PLAIN))
+    groups = files.groupBy("kind", "header", "header_open").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files").collect()
+    found: dict[tuple, list[str]] = {}
+    for g in groups:
+        if columns:
+            texts = {f: None for f in g.files}
+        elif g.header_open and g.kind == QUOTED:
+            texts = {r.file: r.record for r in records(spark, list(g.files)).where("header").select("file", "record").collect()}
+        else:
+            # The lines of an old file that ends them with carriage returns alone are one for the survey.
+            texts = {f: g.header.split("\r")[0] if g.kind == RETURNS else g.header.rstrip("\r") for f in g.files}
+        for file, text in texts.items():
+            names = columns or header_names(text, overflow)
+            found.setdefault((tuple(names), g.kind, g.header.endswith("\r")), []).append(file)
+    return [(list(names), kind, crlf, sorted(files)) for (names, kind, crlf), files in sorted(found.items(), key=lambda kv: min(kv[1]))]
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True,
-             overflow: str = OVERFLOW) -> DataFrame:
+             overflow: str = OVERFLOW, one_task: bool = False) -> DataFrame:
     """Every field as text by the name in its own file's header: UTF-8, double quotes, short rows padded with NULL.
 
     Files may list their columns in any order, and a column that a file lacks is NULL there. Records with more fields
     than their header keep these fields as named, and the whole record's text in ``overflow``; nothing is cut.
-    ``columns`` gives the names instead of the headers, which are then skipped. ``multi_line`` allows line ends inside
-    quotes; each file is then read by one task, so large inputs should come as many files. Files without such fields
-    are split when ``multi_line`` is off. The word NA is NULL. Headers are read in a pass of their own.
+    ``columns`` gives the names instead of the headers, which are then skipped. The word NA is NULL. Blank lines are
+    skipped, also ahead of the header; nameless and repeated names of a header are numbered.
+
+    One pass over the text finds headers and files with line ends inside quotes. Such files are split and put together
+    again by ``quoted_csv``; all others go through Spark's reader, split as well. ``multi_line=False`` says that no field
+    holds a line end. ``one_task`` reads each file as a whole in one task instead, for comparison.
     """
+    parts = _csv_parts(spark, path, columns, multi_line, overflow, one_task)
+    return _together(spark, [p for p, _ in parts], overflow)
+
+
+def _csv_parts(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True, overflow: str = OVERFLOW,
+               one_task: bool = False) -> list[tuple[DataFrame, bool]]:
+    """A table per group of files, and whether Spark's reader reads it; others have the place of their rows."""
     try:
-        groups = [(columns, [path])] if columns else _headers(spark, path)
+        groups = _groups(spark, path, columns, multi_line, overflow)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise InputError(f"raw data file not found: {path}") from error
         raise
-    parts = [_read_files(spark, names, files, multi_line, overflow) for names, files in groups]
+    return [(_read_quoted(spark, names, files, crlf, overflow), False) if kind == QUOTED and not one_task
+            else (_read_files(spark, names, files, one_task or kind == RETURNS, overflow), True) for names, kind, crlf, files in groups]
+
+
+def _together(spark: SparkSession, parts: list[DataFrame], overflow: str, keep: tuple[str, ...] = ()) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], f"`{overflow}` string")
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return table.select(*[named(c) for c in table.columns if c != overflow], named(overflow))
+    return table.select(*[named(c) for c in table.columns if c not in (overflow, *_PLACE)], named(overflow), *keep)
 
 
 def _read_files(spark: SparkSession, names: list[str], files: list[str], multi_line: bool, overflow: str) -> DataFrame:
-    options = {"quote": '"', "escape": '"', "nullValue": "NA", "mode": "PERMISSIVE"}
     fields = [T.StructField(c, T.StringType()) for c in names]
-    raw = (spark.read.options(**options).option("header", True).option("multiLine", multi_line).option("encoding", "UTF-8")
+    raw = (spark.read.options(**_OPTIONS).option("header", True).option("multiLine", multi_line).option("encoding", "UTF-8")
            .option("enforceSchema", True).option("columnNameOfCorruptRecord", overflow)
-           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
            .schema(T.StructType([*fields, T.StructField(overflow, T.StringType())])).csv(files))
     # A record of another length than the header comes with its text; it is short unless it has one field more.
     wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
-    surplus = F.from_csv(named(overflow), wider, {**options, "multiLine": "true"})[f"c{len(names)}"].isNotNull()
+    surplus = F.from_csv(F.rtrim(named(overflow), F.lit(" \t\r\n")), wider, {**_OPTIONS, "multiLine": "true"})[f"c{len(names)}"].isNotNull()
     return raw.withColumn(overflow, F.when(surplus, named(overflow)))
 
 
+def _read_quoted(spark: SparkSession, names: list[str], files: list[str], crlf: bool, overflow: str) -> DataFrame:
+    # As Spark's reader does: the file's line end becomes a line feed inside fields, and blanks behind the last field go.
+    text = F.rtrim(F.replace("record", F.lit("\r\n"), F.lit("\n")) if crlf else F.col("record"), F.lit(" \t"))
+    wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    parsed = records(spark, files).where("NOT header").withColumn("fields", F.from_csv(text, wider, {**_OPTIONS, "multiLine": "true"}))
+    surplus = F.col("fields")[f"c{len(names)}"].isNotNull()
+    return parsed.select(*[F.col("fields")[f"c{i}"].alias(c) for i, c in enumerate(names)], F.when(surplus, F.col("record")).alias(overflow),
+                         *[F.col(c).alias(p) for c, p in zip(("file", "start", "at"), _PLACE)])
+
+
+def _numbered_parts(spark: SparkSession, parts: list[tuple[DataFrame, bool]], name: str, overflow: str) -> DataFrame:
+    """All rows, numbered in the order of files and places in them."""
+    if len(parts) == 1 and parts[0][1]:
+        return number_rows(_together(spark, [parts[0][0]], overflow), name)
+    placed = [p.select("*", F.col("_metadata.file_path").alias(_PLACE[0]), F.col("_metadata.file_block_start").alias(_PLACE[1]),
+                       F.monotonically_increasing_id().alias(_PLACE[2])) if native else p for p, native in parts]
+    return number_placed(_together(spark, placed, overflow, _PLACE), name, *_PLACE)
+
+
 def overflow_count(df: DataFrame, overflow: str = OVERFLOW) -> DataFrame:
     """One row, ``records``: how many records of a landed table had more fields than their header."""
     return df.agg(F.count(named(overflow)).alias("records"))
@@ -109,26 +174,16 @@ def validated(df: DataFrame) -> DataFrame:
     return df
 
 
-def _has_files(df: DataFrame) -> bool:
-    """Whether rows still know their place in a file; those of files with different headers do not."""
-    try:
-        return bool(df.select("_metadata.file_path").columns)
-    except AnalysisException:
-        return False
-
-
 def land_csv(spark: SparkSession, source: str, target: str, cfg: Settings = DEFAULT, **options) -> DataFrame:
     """CSV to Parquet once, with row numbers; everything later reads the Parquet copy.
 
-    Rows are numbered in file order; where files differ in their headers, those with the same header come together.
-
-    The column of records with surplus fields is there if there are any.
+    Rows are numbered in file order, whatever headers the files have. The column of records with surplus fields is there if there are any.
     """
-    raw = validated(read_csv(spark, source, **options))
-    numbered = number_rows(raw, cfg.row_id, from_files=_has_files(raw))
-    numbered.write.mode("overwrite").parquet(target)
-    landed = spark.read.parquet(target)
     overflow = options.get("overflow", OVERFLOW)
+    parts = _csv_parts(spark, source, **options)
+    validated(_together(spark, [p for p, _ in parts], overflow))
+    _numbered_parts(spark, parts, cfg.row_id, overflow).write.mode("overwrite").parquet(target)
+    landed = spark.read.parquet(target)
     return landed if overflow_count(landed, overflow).first().records else landed.drop(overflow)
 
 

@@ -1,10 +1,11 @@
 """Line deduplication by content-defined chunks of lines.
 
-A chunk is the shortest run of lines with ``MIN_WORDS`` words that begins with a line, or that ends with it. Its lines
-alone say where it ends, so equal passages are cut alike whatever stands around them, and two documents share a run of
-lines with that many words exactly if they share a chunk; the shared chunks cover all of the run. Chunks are keyed by a
-rolling hash over the hashes of their lines. Each occurrence is matched with the first one, chunks in step are joined
-to one passage, and passages are compared byte by byte with their first occurrence before they go.
+A rolling hash runs over the hashes of lines. In every window of ``MIN_WORDS`` words a chunk begins where it is smallest,
+and ends when it has ``CHUNK_WORDS`` words; the window's lines alone say where that is, so equal passages are cut alike
+whatever stands around them, and a shared run of lines with ``MIN_WORDS`` words always holds a shared chunk. Chunks that
+several documents have are anchors. They are stretched to both sides: all shortest runs of ``MIN_WORDS`` words that hold
+an anchor are keyed by their own rolling hash, each occurrence is matched with the first one, runs in step are joined to
+one passage, and passages are compared byte by byte with their first occurrence before they go.
 """
 
 from __future__ import annotations
@@ -23,14 +24,19 @@ from siftloom.llm.words import SPACED, blocks, find_words, lines_of
 
 #: Repeated passages of fewer words stay.
 MIN_WORDS = 50
+#: Words of a chunk, the number that its lines reach.
+CHUNK_WORDS = 16
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Factors of the two rolling hashes, modulo 2^64; odd, so that they can be divided by.
 _STEPS = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
-def chunk_bounds(words: np.ndarray, docs: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """First line and line after the last one of every chunk; ``docs`` numbers the document of each line."""
+def run_bounds(words: np.ndarray, docs: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First line and line after the last one of the shortest runs of ``min_words`` from, and up to, every line.
+
+    ``docs`` numbers the document of each line. Any run of lines with so many words is covered by such runs inside it.
+    """
     n, least = len(words), max(1, min_words)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -51,36 +57,59 @@ def _powers(step: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def least_in(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Where the smallest of ``values[low:high]`` is, for each of many ranges, none empty: two spans of a power of two each."""
+    out = np.zeros(len(low), np.int64)
+    level = np.frexp((high - low).astype(np.float64))[1] - 1
+    at, size = np.arange(len(values)), 1
+    for k in range(int(level.max(initial=-1)) + 1):
+        q = np.flatnonzero(level == k)
+        a, b = at[low[q]], at[high[q] - size]
+        out[q] = np.where(values[a] <= values[b], a, b)
+        at = np.where(values[at[:-size]] <= values[at[size:]], at[:-size], at[size:])
+        size *= 2
+    return out
+
+
 class Chunks:
-    """Chunks of the documents of a block, as ranges of lines with two 64-bit keys."""
+    """Runs of lines of the documents of a block, each with two 64-bit keys, and the chunk that each run holds."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, min_words: int):
         first, docs, start, end = lines_of(data, offsets)
         n = len(docs)
         words = find_words(data, offsets, SPACED).starts
         words = np.searchsorted(words, end) - np.searchsorted(words, start)
-        self.low, self.high = chunk_bounds(words, docs, min_words)
+        self.low, self.high = run_bounds(words, docs, min_words)
         raw, h = data.tobytes(), xxhash.xxh3_128_digest
         hashes = np.frombuffer(b"".join([h(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())]), np.uint64).reshape(n, 2)
-        self.keys = []
+        # Chunks that would reach into the next document end behind all runs of their own, so no run holds them.
+        total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+        ends = np.searchsorted(total, total[:-1] + max(1, min(CHUNK_WORDS, min_words)), side="left")
+        begins = np.flatnonzero(ends <= n)
+        self.keys, chunk_keys = [], []
         for j, step in enumerate(_STEPS):
             power, back = _powers(step, n), _powers(pow(step, -1, 1 << 64), n)
             upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[:, j] * power[:-1], dtype=np.uint64)])
             self.keys.append(((upto[self.high] - upto[self.low]) * back[self.low]).view(np.int64))
+            chunk_keys.append(((upto[ends[begins]] - upto[begins]) * back[begins]).view(np.int64))
         self.doc = docs[self.low]
         self.line = self.low - first[self.doc]
+        self.chunk = least_in(chunk_keys[0], self.low, np.searchsorted(ends[begins], self.high, side="right"))
+        self.chunk_keys = [k[self.chunk] for k in chunk_keys]
 
 
 def _run(min_words: int, placed: bool):
-    """Keys of all chunks, with their document, or with their place in it."""
+    """Keys of all chunks with their document, or of all runs with their chunk and their place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in blocks(batches, "text"):
             chunks = Chunks(data, offsets, min_words)
-            of = pa.array(chunks.doc)
-            out = {"hi": pa.array(chunks.keys[0]), "lo": pa.array(chunks.keys[1])}
+            pick = slice(None) if placed else np.unique(chunks.chunk, return_index=True)[1]
+            of = pa.array(chunks.doc[pick])
+            out = {"chunk_hi": pa.array(chunks.chunk_keys[0][pick]), "chunk_lo": pa.array(chunks.chunk_keys[1][pick])}
             out |= {c: rows.column(rows.schema.get_field_index(c)).take(of) for c in (("id", "row") if placed else ("who",))}
             if placed:
-                out |= {"line": pa.array(chunks.line.astype(np.int32)), "lines": pa.array((chunks.high - chunks.low).astype(np.int32))}
+                out |= {"hi": pa.array(chunks.keys[0]), "lo": pa.array(chunks.keys[1]), "line": pa.array(chunks.line.astype(np.int32)),
+                        "lines": pa.array((chunks.high - chunks.low).astype(np.int32))}
             yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
     return run
 
@@ -124,12 +153,18 @@ def repeated_ranges(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     The first occurrence is the one with the smallest document id (null last), text hash and line.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
-    # Most chunks occur once, and that takes three numbers a chunk to see; places are looked at for the others only.
-    keys = map_arrow(documents.select(F.xxhash64("doc_id", "text").alias("who"), "text"), _run(min_words, False), "hi bigint, lo bigint, who bigint")
-    shared = stored(keys.groupBy("hi", "lo").agg(F.min("who").alias("a"), F.max("who").alias("b")).where("a != b").select("hi", "lo"))
+    def several(df: DataFrame, hi: str, lo: str) -> DataFrame:
+        return stored(df.groupBy(hi, lo).agg(F.min("who").alias("a"), F.max("who").alias("b")).where("a != b").select(hi, lo))
+
+    # Most chunks occur once, and that takes three numbers a chunk to see; runs are looked at around the others only.
+    keys = map_arrow(documents.select(F.xxhash64("doc_id", "text").alias("who"), "text"), _run(min_words, False),
+                     "chunk_hi bigint, chunk_lo bigint, who bigint")
+    anchors = several(keys, "chunk_hi", "chunk_lo")
     docs = documents.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("row"), "text")
-    places = map_arrow(docs, _run(min_words, True), f"hi bigint, lo bigint, id {kind}, row bigint, line int, lines int")
-    found = stored(places.join(small_side(shared), ["hi", "lo"]))
+    places = map_arrow(docs, _run(min_words, True), f"chunk_hi bigint, chunk_lo bigint, id {kind}, row bigint, hi bigint, lo bigint, line int, lines int")
+    near = stored(places.join(small_side(anchors), ["chunk_hi", "chunk_lo"]).drop("chunk_hi", "chunk_lo"))
+    shared = several(near.select("hi", "lo", F.xxhash64("id", "row").alias("who")), "hi", "lo")
+    found = stored(near.join(small_side(shared), ["hi", "lo"]))
     place = F.struct(F.col("id").isNull().alias("none"), *[F.col(c).alias(c) for c in ("id", "row", "line")])
     firsts = stored(found.groupBy("hi", "lo").agg(F.min(place).alias("first")).select(
         "hi", "lo", *[F.col(f"first.{c}").alias(f"first_{c}") for c in ("id", "row", "line")]))
@@ -215,6 +250,6 @@ def drop_repeated_chunks(documents: DataFrame, min_words: int = MIN_WORDS) -> Da
     text if it is there. A document that held nothing else goes, as its text stands elsewhere; empty ones stay."""
     new = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text").cast(dict(documents.dtypes).get("n_chars", "bigint")), F.col("doc.n_chars"))
            if "n_chars" in documents.columns else None}
-    cut = without_repeated_chunks(documents, min_words).where("removed_lines = 0 or text is null or trim(text) != ''")
+    cut = without_repeated_chunks(documents, min_words).where((F.col("removed_lines") == 0) | F.col("text").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return cut.select(*[(F.when(F.col("removed_lines") > 0, new[c]).otherwise(F.col(f"doc.{c}")).alias(c) if c in new
                          else F.col("doc").getField(c).alias(c)) for c in documents.columns])

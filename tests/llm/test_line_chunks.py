@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siftloom.llm.line_chunks import MIN_WORDS, without_repeated_chunks
+from siftloom.llm.line_chunks import MIN_WORDS, Chunks, drop_repeated_chunks, least_in, without_repeated_chunks
 from siftloom.llm.queries import op6_line_chunks
 
 from . import helpers
@@ -117,3 +117,35 @@ def test_lines_that_repeat_apart_stay(spark):
     rows = [(1, f"one\n{a}\ntwo"), (2, f"three\n{b}\nfour"), (3, f"five\n{a}\n{b}\nsix")]
     out = without_repeated_chunks(helpers.documents(spark, rows)).where(F.col("removed_lines") > 0)
     assert out.count() == 0
+
+
+def test_chunks_begin_where_the_rolling_hash_is_smallest():
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    values = rnd.integers(0, 50, 300)
+    low = np.sort(rnd.integers(0, 299, 200))
+    high = np.minimum(low + rnd.integers(1, 90, 200), 300)
+    assert [values[i] for i in least_in(values, low, high)] == [values[a:b].min() for a, b in zip(low, high)]
+    # Equal passages are cut alike whatever stands around them, and the runs of fewer than half of the lines begin a chunk.
+    shared = "\n".join(line(6, 95_000 + j) for j in range(200))
+    cut = []
+    for before in ("", line(9, 96_000) + "\n", "\n".join(line(11, 96_100 + j) for j in range(30)) + "\n"):
+        data = np.frombuffer((before + shared).encode(), np.uint8)
+        chunks = Chunks(data, np.array([0, len(data)]), MIN_WORDS)
+        skip = before.count("\n")
+        inner = chunks.low >= skip
+        cut.append({(int(c) - skip, int(k)) for c, k in zip(chunks.chunk[inner], chunks.chunk_keys[0][inner])})
+        assert 5 < len(cut[-1]) < 100
+    assert cut[0] == cut[1] == cut[2]
+
+
+def test_repeats_of_one_kind_of_line_and_leftover_blanks(spark):
+    """Inner repeats are brute-forced too where no other document has them."""
+    rows = [(i, t) for i, t in passages_in_context(7, 30) if twice(t)]
+    one = [(i, f"{t}\n{line(70, 97_000 + i)}") for i, t in rows[:1]]
+    out = result(without_repeated_chunks(helpers.documents(spark, one)).select("doc.doc_id", "text", "removed_lines", "removed_words"))
+    assert all(out[i][1] == 0 for i, _ in one)
+    body = line(60, 98_000)
+    kept = drop_repeated_chunks(helpers.documents(spark, [(1, body), (2, f"\t\n{body}\n \r\n"), (3, " \n\t")]))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]

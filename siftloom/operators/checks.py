@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import parse_timestamp, timestamp_text
@@ -22,7 +24,11 @@ def price_discount_checks(df: DataFrame, roles: Roles) -> DataFrame:
     checks = price_discount_conditions(roles)
     if not checks:
         return df.sparkSession.createDataFrame([], "check string, count bigint")
-    totals = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(checks.values())])
+    return price_discount_table(df.agg(*[F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(checks.values())]), checks)
+
+
+def price_discount_table(totals: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """``price_discount_checks`` from its counts ``c0``, ``c1``, ..."""
     return wide_to_rows(totals, [[F.lit(label), F.col(f"c{i}")] for i, label in enumerate(checks)], ["check", "count"])
 
 
@@ -47,6 +53,11 @@ def _url_stats(values: DataFrame, url_type: str, variable: str) -> DataFrame:
     present = values.where(is_present(F.col("url")))
     per_url = present.groupBy(bounded_key(F.col("url")).alias("key")).agg(
         F.count("*").alias("n"), F.count_if(is_web_url(F.col("url"))).alias("valid"))
+    return url_stats_of(per_url, url_type, variable)
+
+
+def url_stats_of(per_url: DataFrame, url_type: str, variable: str) -> DataFrame:
+    """One row on a URL column from ``n`` and ``valid`` of each distinct URL."""
     n, valid = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("valid"), F.lit(0))
     return per_url.agg(
         F.lit(url_type).alias("url_type"), F.lit(variable).alias("variable"),
@@ -108,11 +119,41 @@ def datetime_checks(df: DataFrame, roles: Roles, cfg: Settings = DEFAULT) -> Dat
                 " earliest_date string, latest_date string")
     text = F.col(column).cast("string")
     parsed = df.select(text.alias("raw"), parse_timestamp(text, cfg.date_orders).alias("at"))
+    return parsed.agg(*datetime_counts(column))
+
+
+def datetime_counts(column: str) -> list[Column]:
+    """What ``datetime_checks`` finds, as aggregates over ``raw`` and ``at``."""
     present = is_present(F.col("raw"))
-    return parsed.agg(
+    return [
         F.lit(column).alias("variable"), F.count_if(present).alias("total_non_missing"),
         F.count("at").alias("parsed_count"), F.count_if(present & F.col("at").isNull()).alias("unparsed_count"),
-        timestamp_text(F.min("at")).alias("earliest_date"), timestamp_text(F.max("at")).alias("latest_date"))
+        timestamp_text(F.min("at")).alias("earliest_date"), timestamp_text(F.max("at")).alias("latest_date")]
+
+
+def date_order_votes(df: DataFrame, column: str, cfg: Settings = DEFAULT) -> DataFrame:
+    """``date_order, parsed, only_parsed``: how many texts of a column fit each order of year, month and day, and how many no other.
+
+    Most votes first, ties in the order of the settings. One pass over the column.
+    """
+    names = list(dict.fromkeys(o.partition(" ")[0] for o in cfg.date_orders))
+    text = F.col(column).cast("string")
+    fits = df.select(*[parse_timestamp(text, tuple(o for o in cfg.date_orders if o.partition(" ")[0] == name)).isNotNull().alias(name) for name in names])
+    only = {n: sum_all([F.col(o).cast("int") for o in names]) == 1 for n in names}
+    totals = fits.agg(*[F.count_if(F.col(n)).alias(f"{n}_all") for n in names], *[F.count_if(F.col(n) & only[n]).alias(f"{n}_only") for n in names])
+    listed = wide_to_rows(totals, [[F.lit(n), F.col(f"{n}_all"), F.col(f"{n}_only"), F.lit(i)] for i, n in enumerate(names)],
+                          ["date_order", "parsed", "only_parsed", "listed"])
+    return listed.orderBy(F.desc("parsed"), "listed").select("date_order", "parsed", "only_parsed")
+
+
+def elected_orders(df: DataFrame, column: str, cfg: Settings = DEFAULT) -> Settings:
+    """Settings whose date orders are tried in the order of the column's votes.
+
+    So ``03/02/2024`` is read as the column's unambiguous dates are, ``13/02/2024`` for one, and not by what the settings list
+    first; texts that fit other orders only still parse by them.
+    """
+    winners = [r["date_order"] for r in date_order_votes(df, column, cfg).collect()]
+    return replace(cfg, date_orders=tuple(o for w in winners for o in cfg.date_orders if o.partition(" ")[0] == w))
 
 
 def flag_columns(roles: Roles) -> dict[str, Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lists import distinct_urls
 from ..functions.numbers import digits_only_number, parse_number
-from ..functions.text import REPLACEMENT_CHAR, blank_to_null, first_match, fold_latin, named, trim_all
+from ..functions.text import REPLACEMENT_CHAR, blank_to_null, first_match, fold_latin, free_name, named, trim_all
 from ..settings import DEFAULT, Settings
 from .duplicates import keep_first_per_key
 from .roles import replace_column
@@ -74,9 +74,10 @@ def clean_price(df: DataFrame, column: str | None, cfg: Settings = DEFAULT) -> S
     if column != "price" and "price" in df.columns:
         df = df.withColumnRenamed("price", "price_other")
         log.append(LogEntry("price", "renamed", f"kept as price_other, as {column} becomes the column price"))
-    number = df.withColumn("__price", price_number(named(column).cast("string"), cfg))
-    flagged = number.withColumn("price_flag", price_flag(F.col("__price"), cfg))
-    priced = replace_column(flagged, column, "__price")
+    name = free_name(df.columns, "__price")
+    number = df.withColumn(name, price_number(named(column).cast("string"), cfg))
+    flagged = number.withColumn("price_flag", price_flag(F.col(name), cfg))
+    priced = replace_column(flagged, column, name)
     if column != "price":
         priced = priced.withColumnRenamed(column, "price")
     return priced, [*log, LogEntry(column, "replaced", "text without currency marks, as a number; price_flag tells"

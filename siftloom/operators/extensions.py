@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import parse_timestamp
 from ..functions.lists import list_elements
 from ..functions.numbers import parse_number
-from ..functions.text import first_match, is_present, is_web_url, named, needs_care, squish
+from ..functions.text import first_match, free_name, is_present, is_web_url, named, needs_care, squish
 from ..settings import DEFAULT, Settings
 from .profile import high_missing_columns, missingness_by_variable
 from .roles import missing_in, numeric_columns, text_columns
@@ -25,12 +25,13 @@ def latest_per_key(df: DataFrame, key: str, stamp: str, cfg: Settings = DEFAULT)
 
 def clean_discount(df: DataFrame, column: str = "discount") -> DataFrame:
     """Discount as a number of at most 100, with ``discount_flag`` for what was wrong with it."""
-    number = df.withColumn("__d", parse_number(F.col(column)))
-    d = F.col("__d")
+    name = free_name(df.columns, "__d")
+    number = df.withColumn(name, parse_number(F.col(column)))
+    d = F.col(name)
     flag = (F.when(~is_present(F.col(column)), "missing").when(d.isNull(), "unparsed")
             .when((d > 100) | (d < 0), "invalid").otherwise("ok"))
     return number.withColumn("discount_flag", flag).withColumn(
-        column, F.when(d.isNotNull(), F.least(d, F.lit(100.0)))).drop("__d")
+        column, F.when(d.isNotNull(), F.least(d, F.lit(100.0)))).drop(name)
 
 
 def repaired_url(c: Column) -> Column:
@@ -65,6 +66,7 @@ def documented_only(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
 def impute_by_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Fill gaps from the row's group: the median for numbers, the most frequent value for texts.
 
+    Columns keep their types: medians of whole-number columns are rounded, halves up.
     ``<column>_imputed`` marks filled cells; groups without any value stay empty,
     and rows without a group are a group of their own. All fills of a group, one
     row, meet the table in a single join.
@@ -88,7 +90,11 @@ def impute_by_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
                                        for i, c in enumerate(columns)])
     joined = df.join(wide.withColumnRenamed("group", "__group"), named(group).eqNullSafe(F.col("__group")), "left")
     present = {c: ~missing_in(df, c) for c in columns}
-    filled = {c: F.coalesce(F.when(present[c], named(c)), F.col(f"__fill_{i}")).alias(c) for i, c in enumerate(columns)}
+    def fill(i: int, c: str) -> Column:
+        kind, value = df.schema[c].dataType, F.col(f"__fill_{i}")
+        return F.round(value).cast(kind) if isinstance(kind, T.IntegralType) else value.cast(kind)
+
+    filled = {c: F.coalesce(F.when(present[c], named(c)), fill(i, c)).alias(c) for i, c in enumerate(columns)}
     flags = [(~present[c] & F.col(f"__fill_{i}").isNotNull()).alias(f"{c}_imputed") for i, c in enumerate(columns)]
     return joined.select(*[filled.get(c, named(c)) for c in df.columns], *flags)
 

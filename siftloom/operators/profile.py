@@ -29,22 +29,34 @@ def overview(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """
     columns = cfg.data_columns(df.columns)
     keys = row_identity(df, columns)
+    per_row = df.select(*keys, *[m.alias(f"gaps_{w}") for w, m in enumerate(gap_masks(df, columns))])
+    return overview_of(per_row.groupBy(*per_row.columns).agg(F.count("*").alias("n")), columns)
+
+
+def gap_masks(df: DataFrame, columns: list[str]) -> list[Column]:
+    """The missing fields of a row as bits, ``_WORD`` columns per number."""
     flags = [_flag(missing_in(df, c)).cast("long") for c in columns]
-    words = [flags[i:i + _WORD] for i in range(0, len(flags), _WORD)]
-    masks = [sum_all([F.shiftleft(f, bit) for bit, f in enumerate(word)]).alias(f"gaps_{w}")
-             for w, word in enumerate(words)]
-    per_row = df.select(*keys, *masks)
-    per_digest = per_row.groupBy(*per_row.columns).agg(F.count("*").alias("n"))
+    return [sum_all([F.shiftleft(f, bit) for bit, f in enumerate(flags[i:i + _WORD])]) for i in range(0, len(flags), _WORD)]
+
+
+def gap_in(i: int) -> Column:
+    """Whether the ``i``-th column is missing, from ``gaps_0``, ``gaps_1``, ..."""
+    return F.getbit(f"gaps_{i // _WORD}", F.lit(i % _WORD)) == 1
+
+
+def overview_of(per_digest: DataFrame, columns: list[str]) -> DataFrame:
+    """``overview`` from one row per distinct row: ``n`` copies and their missing fields."""
+    words = range(-(-len(columns) // _WORD))
 
     def rows_where(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
-    any_gap = sum_all([(F.col(f"gaps_{w}") != 0).cast("int") for w in range(len(words))]) > 0
+    any_gap = sum_all([(F.col(f"gaps_{w}") != 0).cast("int") for w in words]) > 0
     total = per_digest.agg(
         rows_where(F.lit(True)).alias("n"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies"),
         rows_where(any_gap).alias("gap_rows"),
-        *[rows_where(F.getbit(f"gaps_{i // _WORD}", F.lit(i % _WORD)) == 1).alias(f"m{i}") for i in range(len(columns))])
+        *[rows_where(gap_in(i)).alias(f"m{i}") for i in range(len(columns))])
     width = F.lit(len(columns)).cast("long")
     gap_columns = sum_all([(F.col(f"m{i}") > 0).cast("long") for i in range(len(columns))])
     return wide_to_rows(total, [
@@ -69,7 +81,11 @@ def missing_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def missingness_by_variable(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
     """``variable, missing_count, non_missing, missing_pct``, most missing first, ties in column order."""
-    counts = missing_counts(df, cfg.data_columns(df.columns))
+    return missingness_of(missing_counts(df, cfg.data_columns(df.columns)))
+
+
+def missingness_of(counts: DataFrame) -> DataFrame:
+    """``missingness_by_variable`` from ``ordinal, variable, missing_count, rows``."""
     return (counts
             .withColumn("missing_pct", pct(F.col("missing_count"), F.col("rows")))
             .orderBy(F.desc("missing_pct"), "ordinal")
@@ -108,11 +124,19 @@ def variable_types(df: DataFrame, cfg: Settings = DEFAULT, approx: bool = False)
             F.count("*").alias("rows"), F.count_if(is_missing(F.col("value"))).alias("missing_count"),
             (F.approx_count_distinct("value") + F.max(F.col("value").isNull().cast("int"))).alias("unique_count"))
     else:
-        per_value = tall.groupBy("variable", bounded_key(F.col("value")).alias("key")).agg(F.count("*").alias("n"))
-        stats = per_value.groupBy("variable").agg(
-            F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(is_missing(F.col("key")), F.col("n"))), F.lit(0)).alias("missing_count"),
-            F.count("*").alias("unique_count"))
+        return variable_types_of(tall.groupBy("variable", bounded_key(F.col("value")).alias("key")).agg(F.count("*").alias("n")), columns, types)
+    return _types_of(stats, columns, types)
+
+
+def variable_types_of(per_value: DataFrame, columns: list[str], types: dict[str, str]) -> DataFrame:
+    """``variable_types`` from ``variable, key, n``: how often each value of each column occurs."""
+    return _types_of(per_value.groupBy("variable").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(is_missing(F.col("key")), F.col("n"))), F.lit(0)).alias("missing_count"),
+        F.count("*").alias("unique_count")), columns, types)
+
+
+def _types_of(stats: DataFrame, columns: list[str], types: dict[str, str]) -> DataFrame:
     names = F.array(*[F.lit(c) for c in columns])
     type_of = F.element_at(F.array(*[F.lit(types[c]) for c in columns]), F.array_position(names, F.col("variable")).cast("int"))
     return (stats
@@ -131,18 +155,31 @@ def text_quality(df: DataFrame, cfg: Settings = DEFAULT, columns: list[str] | No
     sanitised text.
     """
     columns = columns or text_columns(df)
+    tall = with_clean_text(long_form(df, columns, [named(c) for c in columns], value="raw"))
+    return text_quality_of(tall.groupBy("variable", bounded_key(F.col("clean")).alias("key")).agg(*text_counts(cfg)), columns)
+
+
+def with_clean_text(tall: DataFrame) -> DataFrame:
+    """Add ``care``, whether ``raw`` is other than plain text, and ``clean``, the sanitised text."""
     raw = F.col("raw")
-    tall = (long_form(df, columns, [named(c) for c in columns], value="raw").withColumn("care", needs_care(raw))
-            .withColumn("clean", F.when(F.col("care"), sanitise(raw)).otherwise(raw)))
-    space = F.col("clean") if cfg.as_coded else raw
-    care = F.col("care")
-    per_value = tall.groupBy("variable", bounded_key(F.col("clean")).alias("key")).agg(
-        F.count_if(F.col("clean") == "").alias("blank_count"),
-        F.count_if(care & has_edge_space(space)).alias("leading_trailing_space_count"),
-        F.count_if(care & has_space_run(space)).alias("multiple_space_count"),
-        F.count_if(care & has_line_break(space)).alias("newline_count"),
-        F.count_if(F.length("clean") > cfg.long_text).alias("very_long_text_count"),
-        F.max(F.length("clean")).alias("max_text_length"))
+    return tall.withColumn("care", needs_care(raw)).withColumn("clean", F.when(F.col("care"), sanitise(raw)).otherwise(raw))
+
+
+def text_counts(cfg: Settings = DEFAULT, where: Column | None = None) -> list[Column]:
+    """What ``text_quality`` counts, as aggregates over ``raw``, ``care`` and ``clean``."""
+    where = F.lit(True) if where is None else where
+    space = F.col("clean") if cfg.as_coded else F.col("raw")
+    care = where & F.col("care")
+    return [F.count_if(where & (F.col("clean") == "")).alias("blank_count"),
+            F.count_if(care & has_edge_space(space)).alias("leading_trailing_space_count"),
+            F.count_if(care & has_space_run(space)).alias("multiple_space_count"),
+            F.count_if(care & has_line_break(space)).alias("newline_count"),
+            F.count_if(where & (F.length("clean") > cfg.long_text)).alias("very_long_text_count"),
+            F.max(F.when(where, F.length("clean"))).alias("max_text_length")]
+
+
+def text_quality_of(per_value: DataFrame, columns: list[str]) -> DataFrame:
+    """``text_quality`` from the counts of each distinct text of each column."""
     counts = ["blank_count", "leading_trailing_space_count", "multiple_space_count", "newline_count",
               "very_long_text_count"]
     order = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("variable"))
@@ -176,6 +213,11 @@ def level_summary(df: DataFrame, columns: list[str], n: int | None = None) -> Da
     counts = (long_form(df, columns, [rendered(df, c) for c in columns])
               .where(is_present(F.col("value")))
               .groupBy("variable", "value").agg(F.count("*").alias("count")))
+    return levels_of(counts, columns, n)
+
+
+def levels_of(counts: DataFrame, columns: list[str], n: int | None = None) -> DataFrame:
+    """``level_summary`` from its counts."""
     order = [F.desc("count"), F.asc("value")]
     if n is not None:
         counts = top_n_per_group(counts, "variable", order, n, slice_by="value")

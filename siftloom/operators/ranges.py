@@ -42,7 +42,16 @@ def range_checks(df: DataFrame, cfg: Settings = DEFAULT, columns: list[str] | No
     columns = columns or range_columns(df, cfg)
     if not columns:
         return df.sparkSession.createDataFrame([], _RANGE_SCHEMA)
-    tall = long_form(df, columns, [F.nanvl(_parsed(df, c, cfg), F.lit(None).cast("double")) for c in columns], value="v")
+    return range_checks_of(parsed_numbers(df, columns, cfg), columns, dict(df.dtypes), cfg, approx)
+
+
+def parsed_numbers(df: DataFrame, columns: list[str], cfg: Settings = DEFAULT) -> DataFrame:
+    """``variable, v``: every field of the columns as a number, NULL where it is none."""
+    return long_form(df, columns, [F.nanvl(_parsed(df, c, cfg), F.lit(None).cast("double")) for c in columns], value="v")
+
+
+def range_checks_of(tall: DataFrame, columns: list[str], types: dict[str, str], cfg: Settings = DEFAULT, approx: bool = False) -> DataFrame:
+    """``range_checks`` from the parsed numbers, which are read several times."""
     v = F.col("v")
     stats = {
         "rows": (F.count("*"), F.sum("rows")), "parsed_count": (F.count("v"), F.sum("parsed_count")),
@@ -53,7 +62,7 @@ def range_checks(df: DataFrame, cfg: Settings = DEFAULT, columns: list[str] | No
         found = tall.groupBy("variable").agg(cuts.alias("c"), *[inner.alias(name) for name, (inner, _) in stats.items()]) \
             .select("*", *[F.col("c")[i].alias(f"q{i}") for i in range(3)]).where("parsed_count > 0")
     else:
-        found = quantiles_and_stats(tall, "variable", "v", QUARTILES, stats)
+        found = quantiles_and_stats(tall, "variable", "v", QUARTILES, stats, few_groups=True)
     spread = F.col("q2") - F.col("q0")
     fences = found.withColumns({"low": F.col("q0") - cfg.iqr_multiplier * spread, "high": F.col("q2") + cfg.iqr_multiplier * spread})
     # Only the outliers need a pass of their own. One row per checked column: the schema bounds what is broadcast.
@@ -61,7 +70,6 @@ def range_checks(df: DataFrame, cfg: Settings = DEFAULT, columns: list[str] | No
         F.count_if((v < F.col("low")) | (v > F.col("high"))).alias("iqr_outlier_count"),
         *[F.first(c).alias(to) for c, to in (("q0", "q1"), ("q1", "median"), ("q2", "q3"), *((c, c) for c in stats))])
     stats = counted.withColumn("mean", F.col("sum") / F.col("parsed_count"))
-    types = dict(df.dtypes)
     names = F.array(*[F.lit(c) for c in columns])
     position = F.array_position(names, F.col("variable")).cast("int")
     return (stats

@@ -12,7 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.text import named, row_digest
+from ..functions.text import free_name, named, row_digest
+from ..sources.identity import pin
 
 # A hot-key list has at most this many rows, so it can always be broadcast.
 HOT_KEYS = 1_000
@@ -32,6 +33,9 @@ PLAIN_TOP_N = 1_000
 # Largest list of row ids that is broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
+# Bits (2 to this power) of the bitmap that stands for a larger list: 32 MB whatever the table, in pieces of 4 KB.
+BITMAP_BITS = 28
+
 _LOG2_SPAN = 1_075.0
 _COARSE = float(1 << 8)
 
@@ -71,17 +75,49 @@ def _pick_per_key(df: DataFrame, keys: list[str], pick, order: Column) -> DataFr
         pick(row, order).alias("__row")).select("__row.*")
 
 
+def _in_bitmap(bitmap: Column, position: Column) -> Column:
+    """Whether a bit is set in a bitmap that ``bitmap_construct_agg`` made."""
+    byte = F.substr(bitmap, F.shiftright(position, 3).cast("int") + 1, F.lit(1))
+    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), position % 8) == 1
+
+
+def rows_that_may_repeat(df: DataFrame, key: Column) -> DataFrame:
+    """The rows whose ``key`` may occur more than once; where repeats are rare, next to no others.
+
+    Only a 64-bit hash of each key is shuffled, and pre-aggregated before. The hashes that occur twice or more go to the
+    rows: as a list where they are counted to be few, else as a bitmap of fixed size. So no row moves here.
+    """
+    hash_ = F.xxhash64(key)
+    twice = pin(df.select(hash_.alias("h")).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("h"))
+    name = free_name(df.columns, "__h")
+    hashed = df.withColumn(name, hash_)
+    if twice.count() <= BROADCAST_IDS:
+        return hashed.join(F.broadcast(twice), F.col(name) == F.col("h"), "left_semi").drop(name)
+    place = F.pmod("h", F.lit(1 << BITMAP_BITS))
+    bits = twice.select(F.bitmap_bucket_number(place).alias("__bucket"), F.bitmap_bit_position(place).alias("p")).groupBy("__bucket").agg(
+        F.bitmap_construct_agg("p").alias("__bits"))
+    mine = F.pmod(F.col(name), F.lit(1 << BITMAP_BITS))
+    met = hashed.join(F.broadcast(bits), F.bitmap_bucket_number(mine) == F.col("__bucket"))
+    return met.where(_in_bitmap(F.col("__bits"), F.bitmap_bit_position(mine))).drop(name, "__bucket", "__bits")
+
+
 def rows_with_listed_key(df: DataFrame, listed: DataFrame, key: str, weight: str, row_id: str) -> DataFrame:
-    """Rows of ``df`` whose ``key`` occurs in ``listed`` (one row per key, with its row count).
+    """Rows of ``df`` whose ``key`` occurs in ``listed`` (one row per key, with its row count)."""
+    flag = free_name(df.columns, "__listed")
+    return mark_listed(df, listed, key, weight, row_id, flag).where(F.col(flag)).drop(flag)
+
+
+def mark_listed(df: DataFrame, listed: DataFrame, key: str, weight: str, row_id: str, flag: str) -> DataFrame:
+    """Add ``flag``: whether ``key`` occurs in ``listed``.
 
     The ``HOT_KEYS`` heaviest keys are broadcast, a list whose size is bounded by
     construction. Their rows are decided on the spot; in the join with the full
     list they get a key of their own so that they spread over all tasks. No other
     key can hold more than one thousandth of the rows.
     """
-    hot = listed.orderBy(F.desc(weight)).limit(HOT_KEYS).select(
-        F.col(key).alias("__hot_key"), F.lit(True).alias("__hot"))
-    marked = df.join(F.broadcast(hot), df[key] == F.col("__hot_key"), "left").drop("__hot_key")
+    is_hot, hot_key, meets, is_cold = (free_name(df.columns, n) for n in ("__hot", "__hot_key", "__meet", "__cold"))
+    hot = listed.orderBy(F.desc(weight)).limit(HOT_KEYS).select(F.col(key).alias(hot_key), F.lit(True).alias(is_hot))
+    marked = df.join(F.broadcast(hot), df[key] == F.col(hot_key), "left").drop(hot_key)
 
     def meeting_key(table: DataFrame, without: Column) -> Column:
         # Never NULL, or Spark would push a null test, and with it the key's whole expression, into the scan.
@@ -89,11 +125,10 @@ def rows_with_listed_key(df: DataFrame, listed: DataFrame, key: str, weight: str
         return F.when(F.col(key).isNull(), without).otherwise(F.concat(F.lit("key:"), F.coalesce(text, F.lit(""))))
 
     spread = F.concat(F.lit("row:"), F.coalesce(F.col(row_id).cast("string"), F.lit("")))
-    marked = marked.withColumn("__meet", F.when(F.col("__hot"), spread).otherwise(meeting_key(df, spread)))
-    meet = listed.select(meeting_key(listed, F.lit("none")).alias("__meet"), F.lit(True).alias("__cold"))
-    return (marked.join(meet, "__meet", "left")
-            .where(F.col("__hot") | F.col("__cold"))
-            .select(*df.columns))
+    marked = marked.withColumn(meets, F.when(F.col(is_hot), spread).otherwise(meeting_key(df, spread)))
+    meet = listed.select(meeting_key(listed, F.lit("none")).alias(meets), F.lit(True).alias(is_cold))
+    found = F.coalesce(F.col(is_hot) | F.col(is_cold), F.lit(False))
+    return marked.join(meet, meets, "left").select(*[named(c) for c in df.columns], found.alias(flag))
 
 
 def first_rows(df: DataFrame, n: int, row_id: str) -> DataFrame:
@@ -183,8 +218,8 @@ def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[floa
     return quantiles_and_stats(long_df, group, value, probs).select(group, *[f"q{i}" for i in range(len(probs))])
 
 
-def quantiles_and_stats(long_df: DataFrame, group: str, value: str, probs: list[float], stats: dict[str, tuple[Column, Column]] | None = None
-                        ) -> DataFrame:
+def quantiles_and_stats(long_df: DataFrame, group: str, value: str, probs: list[float], stats: dict[str, tuple[Column, Column]] | None = None,
+                        few_groups: bool = False) -> DataFrame:
     """Exact quantiles per group, and other aggregates taken on the same first pass.
 
     Spark's ``percentile`` keeps every distinct value of a group in one task.
@@ -201,7 +236,9 @@ def quantiles_and_stats(long_df: DataFrame, group: str, value: str, probs: list[
     ``stats`` names pairs: an aggregate over the rows of a bucket, whose value is ``v``, NULL where
     there is none (such rows share one bucket), and one over the buckets' results,
     which are columns of that name. The lists of buckets have two rows per
-    probability and group; Spark decides from their size how to join them.
+    probability and group. Where the number of groups is bounded, as by a schema
+    (``few_groups``), they are broadcast, so that no value is shuffled; else Spark
+    decides from their size how to join them.
     """
     stats = stats or {}
     number = F.when(~F.isnan(value), F.col(value))
@@ -210,6 +247,7 @@ def quantiles_and_stats(long_df: DataFrame, group: str, value: str, probs: list[
                                         *[inner.alias(name) for name, (inner, _) in stats.items()])
     data = rows.where(F.col("v").isNotNull()).select("g", "v", "b1")
     keys = ["g", "q", "full_rank"]
+    sent = F.broadcast if few_groups else (lambda df: df)
 
     def locate(counts: DataFrame, by: list[str], bucket: str) -> DataFrame:
         """Per wanted rank the bucket that holds it and the rank inside that bucket."""
@@ -230,7 +268,7 @@ def quantiles_and_stats(long_df: DataFrame, group: str, value: str, probs: list[
     for _ in range(LINEAR_STEPS):
         done.append(level.where("low = high").select(*keys, F.col("low").alias("v"), "total"))
         level = level.where("low < high")
-        inside = data.join(level, ["g", "b1"]).where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+        inside = data.join(sent(level), ["g", "b1"]).where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
         share = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low"))
         step = F.least(F.floor(share * LINEAR), F.lit(LINEAR - 1)).alias("b2")
         counts = inside.groupBy(*keys, "b1", step).agg(F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"),
@@ -238,7 +276,7 @@ def quantiles_and_stats(long_df: DataFrame, group: str, value: str, probs: list[
         level = locate(counts, keys, "b2").select(*keys, "rank", "total", "b1", "low", "high")
     done.append(level.where("low = high").select(*keys, F.col("low").alias("v"), "total"))
     level = level.where("low < high")
-    inside = data.join(level, ["g", "b1"]).where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+    inside = data.join(sent(level), ["g", "b1"]).where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
     counts = inside.groupBy(*keys, "v").agg(F.count("*").alias("n"), F.first("rank").alias("rank"), F.first("total").alias("total"))
     picked = reduce(DataFrame.unionByName, done, locate(counts, keys, "v").select(*keys, "v", "total"))
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
+from ..functions.text import free_name, named
 from ..operators import cleaning as C
+from ..operators.duplicates import keep_first_counted
 from ..operators.profile import distribution, missing_summary, missingness_by_variable
 from ..operators.ranges import range_checks
 from ..operators.roles import Roles, detect_roles, present_rows, priority_first
@@ -77,6 +79,30 @@ def clean(df: DataFrame, roles: Roles | None = None, cfg: Settings = DEFAULT, **
     return replace(clean_rows(deduplicated, roles, cfg, **options), source=df)
 
 
+_COUNTERS = ("rows_before_dedup", "rows_after_dedup", "duplicate_rows_removed", "price_issues", "brands_set_null", "color_found", "color_missing")
+
+
+def write_counted(df: DataFrame, folder: str, roles: Roles | None = None, cfg: Settings = DEFAULT, **options) -> DataFrame:
+    """Clean, write the table as Parquet to ``folder``, and return ``run_counters`` taken on that one job.
+
+    All counters are observed behind the SKU step's shuffle, where each row knows how many it stands for. Tasks of the last
+    stage report once each, so stages that are run again after a loss count nothing twice; the source is scanned once.
+    """
+    roles = roles or detect_roles(df)
+    copies = free_name([*df.columns, *PRIORITY], "__copies")
+    first = keep_first_counted(C.clean_sku_text(df), "sku", copies, cfg) if "sku" in df.columns else df.withColumn(copies, F.lit(1).cast("bigint"))
+    table = clean_rows(first, roles, cfg, **options).table
+    seen = Observation()
+    there = {c: named(c) if c in table.columns else F.lit(None) for c in ("price_flag", "brand", "color")}
+    counted = table.observe(
+        seen, F.coalesce(F.sum(copies), F.lit(0)).alias("before"), F.count(F.lit(1)).alias("after"), F.count_if(there["price_flag"] != "ok").alias("price"),
+        F.count_if(there["brand"].isNull()).alias("brand"), F.count(there["color"]).alias("color"))
+    counted.drop(copies).write.mode("overwrite").parquet(folder)
+    m = seen.get
+    values = (m["before"], m["after"], m["before"] - m["after"], m["price"], m["brand"], m["color"], m["after"] - m["color"])
+    return df.sparkSession.createDataFrame(list(zip(_COUNTERS, values)), "counter string, value bigint")
+
+
 def run_counters(df: DataFrame, roles: Roles | None = None, cfg: Settings = DEFAULT) -> DataFrame:
     """``counter, value``: rows before and after the SKU step, price issues, brands and colours.
 
@@ -91,8 +117,6 @@ def run_counters(df: DataFrame, roles: Roles | None = None, cfg: Settings = DEFA
         F.count_if(F.col("color").isNull()).alias("color_missing"))
     before = df.agg(F.count("*").alias("before")).scalar()
     totals = totals.withColumn("before", before)
-    names = ["rows_before_dedup", "rows_after_dedup", "duplicate_rows_removed", "price_issues", "brands_set_null",
-             "color_found", "color_missing"]
     values = [F.col("before"), F.col("after"), F.col("before") - F.col("after"), F.col("price_issues"),
               F.col("brands_null"), F.col("color_found"), F.col("color_missing")]
-    return wide_to_rows(totals, [[F.lit(n), v] for n, v in zip(names, values)], ["counter", "value"])
+    return wide_to_rows(totals, [[F.lit(n), v] for n, v in zip(_COUNTERS, values)], ["counter", "value"])

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import parse_timestamp
-from ..functions.text import is_present, named
+from ..functions.text import free_name, is_present, named
 from ..operators import cleaning, extensions
 from ..operators.duplicates import drop_exact_duplicates
 from ..operators.roles import Roles, detect_roles
@@ -26,9 +26,10 @@ class Prepared:
 def latest_scrape(df: DataFrame, url: str, stamp: str, cfg: Settings = DEFAULT) -> DataFrame:
     """Of the rows with a URL the latest per URL; rows without one all stay, each under a key of its own."""
     key = F.when(is_present(named(url)), F.concat(F.lit("key:"), named(url)))
-    keyed = df.withColumn("__url", F.coalesce(key, F.concat(F.lit("row:"), F.col(cfg.row_id).cast("string"))))
+    name = free_name(df.columns, "__url")
+    keyed = df.withColumn(name, F.coalesce(key, F.concat(F.lit("row:"), F.col(cfg.row_id).cast("string"))))
     order = F.struct(parse_timestamp(named(stamp), cfg.date_orders), -F.col(cfg.row_id))
-    return last_per_key(keyed, ["__url"], order).drop("__url")
+    return last_per_key(keyed, [name], order).drop(name)
 
 
 def prepare(df: DataFrame, roles: Roles | None = None, cfg: Settings = DEFAULT) -> Prepared:

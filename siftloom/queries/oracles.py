@@ -254,7 +254,7 @@ SKU = f"regexp_replace(regexp_replace(sku, '^SKU:\\s*', ''), '^{WS}+|{WS}+$', ''
 
 
 def deduplicated(coded: bool) -> str:
-    keep = "rn = 1" if coded else "(rn = 1 OR sku IS NULL)"
+    keep = "rn = 1" if coded else "(rn = 1 OR sku IS NULL OR sku = '')"
     return f"""SELECT {', '.join(ALL)} FROM (
   SELECT *, row_number() OVER (PARTITION BY sku ORDER BY row_number) AS rn
   FROM (SELECT * REPLACE ({SKU} AS sku) FROM catalog)) WHERE {keep}"""
@@ -518,6 +518,26 @@ LINE_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigin
               "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
 
 
+CSV_NOTE = "CASE WHEN o_orderkey % 3 <> 0 THEN 'say \"hi\", ' || o_orderpriority || chr(10) || 'line ' || o_orderstatus END"
+
+# The catalogue's texts are year first, month first with a day above 12, day first with a day above 12, or no date.
+DATE_VOTES = """SELECT date_order, parsed, parsed AS only_parsed FROM (
+  SELECT 'ymd' AS date_order, count(*) FILTER (regexp_matches(scraped_at, '^[0-9]{4}[-/]')) AS parsed FROM catalog
+  UNION ALL SELECT 'mdy', count(*) FILTER (regexp_matches(scraped_at, '^01/25/')) FROM catalog
+  UNION ALL SELECT 'dmy', count(*) FILTER (regexp_matches(scraped_at, '^25-01-')) FROM catalog)"""
+
+#: The tables of the bundle by the names of their queries.
+BUNDLE = ("overview detected_columns variable_types missingness_by_variable missingness_by_row duplicate_summary exact_dup_rows dup_url_rows"
+          " image_dup_summary range_checks numeric_parse_issues price_discount_checks url_checks datetime_checks text_quality level_summary"
+          " attr_names attr_values attr_name_values problem_rows").split()
+
+
+def bundled(found: dict[str, str]) -> dict[str, str]:
+    """Queries on the bundle, from those of its tables."""
+    return {"bundle_counts": union([f"SELECT '{n}' AS name, count(*) AS records FROM ({found[n]})" for n in BUNDLE]),
+            **{f"bundle_{n}": found[n] for n in ("overview", "text_quality", "url_checks")}}
+
+
 def oracle_sql() -> dict[str, str]:
     dup_rows = f"""SELECT {', '.join(ALL)} FROM (SELECT *, count(*) OVER (PARTITION BY url) AS n FROM catalog
         WHERE {present('url')}) WHERE n > 1"""
@@ -525,7 +545,7 @@ def oracle_sql() -> dict[str, str]:
     high = f"SELECT * FROM ({missingness('catalog', DATA)}) WHERE missing_pct >= 30"
     doc_copies = union([f"SELECT '{c}' AS variable, count({c}) AS present, count({c}) - count(DISTINCT {c}) AS copies"
                         f" FROM documents WHERE {present(c)}" for c in ("text", "lang", "source")])
-    return {
+    found = {
         "overview": on_catalog(overview("catalog", DATA)),
         "overview_as_coded": on_catalog(overview("catalog", ALL)),
         "detected_columns": on_catalog(coverage(STRICT_ROLES)),
@@ -586,6 +606,10 @@ FROM ({text_quality('catalog', DATA)}) WHERE blank_count + leading_trailing_spac
         "row_identity_orders": "SELECT row_number() OVER (ORDER BY o_orderkey) AS row_number, o_orderkey FROM orders",
         "sku_dedup": on_catalog(deduplicated(False)),
         "sku_dedup_as_coded": on_catalog(deduplicated(True)),
+        "sku_dedup_blank": on_catalog(f"""SELECT {', '.join(ALL)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY sku ORDER BY row_number) AS rn FROM (SELECT * REPLACE ({SKU} AS sku) FROM (
+    SELECT * REPLACE (CASE WHEN row_number % 11 = 0 THEN '' WHEN row_number % 13 = 0 THEN 'SKU: ' ELSE sku END AS sku) FROM catalog)))
+WHERE rn = 1 OR sku IS NULL OR sku = ''"""),
         "price_clean": on_catalog(f"SELECT row_number, {price(False)} AS price, {price_flag(price(False))} AS price_flag FROM catalog"),
         "price_clean_as_coded": on_catalog(
             f"SELECT row_number, {price(True)} AS price, {price_flag(price(True))} AS price_flag FROM catalog"),
@@ -608,6 +632,19 @@ FROM ({text_quality('catalog', DATA)}) WHERE blank_count + leading_trailing_spac
         "price_flag_distribution": on_catalog("SELECT price_flag, count(*) AS count FROM c GROUP BY 1", c=cleaned()),
         "drop_log": on_catalog(drop_log()),
         "clean_run_counters": on_catalog(run_counters(False)),
+        "clean_written_counters": on_catalog(run_counters(False)),
+        "csv_landed_orders": f"SELECT o_orderkey, o_custkey, {CSV_NOTE} AS note, o_orderpriority, TRUE AS numbers FROM orders",
+        "csv_clean_orders": f"SELECT o_orderkey, o_custkey, {CSV_NOTE} AS note, o_orderpriority FROM orders",
+        "date_order_votes": on_catalog(DATE_VOTES),
+        "elected_timestamps_orders": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00' AS day FROM orders",
+        "sketched_ranges_orders": """SELECT variable, count(v) AS parsed_count, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean,
+  count(*) FILTER (v < 0) AS negative_count, count(*) FILTER (v = 0) AS zero_count, TRUE AS median_near
+FROM (SELECT 'o_totalprice' AS variable, o_totalprice AS v FROM orders UNION ALL SELECT 'o_custkey', CAST(o_custkey AS DOUBLE) FROM orders) GROUP BY variable""",
+        "sketched_distinct_orders": union([f"SELECT '{c}' AS variable, count({c}) AS present, count(DISTINCT {c}) AS exact, TRUE AS near FROM orders"
+                                           for c in ("o_orderkey", "o_custkey", "o_orderpriority")]),
+        "sketched_overlap_orders": """SELECT 'o_custkey' AS variable, count(*) FILTER (f) AS exact_one, count(*) FILTER (o) AS exact_other,
+  count(*) FILTER (f AND o) AS exact_both, TRUE AS near
+FROM (SELECT bool_or(o_orderstatus = 'F') AS f, bool_or(o_orderstatus = 'O') AS o FROM orders GROUP BY o_custkey)""",
         "clean_run_counters_as_coded": on_catalog(run_counters(True)),
         "missing_flags": on_catalog(f"""SELECT row_number, {miss('discount')} AS missing,
   discount IS NULL OR discount IN {WORDS} AS numeric_missing, COALESCE(regexp_matches(url, '^https?://'), false) AS web_url FROM catalog"""),
@@ -646,6 +683,9 @@ SELECT size, format('{{:,}}', count(*) * 1000) AS n_text,
         "text_quality_documents": text_quality("documents", ["text", "lang", "source"]),
         "text_quality_pages": text_quality("pages", ["url", "html"]),
         "dup_documents": doc_copies,
+        "dup_lineitem_rows": """SELECT key, l_orderkey, l_linenumber FROM (
+  SELECT CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS key, l_orderkey, l_linenumber FROM lineitem)
+QUALIFY count(*) OVER (PARTITION BY key) > 1""",
         "dup_document_rows": f"""SELECT doc_id, text, lang, source, n_chars FROM
   (SELECT *, count(*) OVER (PARTITION BY text) AS n FROM documents WHERE {present('text')}) WHERE n > 1""",
         "exact_dedup_documents": "SELECT min(doc_id) AS doc_id, text, lang, source, n_chars FROM documents GROUP BY 2, 3, 4, 5",
@@ -663,3 +703,4 @@ SELECT size, format('{{:,}}', count(*) * 1000) AS n_text,
         "overview_lineitem": overview("lineitem", list(LINE_TYPES)),
         "overview_conversations": overview("conversations", ["conv_id", "turn", "role", "text"]),
     }
+    return found | bundled(found)

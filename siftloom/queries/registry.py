@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..catalog.view import catalog, read_table
 from ..functions import dates, lists, numbers, text
-from ..operators import attributes, checks, cleaning, duplicates, extensions, profile, ranges, sizes
+from ..operators import attributes, checks, cleaning, duplicates, extensions, profile, ranges, sizes, sketches
 from ..operators.roles import LOOSE_PATTERNS, detect_roles, detected_columns
-from ..plans import clean as clean_plan, prepare, report
+from ..plans import bundle, clean as clean_plan, prepare, report
 from ..session import tune
 from ..settings import CODED, DEFAULT, Settings
 from ..sources import preview, tables
-from ..sources.identity import number_rows
+from ..sources.identity import number_rows, pin
+from ..sources.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +57,12 @@ def _images(cfg: Settings) -> Callable[[DataFrame], DataFrame]:
     return lambda df: cleaning.clean_images(df, "images", cfg)[0].select("row_number", "images_clean", "images_n")
 
 
+def _blank_skus(df: DataFrame) -> DataFrame:
+    """The catalogue with some SKUs blank, and some blank once their prefix is off."""
+    blank = F.when(F.col("row_number") % 11 == 0, "").when(F.col("row_number") % 13 == 0, "SKU: ").otherwise(F.col("sku"))
+    return df.withColumn("sku", blank)
+
+
 def _imputed(df: DataFrame) -> DataFrame:
     wanted = ["row_number", "size_system", "price", "brand", "color"]
     filled = extensions.impute_by_group(_cleaned(df).select(*wanted), "size_system", ["price", "brand", "color"])
@@ -77,6 +85,92 @@ def _number_formats(df: DataFrame) -> DataFrame:
         numbers.pct_fixed(F.col("present"), F.col("n") * 3).alias("present_text"))
 
 
+def _csv_orders(df: DataFrame) -> DataFrame:
+    """The orders with a text that holds quotes, commas and line ends."""
+    note = F.concat(F.lit('say "hi", '), F.col("o_orderpriority"), F.lit("\nline "), F.col("o_orderstatus"))
+    return df.select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 3 != 0, note).alias("note"), "o_orderpriority")
+
+
+def _clean_csv(df: DataFrame) -> DataFrame:
+    """The orders as clean CSV and back by Spark's own reader."""
+    folder = new_folder(df.sparkSession)
+    tables.write_clean_csv(_csv_orders(df), folder)
+    return df.sparkSession.read.options(header=True, multiLine=True, quote='"', escape='"').schema(_csv_orders(df).schema).csv(folder)
+
+
+def _landed_csv(df: DataFrame) -> DataFrame:
+    """The orders as CSV, landed with types and row numbers."""
+    spark, source, target = df.sparkSession, new_folder(df.sparkSession), new_folder(df.sparkSession)
+    tables.write_clean_csv(_csv_orders(df), source)
+    landed = tables.infer_types(tables.validated(tables.land_csv(spark, source, target)))
+    return landed.select("o_orderkey", "o_custkey", "note", "o_orderpriority").withColumn("numbers", F.lit(_dense(landed)))
+
+
+def _dense(df: DataFrame) -> bool:
+    n, low, high, kinds = df.agg(F.count("*"), F.min("row_number"), F.max("row_number"), F.count_distinct("row_number")).first()
+    return n == 0 or (low, high, kinds) == (1, n, n)
+
+
+def _bundle(df: DataFrame) -> dict[str, DataFrame]:
+    """The stored run, written as a bundle and read back."""
+    found = bundle.diagnose_stored(df, _roles(df))
+    folder = new_folder(df.sparkSession)
+    tables.write_bundle(found, folder)
+    return tables.read_bundle(df.sparkSession, folder, list(found))
+
+
+def _bundle_counts(df: DataFrame) -> DataFrame:
+    counts = [t.agg(F.count("*").alias("records")).select(F.lit(name).alias("name"), "records") for name, t in _bundle(df).items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _counted_write(df: DataFrame) -> DataFrame:
+    return clean_plan.write_counted(df, new_folder(df.sparkSession), _roles(df))
+
+
+def _elected(df: DataFrame) -> DataFrame:
+    """Order dates as day/month texts, most of them ambiguous, read by the order that the column elects."""
+    text_ = df.select("o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"))
+    cfg = checks.elected_orders(text_, "day")
+    return text_.select("o_orderkey", dates.timestamp_text(dates.parse_timestamp(F.col("day"), cfg.date_orders)).alias("day"))
+
+
+def _by_status(df: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Sketches of the three parts of the orders, stored side by side."""
+    parts = [build(df.where(F.col("o_orderstatus") == s)) for s in ("F", "O", "P")]
+    return pin(reduce(DataFrame.unionByName, parts))
+
+
+def _sketched_ranges(df: DataFrame) -> DataFrame:
+    """Exact figures of the merged sketches, and whether the median's rank is as near to the middle as the sketch promises."""
+    found = sketches.range_checks_from(_by_status(df, lambda p: sketches.range_sketches(p, columns=["o_totalprice", "o_custkey"])))
+    middle = {r["variable"]: r["median"] for r in found.select("variable", "median").collect()}
+    ranks = df.agg(*[(F.count_if(F.col(c) <= m) / F.count(c)).alias(c) for c, m in middle.items()], *[
+        (F.count_if(F.col(c) < m) / F.count(c)).alias(f"{c}_below") for c, m in middle.items()]).first()
+    near = {c: ranks[f"{c}_below"] - sketches.KLL_RANK_ERROR <= 0.5 <= ranks[c] + sketches.KLL_RANK_ERROR for c in middle}
+    return rounded(found.select("variable", "parsed_count", "min", "max", "mean", "negative_count", "zero_count")
+                   .withColumn("median_near", F.element_at(F.create_map(*[F.lit(x) for kv in near.items() for x in kv]), F.col("variable"))))
+
+
+def _sketched_distinct(df: DataFrame) -> DataFrame:
+    """Merged distinct counts of the parts beside the exact ones' bounds."""
+    columns = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    found = sketches.distinct_from(_by_status(df, lambda p: sketches.distinct_sketches(p, columns)))
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    pairs = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("exact")) for c in columns])))
+    near = F.abs(F.col("unique_count") - F.col("exact")) <= 5 * sketches.THETA_ERROR * F.col("exact")
+    return found.join(F.broadcast(pairs), "variable").select("variable", "present", "exact", near.alias("near"))
+
+
+def _sketched_overlap(df: DataFrame) -> DataFrame:
+    """Customers of finished and of open orders, and of both."""
+    one, other = (sketches.distinct_sketches(df.where(F.col("o_orderstatus") == s), ["o_custkey"]) for s in ("F", "O"))
+    exact = df.groupBy("o_custkey").agg(F.bool_or(F.col("o_orderstatus") == "F").alias("f"), F.bool_or(F.col("o_orderstatus") == "O").alias("o")).agg(
+        F.count_if("f").alias("exact_one"), F.count_if("o").alias("exact_other"), F.count_if(F.col("f") & F.col("o")).alias("exact_both"))
+    near = [F.abs(F.col(c) - F.col(f"exact_{c}")) <= 10 * sketches.THETA_ERROR * F.col("exact_both") + 1 for c in ("one", "other", "both")]
+    return sketches.overlap(one, other).join(F.broadcast(exact)).select("variable", "exact_one", "exact_other", "exact_both", (near[0] & near[1] & near[2]).alias("near"))
+
+
 def _attr(keys: list[str]) -> Query:
     return _catalog(lambda df: attributes.attribute_counts(attributes.attribute_pairs(df), keys))
 
@@ -138,9 +232,23 @@ def queries() -> dict[str, Query]:
         "sample_extract": _catalog(tables.sample_extract),
         "sample_extract_top1000": _catalog(lambda df: tables.sample_extract(df, 1000)),
         "row_identity_orders": _native("orders", lambda df: number_rows(df).select("row_number", "o_orderkey")),
+        "csv_landed_orders": _native("orders", _landed_csv),
+        "csv_clean_orders": _native("orders", _clean_csv),
+        # The run in four scans, as a bundle.
+        "bundle_counts": _catalog(_bundle_counts),
+        "bundle_overview": _catalog(lambda df: _bundle(df)["overview"]),
+        "bundle_text_quality": _catalog(lambda df: _bundle(df)["text_quality"]),
+        "bundle_url_checks": _catalog(lambda df: _bundle(df)["url_checks"]),
+        # Column-wide date orders; sketches that merge.
+        "date_order_votes": _catalog(lambda df: checks.date_order_votes(df, "scraped_at")),
+        "elected_timestamps_orders": _native("orders", _elected),
+        "sketched_ranges_orders": _native("orders", _sketched_ranges),
+        "sketched_distinct_orders": _native("orders", _sketched_distinct),
+        "sketched_overlap_orders": _native("orders", _sketched_overlap),
         # Cleaning.
         "sku_dedup": _catalog(lambda df: cleaning.clean_sku(df)[0]),
         "sku_dedup_as_coded": _catalog(lambda df: cleaning.clean_sku(df, CODED)[0]),
+        "sku_dedup_blank": _catalog(lambda df: cleaning.clean_sku(_blank_skus(df))[0]),
         "price_clean": _catalog(_price(DEFAULT)),
         "price_clean_as_coded": _catalog(_price(CODED)),
         "brand_clean": _catalog(lambda df: cleaning.clean_brand(df)[0].select("row_number", "brand")),
@@ -161,6 +269,7 @@ def queries() -> dict[str, Query]:
         "size_system_distribution": _catalog(lambda df: profile.distribution(_cleaned(df), "size_system")),
         "price_flag_distribution": _catalog(lambda df: profile.distribution(_cleaned(df), "price_flag")),
         "drop_log": _catalog(lambda df: clean_plan.clean(df).log_table()),
+        "clean_written_counters": _catalog(_counted_write),
         "clean_run_counters": _catalog(clean_plan.run_counters),
         "clean_run_counters_as_coded": _catalog(lambda df: clean_plan.run_counters(df, cfg=CODED)),
         # Scalar functions over whole columns.
@@ -195,6 +304,8 @@ def queries() -> dict[str, Query]:
         "text_quality_documents": _native("documents", lambda df: profile.text_quality(df, columns=["text", "lang", "source"])),
         "text_quality_pages": _native("pages", profile.text_quality),
         "dup_documents": _native("documents", lambda df: duplicates.key_duplicate_counts(df, ["text", "lang", "source"])),
+        "dup_lineitem_rows": _native("lineitem", lambda df: duplicates.repeated_key_rows(
+            df.select(F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.to_date("l_shipdate").cast("string")).alias("key"), "l_orderkey", "l_linenumber"), "key", Settings(row_id="l_orderkey"))),
         "dup_document_rows": _native("documents", lambda df: duplicates.repeated_key_rows(df, "text", _DOCS)),
         "exact_dedup_documents": _native("documents", lambda df: duplicates.drop_exact_duplicates(df, _DOCS)),
         "url_checks_pages": _native("pages", lambda df: checks.url_column_check(df, "Product URL", "url")),

@@ -2,36 +2,23 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import named
+from .scratch import new_folder
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder.rstrip("/")
-
-
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write a table once to the shared folder and go on from that copy.
 
     For tables that are costly to compute and read several times, or whose rows
     may come out in another order when computed again. The copy is Parquet, so
-    later passes still read only the columns they need, and it outlives executors.
+    later passes still read only the columns they need, and it outlives executors;
+    ``by`` names a column of few values to lay it out by.
     """
-    target = f"{shared_folder(df.sparkSession)}/siftloom-{uuid.uuid4().hex}"
-    df.write.parquet(target)
-    return df.sparkSession.read.parquet(target)
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """``pin`` where the session has a shared folder; else the table as it is, to be computed again where it is read."""
-    return df if df.sparkSession.conf.get("spark.checkpoint.dir", None) is None else pin(df)
+    target = new_folder(df.sparkSession)
+    (df.write.partitionBy(by) if by else df.write).parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
 def number_placed(df: DataFrame, name: str = "row_number", file: str = "file", start: str = "start", at: str = "at") -> DataFrame:

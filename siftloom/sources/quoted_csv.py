@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .identity import kept
+from .identity import pin
 
 # A field after its pairs of quotes are gone: quoted and then anything up to the comma, or not beginning with a quote.
 _FIELD = r'(?:[ \t]*+"[^"]*+"[^,]*+|(?![ \t]*+")[^,]*+)'
@@ -102,7 +102,7 @@ def records(spark: SparkSession, paths: str | list[str], pieces: DataFrame | Non
     no records. A field that no quote closes runs to the end of its file.
     """
     lines = physical_lines(spark, paths)
-    pieces = kept(open_pieces(lines)) if pieces is None else pieces
+    pieces = pin(open_pieces(lines)) if pieces is None else pieces
     opens, stays = _after(F.col("value"))
     # A piece is known by a hash: 17 bytes for each 128 MB of input may be broadcast.
     known = F.broadcast(pieces.select(F.xxhash64("file", "start").alias("piece"), "inside"))

@@ -2,7 +2,8 @@
 
 The field has two states, emissions linear in a few line features and a transition matrix. It is fitted by maximum
 likelihood (forward-backward) on a bounded sample of labelled documents whose lines take the document's quality as
-their weak label. Viterbi decoding marks every line of every document; the share of words in content lines decides.
+their weak label, and on as many chains that join runs of lines of bad documents to good ones, ahead, behind and within,
+so that changes of state are learned from chains that have them. Viterbi decoding marks every line of every document; the share of words in content lines decides.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from siftloom.llm.words import SPACED, blocks, find_words, lines_of, numbered_li
 SAMPLE, SAMPLE_CHARS = 1500, 20_000
 ROUNDS, RATE, RIDGE = 150, 0.1, 1e-3
 CONTENT_SHARE = 0.5
+#: Lines of a joined run at most, and the share of joined chains with a run in their middle.
+JOINED_LINES, MIDDLE_SHARE = 20, 0.25
 #: Characters that count as symbols, and the base rules' bounds.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
@@ -157,6 +160,29 @@ class Field:
         return d_weights, d_moves - both.sum(axis=0)
 
 
+def joined_chains(first: np.ndarray, counts: np.ndarray, good: np.ndarray, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Lines and their labels of one chain per good document, with runs of lines of bad documents ahead, behind, or within."""
+    random = np.random.default_rng(seed)
+    bad = np.flatnonzero(~good)
+
+    def run() -> np.ndarray:
+        doc = random.choice(bad)
+        n = min(int(random.integers(1, JOINED_LINES + 1)), int(counts[doc]))
+        start = first[doc] + int(random.integers(0, counts[doc] - n + 1))
+        return np.arange(start, start + n)
+
+    out = []
+    for doc in np.flatnonzero(good):
+        lines = np.arange(first[doc], first[doc] + counts[doc])
+        cut = int(random.integers(1, len(lines))) if len(lines) > 1 and random.random() < MIDDLE_SHARE else len(lines)
+        none = np.zeros(0, np.int64)
+        parts = [(run(), 0), (lines[:cut], 1), (run() if cut < len(lines) else none, 0), (lines[cut:], 1), (run(), 0)]
+        if random.random() < 0.5:  # some have a run at one end only
+            parts[0 if random.random() < 0.5 else 4] = (none, 0)
+        out.append((np.concatenate([p for p, _ in parts]), np.concatenate([np.full(len(p), y) for p, y in parts])))
+    return out
+
+
 def train(sample: Sample) -> Field | None:
     """Fit on a sample with labels 1 (good) and 0 (bad); None without rows of both."""
     label = np.array(sample.labels)
@@ -166,13 +192,18 @@ def train(sample: Sample) -> Field | None:
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     lines = Lines(np.frombuffer(b"".join(raw), np.uint8), offsets)
     counts = np.bincount(lines.row, minlength=len(raw))
+    chains = [(np.arange(a, a + n), np.full(n, y)) for a, n, y in zip(lines.first, counts, label.astype(int))]
+    chains += joined_chains(lines.first, counts, label == 1)
+    at, state = (np.concatenate(c) for c in zip(*chains))
+    features, counts = lines.features[at], np.array([len(c) for c, _ in chains])
+    first = np.cumsum(counts) - counts
     order = np.argsort(-counts, kind="stable")
     field = Field(np.zeros((2, lines.features.shape[1])), np.zeros((2, 2)))
     mean = [[np.zeros_like(x) for x in (field.weights, field.moves)] for _ in range(2)]
     for i in range(1, ROUNDS + 1):
-        steps = field.gradient(lines.features, lines.first[order], counts[order], label[lines.row].astype(int))
+        steps = field.gradient(features, first[order], counts[order], state)
         for k, (value, g) in enumerate(zip((field.weights, field.moves), steps)):
-            g = g / len(lines.row) - RIDGE * value
+            g = g / len(features) - RIDGE * value
             mean[0][k] += 0.1 * (g - mean[0][k])
             mean[1][k] += 0.01 * (g ** 2 - mean[1][k])
             value += RATE * (mean[0][k] / (1 - 0.9 ** i)) / (np.sqrt(mean[1][k] / (1 - 0.99 ** i)) + 1e-8)

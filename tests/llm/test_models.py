@@ -244,3 +244,36 @@ def test_toxicity_is_fitted_alike_in_a_task(spark):
     here, there = toxicity.train(toxicity.labelled(docs, labels)), toxicity.fitted(docs, labels)
     assert np.array_equal(here.embedding, there.embedding) and here.thresholds == there.thresholds
     assert toxicity.fitted(docs.limit(0), labels) is None
+
+
+def test_crf_learns_changes_of_state():
+    """Heads and feet of boilerplate around good documents are found, and the documents' own lines stay content."""
+    import pyarrow.parquet as pq
+
+    folder = "/root/testdata/sf0.1"
+    quality = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{folder}/labels.parquet").to_pylist() if r["quality"] is not None}
+    docs = [(r["doc_id"], r["text"], quality[r["doc_id"]]) for r in pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+            if r["doc_id"] in quality and r["text"] and len(r["text"]) < 20_000]
+    fit = [d for d in docs if d[0] % 2 == 0]
+    field = line_crf.train(Sample([d[1] for d in fit], [d[2] for d in fit], [None] * len(fit), {0: 1, 1: 1}))
+    held = [d for d in docs if d[0] % 2]
+
+    def decoded(texts):
+        lines = line_crf.Lines(*block(texts))
+        counts = np.diff(np.append(lines.first, len(lines.row)))
+        return lines, counts, field.viterbi(lines.features, lines.first, counts)
+
+    lines, counts, state = decoded([d[1] for d in held])
+    kept = np.bincount(lines.row, lines.words * state, len(counts)) / np.maximum(lines.n_words, 1) >= 0.5
+    good = np.array([d[2] for d in held]) == 1
+    assert kept[good].mean() > 0.98 and (~kept)[~good].mean() > 0.95
+    assert sum(1 for a, n in zip(lines.first, counts) if n >= 5 and 0 < state[a:a + n].sum() < n) > 0
+    bad = [x for d in held if d[2] == 0 for x in d[1].split("\n") if x.strip()]
+    menu = ["Home | About | Contact | Login", "Click here!!! Buy now!!!", "Terms | Privacy | Cookies", "Share | Tweet | Pin | Email"]
+    rnd = np.random.default_rng(1)
+    for k, source in ((2, menu), (20, menu), (5, bad), (20, bad)):
+        texts = ["\n".join([*rnd.choice(source, k), d[1], *rnd.choice(source, k)]) for d in held if d[2] == 1][:200]
+        lines, counts, state = decoded(texts)
+        own = np.concatenate([state[a + k:a + n - k] for a, n in zip(lines.first, counts)])
+        planted = np.concatenate([np.r_[state[a:a + k], state[a + n - k:a + n]] for a, n in zip(lines.first, counts)])
+        assert own.mean() > 0.95 and (planted == 0).mean() > 0.89, (k, own.mean(), planted.mean())

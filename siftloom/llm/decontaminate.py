@@ -1,9 +1,10 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
 Every task cuts its documents into shards of a few MB, builds the suffix array of a shard's words, and searches every
-suffix of every benchmark item in it by bisection. The interval at window length gives all verbatim occurrences, the
-deepest interval the longest match. Nothing is shuffled, a shard is dropped once searched, and a lost task is simply
-run again. The benchmark is the stated query set: it is sent to the tasks in blocks of a bounded size.
+suffix of every benchmark item in it by bisection. The interval at window length gives all verbatim occurrences; each
+that cannot be continued to the left is followed to the right, to the longest match. Nothing is shuffled, a shard is
+dropped once searched, and a lost task is simply run again. The benchmark is the stated query set: it lies in files of
+bounded size in the shared folder, and tasks read one after the other.
 """
 
 from __future__ import annotations
@@ -13,17 +14,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftloom.llm.store import map_arrow
+from siftloom.llm.store import map_arrow, shared_folder
+from siftloom.llm.warc import _files as files_of
 from siftloom.llm.words import ALNUM, bits_for, blocks, find_words
 
 WINDOW = 10
 SHARD_BYTES = 4_000_000
-#: Benchmark text sent to the tasks at once; a larger benchmark takes several rounds over the documents.
+#: Benchmark text in a file; a task holds that of one file at a time.
 BENCHMARK_BYTES = 16_000_000
 PAIRS = 1_000_000
+#: Words of all growing matches that are compared at once, and of one match.
+GROWTH, STRIDE = 1_000_000, 4_096
 
 SPANS = "array<struct<first:bigint,last:bigint>>"
 MATCHES = "array<struct<item_id:string,item_word:bigint,doc_word:bigint,words:bigint>>"
@@ -76,11 +82,10 @@ def _bisect(ids: np.ndarray, order: np.ndarray, low: np.ndarray, high: np.ndarra
         high[active] = np.where(below, high[active], middle)
 
 
-def search(ids: np.ndarray, order: np.ndarray, query: np.ndarray, at: np.ndarray, lengths: np.ndarray
-           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bisect the suffixes of ``query`` at ``at``: their intervals at ``lengths`` words (empty if none), longest match."""
+def search(ids: np.ndarray, order: np.ndarray, query: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bisect the suffixes of ``query`` at ``at``: their intervals at ``lengths`` words, empty if none."""
     n = len(at)
-    low, high, longest = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    low, high = np.zeros(n, np.int64), np.zeros(n, np.int64)
     head = ids[order]
     left = np.searchsorted(head, query[at])
     right = np.searchsorted(head, query[at], side="right")
@@ -89,13 +94,26 @@ def search(ids: np.ndarray, order: np.ndarray, query: np.ndarray, at: np.ndarray
         keep = (left < right) & (query[at[active] + depth] > 0)
         active, left, right = active[keep], left[keep], right[keep]
         depth += 1
-        longest[active] = depth
         full = lengths[active] == depth
         low[active[full]], high[active[full]] = left[full], right[full]
+        active, left, right = active[~full], left[~full], right[~full]
         word = query[at[active] + depth]
         left = _bisect(ids, order, left, right, depth, word)
         right = _bisect(ids, order, left, right, depth, word + 1)
-    return low, high, longest
+    return low, high
+
+
+def grown(ids: np.ndarray, query: np.ndarray, place: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Lengths of matches of ``ids`` at ``place`` with ``query`` at ``at`` that are ``length`` long at least, followed to their ends."""
+    length, going = length.copy(), np.arange(len(place))
+    while len(going):
+        ahead = np.arange(max(1, min(STRIDE, GROWTH // len(going))))
+        q = query[np.minimum(at[going, None] + length[going, None] + ahead, len(query) - 1)]
+        differs = (q <= 0) | (q != ids[np.minimum(place[going, None] + length[going, None] + ahead, len(ids) - 1)])
+        open_ = ~differs.any(axis=1)
+        length[going] += np.where(open_, len(ahead), differs.argmax(axis=1))
+        going = going[open_]
+    return length
 
 
 class Benchmark:
@@ -119,7 +137,7 @@ class Benchmark:
         starts = (room >= window) | (within == 0)
         self.at, self.item, self.within = place[starts], item[starts], within[starts]
         self.lengths = np.minimum(np.repeat(counts, counts)[starts], window)
-        self.depth = int(counts.max()) if len(counts) else 0
+        self.depth = int(self.lengths.max(initial=0))
 
 
 def _lists(rows: np.ndarray, n: int, values: pa.Array) -> pa.Array:
@@ -141,7 +159,7 @@ def _shard(bench: Benchmark, data: np.ndarray, offsets: np.ndarray, before: pa.A
     known = pc.fill_null(pc.index_in(bench.words, value_set=words), -2).to_numpy(zero_copy_only=False).astype(np.int64) + 1
     query = np.where(bench.query < 0, -1, known[bench.query]) if len(known) else bench.query
     order, _ = suffix_array(ids, bench.depth)
-    low, high, _ = search(ids, order, query, bench.at, bench.lengths)
+    low, high = search(ids, order, query, bench.at, bench.lengths)
     hits = np.flatnonzero(low < high)
     best: list[np.ndarray] = []
     # Equal windows share their interval: each is marked once, each of its items is listed.
@@ -161,12 +179,7 @@ def _shard(bench: Benchmark, data: np.ndarray, offsets: np.ndarray, before: pa.A
         at = bench.at[which]
         whole = query[at - 1] != ids[place - 1]
         which, place, at = which[whole], place[whole], at[whole]
-        length = bench.lengths[which].copy()
-        going = np.arange(len(which))
-        while len(going):
-            q = query[at[going] + length[going]]
-            going = going[(q > 0) & (q == ids[np.minimum(place[going] + length[going], len(ids) - 1)])]
-            length[going] += 1
+        length = grown(ids, query, place, at, bench.lengths[which])
         where = np.searchsorted(first, place, side="right") - 1
         best.append(np.stack([where, bench.item[which], -length, bench.within[which], place - first[where]], 1))
         start = stop
@@ -190,14 +203,25 @@ def _shard(bench: Benchmark, data: np.ndarray, offsets: np.ndarray, before: pa.A
     return counts, _lists(where, docs, spans), _lists(rows[:, 0], docs, matches)
 
 
-def _blocks_of(benchmark: DataFrame, limit: int) -> list[list[tuple[str | None, str]]]:
-    """The items with text, in blocks of at most ``limit`` bytes on average."""
+def _in_files(benchmark: DataFrame, limit: int) -> tuple[str, int]:
+    """Write the items with text to a folder, in blocks of ``limit`` bytes or so; the folder and the number of blocks."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("words")) \
         .where("words is not null and words != ''").distinct()
     total = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    n = -(-total // limit)
-    return [[tuple(r) for r in items.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == i).sort("item", "words").collect()]
-            for i in range(n)]
+    n, folder = -(-total // limit), shared_folder(benchmark.sparkSession)
+    if n:
+        block = F.pmod(F.xxhash64("item", "words"), F.lit(n)).alias("block")
+        items.select("item", "words", block).repartition("block").write.partitionBy("block").parquet(folder)
+    return folder, n
+
+
+def _read_block(folder: str, block: int) -> list[tuple[str | None, str]]:
+    """The items of a block in an order of their own; none where the hash dealt none to it."""
+    system, path = files_of(f"{folder}/block={block}")
+    found = system.get_file_info(pa.fs.FileSelector(path, allow_not_found=True))
+    tables = [pa.parquet.read_table(f.path, filesystem=system, partitioning=None) for f in found if f.path.endswith(".parquet")]
+    rows = [r for t in tables for r in zip(t.column("item").to_pylist(), t.column("words").to_pylist())]
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
@@ -211,21 +235,19 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     have a null id in ``matches``. Repeated documents get equal rows; items given twice count once; an empty benchmark
     or document table gives no hits or no rows.
     """
-    spark = documents.sparkSession
+    folder, count = _in_files(benchmark, benchmark_bytes)
     out = documents.select(F.struct("*").alias("doc"), F.lit(0).cast("bigint").alias("n_words"),
                            F.array().cast(SPANS).alias("spans"), F.array().cast(MATCHES).alias("matches"))
-    for items in _blocks_of(benchmark, benchmark_bytes) or [[]]:
-        sent = spark.sparkContext.broadcast(items)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            bench = Benchmark(sent.value, window)
-            for rows, data, offsets in blocks(batches, f"doc.{text}", SHARD_BYTES):
-                counts, spans, matches = _shard(bench, data, offsets, rows.column(2))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(counts), spans, _joined(rows.column(3), matches)], ["doc", "n_words", "spans", "matches"])
-
-        out = map_arrow(out, run, out.schema)
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = Benchmark(_read_block(folder, 0) if count else [], window) if count < 2 else None
+        for rows, data, offsets in blocks(batches, f"doc.{text}", SHARD_BYTES):
+            spans, matches = rows.column(2), rows.column(3)
+            for i in range(max(1, count)):
+                counts, spans, more = _shard(only or Benchmark(_read_block(folder, i), window), data, offsets, spans)
+                matches = _joined(matches, more)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts), spans, matches], ["doc", "n_words", "spans", "matches"])
+
+    return map_arrow(out, run, out.schema)
 
 
 def _joined(a: pa.Array, b: pa.Array) -> pa.Array:

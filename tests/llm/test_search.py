@@ -177,3 +177,18 @@ def test_passages_of_short_lines(spark):
         assert shared in out[0].text and all(helpers.prose(1000 + 10 * k + j, 40, 5) in out[j].text for j in range(3))
         found += sum(out[j].removed_words == 84 for j in (1, 2))
     assert found >= 18
+
+
+def test_long_copies_take_time_in_proportion():
+    """A copied item of 100,000 words is followed to its end, once."""
+    import time
+
+    from siftloom.llm.decontaminate import Benchmark, _shard
+
+    words = " ".join(f"w{i * 7919 % 50_021}" for i in range(100_000))
+    data = np.frombuffer(f"ahead {words} behind".encode(), np.uint8)
+    start = time.time()
+    counts, spans, matches = _shard(Benchmark([("1", f"before {words} after")], 10), data, np.array([0, len(data)]), None)
+    assert time.time() - start < 30  # seconds rather than minutes, also on a busy machine
+    assert counts.tolist() == [100_002] and spans.to_pylist() == [[{"first": 1, "last": 100_000}]]
+    assert matches.to_pylist() == [[{"item_id": "1", "item_word": 1, "doc_word": 1, "words": 100_000}]]

@@ -15,6 +15,8 @@ from siftloom.llm.store import stored
 
 #: UTF-8 bytes of the texts of a labelled sample, half of them for each label.
 SAMPLE_BYTES = 64_000_000
+#: Groups that a sample of texts is taken of, and texts of all of them together.
+GROUPS, TEXTS = 256, 12_000
 
 
 @dataclass
@@ -83,12 +85,26 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, sample
     return as_sample(rows.collect(), totals)
 
 
-def text_sample(texts: DataFrame, sample: int, chars: int, group: str | None = None, seed: int = 3) -> Sample:
-    """About ``sample`` distinct texts (column ``text``) of at most ``chars`` characters, of each value of ``group`` if given."""
+def text_sample(texts: DataFrame, sample: int, chars: int, group: str | None = None, seed: int = 3, groups: int = GROUPS) -> Sample:
+    """About ``sample`` distinct texts (column ``text``) of each value of ``group``, if given.
+
+    Of a text with more than ``chars`` characters a piece of that length is taken, from a place that its hash says. A
+    group's share follows from its number of distinct texts, so copies take no text's place, and a group of few texts gives
+    them all. Of more than ``groups`` values of ``group`` those with the most texts are sampled, and of many groups fewer
+    texts each, ``TEXTS`` in all.
+    """
     name = F.col(group).cast("string") if group else F.lit("")
-    rows = texts.select(name.alias("group"), "text").where("text is not null and group is not null").where(F.length("text") <= chars)
-    hash_ = F.xxhash64("text", F.lit(seed))
-    chosen, totals = by_group(rows, "group", hash_, sample)
-    found = chosen.groupBy("group", hash_.alias("hash")).agg(F.min("text").alias("text")).select("group", "text").collect()
+    rows = texts.select(name.alias("group"), "text").where("text is not null and group is not null").withColumn("hash", F.xxhash64("text", F.lit(seed)))
+    sizes = rows.groupBy("group").agg(F.count("*").alias("n"), F.approx_count_distinct("hash", 0.02).alias("kinds")) \
+        .orderBy(F.desc("n"), "group").limit(groups).collect()
+    # One row per group: the number of groups is bounded.
+    sample = min(sample, TEXTS // max(1, len(sizes)))
+    limits = [(r["group"], 1.0 if r["kinds"] <= sample else sample / r["kinds"]) for r in sizes]
+    keep = F.lit(False)
+    for value, share in sorted(limits):
+        keep = keep | ((F.col("group") == F.lit(value)) & below(F.col("hash"), share))
+    start = F.pmod("hash", F.length("text") - chars + 1).cast("int") + 1
+    piece = F.when(F.length("text") <= chars, F.col("text")).otherwise(F.substr("text", start, F.lit(chars)))
+    found = rows.where(keep).groupBy("group", "hash").agg(F.min(piece).alias("text")).select("group", "text").collect()
     found = sorted(found, key=lambda r: (r["group"], r["text"]))
-    return Sample([r["text"] for r in found], [r["group"] for r in found], [None] * len(found), totals)
+    return Sample([r["text"] for r in found], [r["group"] for r in found], [None] * len(found), {r["group"]: r["n"] for r in sizes})

@@ -277,3 +277,20 @@ def test_crf_learns_changes_of_state():
         own = np.concatenate([state[a + k:a + n - k] for a, n in zip(lines.first, counts)])
         planted = np.concatenate([np.r_[state[a:a + k], state[a + n - k:a + n]] for a, n in zip(lines.first, counts)])
         assert own.mean() > 0.95 and (planted == 0).mean() > 0.89, (k, own.mean(), planted.mean())
+
+
+def test_languages_of_long_texts_and_of_copies_are_learned(spark):
+    rows = [(f"{'abcde'[i % 5] * 3} ein zwei drei vier {i} ", "de") for i in range(900)]
+    rows += [("pqr stu " * 4000 + str(i), "long") for i in range(3)]  # long texts only
+    rows += [("klm nop klm nop " + "op" * (i % 2), "copies") for i in range(2000)]  # two texts only
+    rows += [(None, "de"), ("", "de"), ("xyz", None)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    found = samples.text_sample(df.where("text != ''"), 100, 500, "lang")
+    count = {k: found.labels.count(k) for k in set(found.labels)}
+    assert count["long"] == 3 and count["copies"] == 2 and 60 < count["de"] < 140
+    assert max(map(len, found.texts)) == 500 and found.totals == {"de": 900, "copies": 2000, "long": 3}
+    assert set(samples.text_sample(df.where("text != ''"), 100, 500, "lang", groups=1).labels) == {"copies"}
+    trees = ppm.train(df, 100)
+    got = [r.lang_pred for r in ppm.predict(spark.createDataFrame([("pqr stu pqr",), ("klm nop",), ("ein zwei drei",)], "text string"), trees).collect()]
+    assert got == ["long", "copies", "de"]
+    assert samples.text_sample(df.limit(0), 100, 500, "lang").texts == []

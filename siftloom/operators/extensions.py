@@ -11,7 +11,8 @@ from ..functions.text import first_match, free_name, is_present, is_web_url, nam
 from ..settings import DEFAULT, Settings
 from .profile import high_missing_columns, missingness_by_variable
 from .roles import missing_in, numeric_columns, text_columns
-from .scale import exact_quantiles, last_per_key, long_form
+from ..sources.identity import pin
+from .scale import last_per_key, long_form, quantiles_and_stats
 
 # Scrape day as it appears in image paths.
 PATH_DATE = r"/(\d{4}/\d{2}/\d{2})/"
@@ -50,13 +51,14 @@ def squish_all(df: DataFrame) -> DataFrame:
                        if c in texts else F.col(c) for c in df.columns])
 
 
-def imputation_plan(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
-    """``variable, missing_pct, decision``: keep, impute, or document when too much is missing."""
+def imputation_plan(df: DataFrame, cfg: Settings = DEFAULT, exclude_pct: float | None = None) -> DataFrame:
+    """``variable, missing_pct, decision``: keep, impute, document when too much is missing, or exclude from ``exclude_pct`` on."""
     missingness = missingness_by_variable(df, cfg)
     too_many = F.col("missing_pct") >= cfg.high_missing_pct
+    out = F.lit(False) if exclude_pct is None else F.col("missing_pct") >= exclude_pct
     return missingness.select(
         "variable", "missing_pct",
-        F.when(F.col("missing_count") == 0, "keep").when(too_many, "document").otherwise("impute").alias("decision"))
+        F.when(F.col("missing_count") == 0, "keep").when(out, "exclude").when(too_many, "document").otherwise("impute").alias("decision"))
 
 
 def documented_only(df: DataFrame, cfg: Settings = DEFAULT) -> DataFrame:
@@ -68,35 +70,69 @@ def impute_by_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
 
     Columns keep their types: medians of whole-number columns are rounded, halves up.
     ``<column>_imputed`` marks filled cells; groups without any value stay empty,
-    and rows without a group are a group of their own. All fills of a group, one
-    row, meet the table in a single join.
+    and rows without a group are a group of their own.
+    """
+    return impute_by_levels(df, [[group]], columns).drop(*[f"{c}_imputed_from" for c in columns])
+
+
+def impute_by_levels(df: DataFrame, levels: list[list[str]], columns: list[str]) -> DataFrame:
+    """``impute_by_group`` with something to fall back on: each level is a list of columns whose values make a group, and
+    ``[]`` is the whole table. A gap is filled from the first level whose group has a value.
+
+    ``<column>_imputed`` marks filled cells and ``<column>_imputed_from`` names the level, its columns or ``all``. What
+    the fills are taken from is written once, narrow; all levels are counted together.
     """
     numbers = [c for c in columns if c in numeric_columns(df)]
     texts = [c for c in columns if c not in numbers]
+    keys = list(dict.fromkeys(c for level in levels for c in level))
+    source = pin(df.select(*[named(c) for c in dict.fromkeys([*keys, *columns])]))
+    groups = F.array(*[F.struct(F.lit(i).alias("level"), _group_key(level).alias("group")) for i, level in enumerate(levels)])
+    at = free_name(source.columns, "groups")
+    placed = source.withColumn(at, groups)
     fills = []
     if numbers:
-        tall = long_form(df, numbers, [named(c).cast("double") for c in numbers], keep=[group], value="v")
-        keyed = tall.select(F.struct("variable", named(group).alias("group")).alias("key"), "v")
-        medians = exact_quantiles(keyed, "key", "v", [0.5])
-        fills.append(medians.select("key.group", "key.variable", F.col("q0").alias("number"), F.lit(None).cast("string").alias("text")))
+        tall = long_form(placed, numbers, [named(c).cast("double") for c in numbers], keep=[at], value="v").where("v IS NOT NULL")
+        keyed = tall.select(F.explode(at).alias("g"), "variable", "v").select(F.struct("g.level", "g.group", "variable").alias("key"), "v")
+        few = placed.select(F.explode(at).alias("g")).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+        medians = quantiles_and_stats(keyed, "key", "v", [0.5], few_groups=few)
+        fills.append(medians.select("key.level", "key.group", "key.variable", F.col("q0").alias("number"), F.lit(None).cast("string").alias("text")))
     if texts:
-        tall = long_form(df, texts, [named(c) for c in texts], keep=[group]).where(is_present(F.col("value")))
-        counts = tall.groupBy(named(group).alias("group"), "variable", "value").agg(F.count("*").alias("n"))
+        tall = long_form(placed, texts, [named(c) for c in texts], keep=[at]).where(is_present(F.col("value")))
+        per_value = tall.groupBy(at, "variable", "value").agg(F.count("*").alias("n")).select(F.explode(at).alias("g"), "variable", "value", "n")
+        counts = per_value.groupBy("g.level", "g.group", "variable", "value").agg(F.sum("n").alias("n"))
         # Most frequent first; among equals the first in text order.
-        modes = counts.groupBy("group", "variable").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("text"))
-        fills.append(modes.select("group", "variable", F.lit(None).cast("double").alias("number"), "text"))
+        modes = counts.groupBy("level", "group", "variable").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("text"))
+        fills.append(modes.select("level", "group", "variable", F.lit(None).cast("double").alias("number"), "text"))
     both = fills[0] if len(fills) == 1 else fills[0].unionByName(fills[1])
-    wide = both.groupBy("group").agg(*[F.max(F.when(F.col("variable") == c, F.col("number" if c in numbers else "text"))).alias(f"__fill_{i}")
-                                       for i, c in enumerate(columns)])
-    joined = df.join(wide.withColumnRenamed("group", "__group"), named(group).eqNullSafe(F.col("__group")), "left")
+    wide = pin(both.groupBy("level", "group").agg(*[
+        F.max(F.when(F.col("variable") == c, F.col("number" if c in numbers else "text"))).alias(f"fill_{i}") for i, c in enumerate(columns)]))
+    joined, found = df, []
+    for k, level in enumerate(levels):
+        key, row = free_name(joined.columns, f"__group_{k}"), free_name(joined.columns, f"__fills_{k}")
+        side = wide.where(F.col("level") == k).select(F.col("group").alias(key), F.struct(*[f"fill_{i}" for i in range(len(columns))]).alias(row))
+        joined = joined.withColumn(key, _group_key(level)).join(side, key, "left")
+        found.append(row)
     present = {c: ~missing_in(df, c) for c in columns}
+
     def fill(i: int, c: str) -> Column:
-        kind, value = df.schema[c].dataType, F.col(f"__fill_{i}")
+        kind, value = df.schema[c].dataType, F.coalesce(*[F.col(f"`{row}`.fill_{i}") for row in found])
         return F.round(value).cast(kind) if isinstance(kind, T.IntegralType) else value.cast(kind)
 
     filled = {c: F.coalesce(F.when(present[c], named(c)), fill(i, c)).alias(c) for i, c in enumerate(columns)}
-    flags = [(~present[c] & F.col(f"__fill_{i}").isNotNull()).alias(f"{c}_imputed") for i, c in enumerate(columns)]
-    return joined.select(*[filled.get(c, named(c)) for c in df.columns], *flags)
+    flags = [(~present[c] & fill(i, c).isNotNull()).alias(f"{c}_imputed") for i, c in enumerate(columns)]
+    names = [" ".join(level) or "all" for level in levels]
+    source_of = [F.when(~present[c], F.coalesce(*[F.when(F.col(f"`{row}`.fill_{i}").isNotNull(), F.lit(n)) for row, n in zip(found, names)]))
+                 .alias(f"{c}_imputed_from") for i, c in enumerate(columns)]
+    return joined.select(*[filled.get(c, named(c)) for c in df.columns], *flags, *source_of)
+
+
+#: Groups up to which the buckets that hold their medians are broadcast.
+FEW_GROUPS = 10_000
+
+
+def _group_key(level: list[str]) -> Column:
+    """One text for the values of a level's columns; missing ones differ from all others."""
+    return F.to_json(F.struct(*[named(c).cast("string").alias(f"c{i}") for i, c in enumerate(level)]), {"ignoreNullFields": "false"}) if level else F.lit("{}")
 
 
 def image_scrape_dates(df: DataFrame, column: str = "images", cfg: Settings = DEFAULT) -> DataFrame:

@@ -482,6 +482,29 @@ SELECT c.row_number, c.size_system, round(coalesce(c.price, med.m), 6) AS price,
 FROM c LEFT JOIN med USING (size_system) LEFT JOIN b USING (size_system) LEFT JOIN k USING (size_system)"""
 
 
+def _levels(best: str) -> str:
+    """A fill for each level of groups; ``best`` picks it from a group, as ``m``."""
+    parts = []
+    for i, by in enumerate(("size_system, brand", "size_system", "")):
+        group = f"GROUP BY {by}" if by else ""
+        parts.append(best.format(i=i, by=by + ", " if by else "", group=group, over=f"PARTITION BY {by}" if by else ""))
+    return ",\n".join(parts)
+
+
+IMPUTED_LEVELS = f"""
+WITH c AS MATERIALIZED ({cleaned()}),
+{_levels("p{i} AS (SELECT {by} quantile_cont(price, 0.5) AS m FROM c WHERE price IS NOT NULL {group})")},
+{_levels("k{i} AS (SELECT {by} color AS m FROM c WHERE color IS NOT NULL AND color <> '' GROUP BY {by} color QUALIFY row_number() OVER ({over} ORDER BY count(*) DESC, color) = 1)")}
+SELECT c.row_number, round(coalesce(c.price, p0.m, p1.m, p2.m), 6) AS price, c.price IS NULL AND coalesce(p0.m, p1.m, p2.m) IS NOT NULL AS price_imputed,
+  CASE WHEN c.price IS NULL THEN CASE WHEN p0.m IS NOT NULL THEN 'size_system brand' WHEN p1.m IS NOT NULL THEN 'size_system' WHEN p2.m IS NOT NULL THEN 'all' END END AS price_imputed_from,
+  CASE WHEN c.color <> '' THEN c.color ELSE coalesce(k0.m, k1.m, k2.m, c.color) END AS color,
+  CASE WHEN c.color IS NULL OR c.color = '' THEN CASE WHEN k0.m IS NOT NULL THEN 'size_system brand' WHEN k1.m IS NOT NULL THEN 'size_system' WHEN k2.m IS NOT NULL THEN 'all' END END AS color_imputed_from
+FROM c LEFT JOIN p0 ON c.size_system IS NOT DISTINCT FROM p0.size_system AND c.brand IS NOT DISTINCT FROM p0.brand
+LEFT JOIN p1 ON c.size_system IS NOT DISTINCT FROM p1.size_system LEFT JOIN p2 ON TRUE
+LEFT JOIN k0 ON c.size_system IS NOT DISTINCT FROM k0.size_system AND c.brand IS NOT DISTINCT FROM k0.brand
+LEFT JOIN k1 ON c.size_system IS NOT DISTINCT FROM k1.size_system LEFT JOIN k2 ON TRUE"""
+
+
 PREPARED = ["sku", "url", "name", "discount", "brand", "description", "size", "scraped_at", "price", "price_flag", "discount_flag",
             "images_clean", "images_n"]
 
@@ -672,6 +695,9 @@ SELECT size, format('{{:,}}', count(*) * 1000) AS n_text,
         "squish_all": on_catalog("SELECT row_number, " + ", ".join(f"{squish(c)} AS {c}" for c in DATA) + " FROM catalog"),
         "imputation_plan": on_catalog(f"""SELECT variable, missing_pct, CASE WHEN missing_count = 0 THEN 'keep'
   WHEN missing_pct >= 30 THEN 'document' ELSE 'impute' END AS decision FROM ({missingness('catalog', DATA)})"""),
+        "imputation_plan_exclude": on_catalog(f"""SELECT variable, missing_pct, CASE WHEN missing_count = 0 THEN 'keep' WHEN missing_pct >= 40 THEN 'exclude'
+  WHEN missing_pct >= 30 THEN 'document' ELSE 'impute' END AS decision FROM ({missingness('catalog', DATA)})"""),
+        "impute_by_levels": on_catalog("SELECT * FROM i", i=IMPUTED_LEVELS),
         "impute_by_size_system": on_catalog("SELECT * FROM i", i=IMPUTED),
         "post_clean_missingness": on_catalog(missingness("c", [c for c in CLEANED_COLUMNS if c != "row_number"]), c=cleaned()),
         "post_clean_ranges": on_catalog(ranges("c", {"price": ("double", "price"), "size_count": ("int", "size_count"),

@@ -70,6 +70,13 @@ def _imputed(df: DataFrame) -> DataFrame:
                                  "color", "color_imputed"))
 
 
+def _imputed_levels(df: DataFrame) -> DataFrame:
+    """Prices and colours by size system and brand, then size system, then all."""
+    wanted = ["row_number", "size_system", "brand", "price", "color"]
+    filled = extensions.impute_by_levels(_cleaned(df).select(*wanted), [["size_system", "brand"], ["size_system"], []], ["price", "color"])
+    return rounded(filled.select("row_number", "price", "price_imputed", "price_imputed_from", "color", "color_imputed_from"))
+
+
 def _post_clean_ranges(df: DataFrame) -> DataFrame:
     return rounded(ranges.range_checks(_cleaned(df)))
 
@@ -295,6 +302,8 @@ def queries() -> dict[str, Query]:
         "url_repair": _catalog(lambda df: extensions.repair_url(df).select("row_number", "url")),
         "squish_all": _catalog(extensions.squish_all),
         "imputation_plan": _catalog(extensions.imputation_plan),
+        "imputation_plan_exclude": _catalog(lambda df: extensions.imputation_plan(df, exclude_pct=40.0)),
+        "impute_by_levels": _catalog(_imputed_levels),
         "impute_by_size_system": _catalog(_imputed),
         "prepared_table": _catalog(_prepared),
         "prepared_decisions": _catalog(lambda df: prepare.prepare(df).decisions),

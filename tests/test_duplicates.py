@@ -99,3 +99,17 @@ def test_imputed_columns_keep_their_types(spark):
     assert dict(got.dtypes)["i"] == "int" and dict(got.dtypes)["d"] == "double" and dict(got.dtypes)["l"] == "bigint"
     assert rows(got.select("g", "i", "d", "l")) == [("a", 1, 1.0, 10), ("a", 2, 1.5, 11), ("a", 2, 2.0, 11), ("b", None, None, None)]
     assert Settings().mode == "intent"
+
+
+def test_gaps_fall_back_from_level_to_level(spark):
+    data = [("a", "x", 1, 1.0, "red"), ("a", "x", 2, None, None), ("a", "y", 3, 5.0, "blue"), ("a", "y", None, None, ""), ("a", "z", None, None, None),
+            ("b", "x", None, None, None), (None, "x", 7, 7.0, "red"), (None, "x", None, None, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "row_number long, g string, h string, n int, d double, t string")
+    got = {r.row_number: r for r in extensions.impute_by_levels(df, [["g", "h"], ["g"], []], ["n", "d", "t"]).collect()}
+    assert (got[1].d, got[1].d_imputed_from, got[1].t, got[1].n, got[1].n_imputed) == (1.0, "g h", "red", 2, False)
+    assert (got[3].n, got[3].d, got[3].t, got[3].t_imputed_from) == (3, 5.0, "blue", "g h")
+    assert (got[4].n, got[4].d, got[4].d_imputed_from, got[4].t) == (2, 3.0, "g", "blue")
+    assert (got[5].n, got[5].d, got[5].d_imputed_from, got[5].t) == (3, 5.0, "all", "red")
+    assert (got[7].n, got[7].n_imputed_from, got[0].n_imputed_from) == (7, "g h", None)
+    plan = {r.variable: r.decision for r in extensions.imputation_plan(df, exclude_pct=50.0).collect()}
+    assert plan == {"g": "impute", "h": "keep", "n": "document", "d": "exclude", "t": "exclude"}

@@ -94,7 +94,9 @@ class Chunks:
             chunk_keys.append(((upto[ends[begins]] - upto[begins]) * back[begins]).view(np.int64))
         self.doc = docs[self.low]
         self.line = self.low - first[self.doc]
-        self.chunk = least_in(chunk_keys[0], self.low, np.searchsorted(ends[begins], self.high, side="right"))
+        # Every run holds the window that begins with it, and so that window's chunk.
+        window = np.searchsorted(total, total[self.low] + max(1, min_words), side="left")
+        self.chunk = least_in(chunk_keys[0], self.low, np.searchsorted(ends[begins], window, side="right"))
         self.chunk_keys = [k[self.chunk] for k in chunk_keys]
 
 

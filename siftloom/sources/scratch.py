@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,14 +16,17 @@ _LOCAL: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary one, as driver and executors are one process there.
+    A local session without that setting gets a temporary one, as driver and executors are one process there; it goes
+    when the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if not _LOCAL:
-            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="siftloom-"))
+            folder = tempfile.mkdtemp(prefix="siftloom-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            _LOCAL.append("file://" + folder)
         folder = _LOCAL[0]
     return folder.rstrip("/")
 

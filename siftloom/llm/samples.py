@@ -85,16 +85,19 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, sample
     return as_sample(rows.collect(), totals)
 
 
-def text_sample(texts: DataFrame, sample: int, chars: int, group: str | None = None, seed: int = 3, groups: int = GROUPS) -> Sample:
+def text_sample(texts: DataFrame, sample: int, chars: int, group: str | None = None, seed: int = 3, groups: int = GROUPS,
+                pieces: bool = True) -> Sample:
     """About ``sample`` distinct texts (column ``text``) of each value of ``group``, if given.
 
-    Of a text with more than ``chars`` characters a piece of that length is taken, from a place that its hash says. A
+    Of a text with more than ``chars`` characters a piece of that length is taken, from a place that its hash says; without
+    ``pieces`` such texts are left out, for models that look at whole texts. A
     group's share follows from its number of distinct texts, so copies take no text's place, and a group of few texts gives
     them all. Of more than ``groups`` values of ``group`` those with the most texts are sampled, and of many groups fewer
     texts each, ``TEXTS`` in all.
     """
     name = F.col(group).cast("string") if group else F.lit("")
     rows = texts.select(name.alias("group"), "text").where("text is not null and group is not null").withColumn("hash", F.xxhash64("text", F.lit(seed)))
+    rows = rows if pieces else rows.where(F.length("text") <= chars)
     sizes = rows.groupBy("group").agg(F.count("*").alias("n"), F.approx_count_distinct("hash", 0.02).alias("kinds")) \
         .orderBy(F.desc("n"), "group").limit(groups).collect()
     # One row per group: the number of groups is bounded.

@@ -178,7 +178,7 @@ def score(documents: DataFrame, sample: int = SAMPLE, text: str = "text") -> Dat
     # At most 3 ^ 12 patterns, whatever the number of documents.
     patterns = {r[0]: r[1] for r in map_arrow(texts, count, "votes string, n bigint").groupBy("votes").agg(F.sum("n")).collect()}
     posterior = pattern_posterior(patterns)
-    chosen = text_sample(texts, sample, SAMPLE_CHARS).texts
+    chosen = text_sample(texts, sample, SAMPLE_CHARS, pieces=False).texts
     weights = np.zeros(BUCKETS + 1)
     if chosen:
         raw = [t.encode() for t in chosen]

@@ -21,19 +21,33 @@ from ..sources.identity import pin
 # Whose value a counted value is.
 ROW, VALUE, TEXT, URL, IMAGE, LEVEL, PAIR = range(7)
 
+# Rows of a task that counts values, and tasks at most: so many that a scanning task streams its rows out to all of them.
+TASK_ROWS, TASKS = 20_000, 200
+
 
 def _entry(tag: int, name: Column, value: Column, gaps: Column | None = None) -> Column:
     return F.struct(F.lit(tag).alias("tag"), name.alias("variable"), value.alias("raw"),
                     (F.array().cast("array<bigint>") if gaps is None else gaps).alias("gaps"))
 
 
-def counted_values(df: DataFrame, roles: Roles, cfg: Settings) -> DataFrame:
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """The rows dealt evenly over tasks. A file may be a single piece, and one task would hold the counts of all its rows."""
+    tasks = min(TASKS, -(-rows // TASK_ROWS))
+    if tasks <= 1:
+        return df
+    at = free_name(df.columns, "__at")
+    return df.withColumn(at, F.monotonically_increasing_id()).repartition(tasks, at).drop(at)
+
+
+def counted_values(df: DataFrame, roles: Roles, cfg: Settings, rows: int = 0) -> DataFrame:
     """``tag, variable, key, n, valid, gaps`` and the text counts: all groupings of the run in one long form and one aggregate.
 
-    A key is at most 66 characters long but for levels and attributes, which the tables list in full.
+    A key is at most 66 characters long but for levels and attributes, which the tables list in full. ``rows`` is the
+    number of rows, if known.
     """
     columns, texts = cfg.data_columns(df.columns), text_columns(df)
-    entries = [_entry(ROW, F.lit(""), F.hex(row_digest(df, columns)), F.array(*profile.gap_masks(df, columns)))]
+    masks = profile.gap_masks(df, columns)
+    entries = [_entry(ROW, F.lit(""), F.hex(row_digest(df, columns)), F.array(*masks))]
     entries += [_entry(VALUE, F.lit(c), rendered(df, c)) for c in columns]
     entries += [_entry(TEXT, F.lit(c), named(c)) for c in texts]
     entries += [_entry(LEVEL, F.lit(c), rendered(df, c)) for c in profile.level_columns(roles)]
@@ -50,12 +64,16 @@ def counted_values(df: DataFrame, roles: Roles, cfg: Settings) -> DataFrame:
     if "description" in df.columns:
         found = F.transform(key_value_pairs(named("description")), lambda p: _entry(PAIR, squish(p["attribute_name"]), squish(p["attribute_value"])))
         every = F.concat(every, F.when(is_present(named("description")), found).otherwise(F.array().cast(_kind(every, df))))
-    tall = profile.with_clean_text(df.select(F.inline(every)))
+    tall = profile.with_clean_text(dealt(df, rows).select(F.inline(every)))
     tag, raw = F.col("tag"), F.col("raw")
     key = F.when(tag == TEXT, bounded_key(F.col("clean"))).when(tag.isin(ROW, LEVEL, PAIR), raw).otherwise(bounded_key(raw))
-    return tall.groupBy("tag", "variable", key.alias("key")).agg(
-        F.count("*").alias("n"), F.count_if(tag.isin(URL, IMAGE) & is_web_url(raw)).alias("valid"), F.first("gaps").alias("gaps"),
-        *profile.text_counts(cfg, tag == TEXT))
+    # One number per mask: with an array among the aggregates Spark would sort all rows before it groups them.
+    counts = profile.text_counts(cfg, tag == TEXT)
+    found = tall.groupBy("tag", "variable", key.alias("key")).agg(
+        F.count("*").alias("n"), F.count_if(tag.isin(URL, IMAGE) & is_web_url(raw)).alias("valid"),
+        *[F.first(F.get("gaps", F.lit(i))).alias(f"gaps_{i}") for i in range(len(masks))], *counts)
+    gaps = F.when(tag == ROW, F.array(*[F.col(f"gaps_{i}") for i in range(len(masks))])).otherwise(F.array().cast("array<bigint>"))
+    return found.select("tag", "variable", "key", "n", "valid", gaps.alias("gaps"), *found.columns[5 + len(masks):])
 
 
 def _kind(array: Column, df: DataFrame):
@@ -115,7 +133,7 @@ def diagnose_stored(df: DataFrame, roles: Roles | None = None, cfg: Settings = D
     spark, columns, types = df.sparkSession, cfg.data_columns(df.columns), dict(df.dtypes)
     conditions = checks.price_discount_conditions(roles)
     facts = pin(_facts(df, roles, conditions, cfg))
-    values = pin(counted_values(df, roles, cfg), by="tag")
+    values = pin(counted_values(df, roles, cfg, facts.first()["rows"]), by="tag")
     rows, flag = _listed_rows(df, values, roles, cfg)
     rows = pin(rows)
     number_columns = ranges.range_columns(df, cfg)

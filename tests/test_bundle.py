@@ -57,3 +57,17 @@ def test_empty_and_long_lists(spark, catalog, monkeypatch, tmp_path):
         assert shown(tables[k]) == shown(want[k])
     write_bundle({k: tables[k] for k in ("overview", "url_checks")}, str(tmp_path / "b"))
     assert shown(read_bundle(spark, str(tmp_path / "b"), ["overview"])["overview"]) == shown(want["overview"])
+
+
+def test_values_of_a_file_in_one_piece_are_counted_in_several_tasks(spark, catalog, tmp_path):
+    """Counting neither sorts all rows nor leaves them to the task that scanned them."""
+    source = str(tmp_path / "piece")
+    catalog.coalesce(1).write.parquet(source)
+    df = spark.read.parquet(source)
+    n = df.count()
+    values = bundle.counted_values(df, bundle.detect_roles(df), DEFAULT, 5 * bundle.TASK_ROWS)
+    assert "SortAggregate" not in values._jdf.queryExecution().executedPlan().toString()
+    assert rows(values) == rows(bundle.counted_values(df, bundle.detect_roles(df), DEFAULT))
+    sizes = bundle.dealt(df, 5 * bundle.TASK_ROWS).rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()
+    assert len(sizes) == 5 and sum(sizes) == n and max(sizes) < n / 2
+    assert bundle.dealt(df, 10 ** 9).rdd.getNumPartitions() == bundle.TASKS

@@ -294,3 +294,20 @@ def test_languages_of_long_texts_and_of_copies_are_learned(spark):
     got = [r.lang_pred for r in ppm.predict(spark.createDataFrame([("pqr stu pqr",), ("klm nop",), ("ein zwei drei",)], "text string"), trees).collect()]
     assert got == ["long", "copies", "de"]
     assert samples.text_sample(df.limit(0), 100, 500, "lang").texts == []
+
+
+def test_toxicity_learns_from_all_labelled_texts(spark):
+    """Long texts count as others do, and neither shards nor partitions lose a row or change the network."""
+    from pyspark.sql import functions as F
+
+    long = "ab cd ef " * 4500
+    rows = [(i, f"{i} {long} {'vilea vileb' if i % 2 else 'gh ij'}") for i in range(240)]
+    assert min(len(t) for _, t in rows) > 40_000
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    stored = toxicity.shards_of(docs, labels, 1_000_000)
+    assert stored.count() == 240 and stored.select("shard").distinct().count() > 1
+    one, other = (toxicity.fitted(d, labels, shard_bytes=1_000_000) for d in (docs.repartition(7), docs.coalesce(1)))
+    assert np.array_equal(one.embedding, other.embedding) and one.thresholds == other.thresholds
+    p = {r.doc.doc_id: r.score for r in toxicity.score(docs, toxicity.fitted(docs, labels)).select(F.col("doc"), "score").collect()}
+    assert auc([p[i] for i in range(240)], [i % 2 for i in range(240)]) > 0.95

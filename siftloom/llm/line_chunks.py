@@ -231,7 +231,7 @@ def without_repeated_chunks(documents: DataFrame, min_words: int = MIN_WORDS) ->
     joined = docs.join(side, docs["key"].eqNullSafe(side["id"]) & (docs["hash"] == side["row"]), "left").select("doc", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, _, _ in blocks(batches, "text"):
             doc, text, marked = batch.columns
             n = len(text)
             lines, words = np.zeros(n, np.int64), np.zeros(n, np.int64)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from siftloom.llm.samples import Sample, as_sample
 from siftloom.llm.store import map_arrow, small_side, stored
-from siftloom.llm.words import ALNUM, blocks, find_words
+from siftloom.llm.words import ALNUM, blocks, column_of, find_words, text_bytes
 
 #: Bytes of labelled text of a shard. All labelled texts are learned from, whole; a fifth of them calibrates.
 SHARD_BYTES = 64_000_000
@@ -35,15 +35,32 @@ BLOCK, STEP = 2_000_000, 100_000
 PAD = max(WIDTHS) - 1
 #: Numbers of a line of weights; the unit that changes of weights are summed in; logit steps of the calibration.
 CELLS, UNIT, LOGIT_STEPS = 2 * DIMENSIONS, 2.0 ** -32, 256
+#: What CRC-32 does to each byte; bytes of a word that are hashed side by side with those of other words.
+CRC_TABLE = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)], np.uint32)
+LONG_WORD = 64
 
 
-def word_features(words: list[bytes]) -> np.ndarray:
-    """Buckets of each word and of its prefixes; ``BUCKETS`` where a word is no longer than the prefix."""
+def crcs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, value: int = 0) -> np.ndarray:
+    """``zlib.crc32`` of each piece of ``data``, ``value`` being its second argument; one byte of all pieces at a time."""
+    crc = np.full(len(starts), value ^ 0xFFFFFFFF, np.uint32)
+    at = np.arange(len(starts))
+    for k in range(min(LONG_WORD, int(lengths.max(initial=0)))):
+        at = at[lengths[at] > k]
+        crc[at] = CRC_TABLE[(crc[at] ^ data[starts[at] + k]) & 255] ^ (crc[at] >> 8)
+    for i in at[lengths[at] > LONG_WORD]:
+        crc[i] = zlib.crc32(data[starts[i] + LONG_WORD:starts[i] + lengths[i]], int(crc[i]) ^ 0xFFFFFFFF) ^ 0xFFFFFFFF
+    return crc ^ np.uint32(0xFFFFFFFF)
+
+
+def word_features(words: pa.Array) -> np.ndarray:
+    """Buckets of each word (bytes) and of its prefixes; ``BUCKETS`` where a word is no longer than the prefix."""
     out = np.full((len(words), 1 + len(PREFIXES)), BUCKETS, np.int32)
-    h = zlib.crc32
-    out[:, 0] = [h(w) & (BUCKETS - 1) for w in words]
+    data, offsets = text_bytes(words)
+    starts, lengths = offsets[:-1], np.diff(offsets)
+    out[:, 0] = crcs(data, starts, lengths) & (BUCKETS - 1)
     for k, size in enumerate(PREFIXES, 1):
-        out[:, k] = [h(w[:size], size) & (BUCKETS - 1) if len(w) > size else BUCKETS for w in words]
+        at = np.flatnonzero(lengths > size)
+        out[at, k] = crcs(data, starts[at], np.full(len(at), size), size) & (BUCKETS - 1)
     return out
 
 
@@ -51,7 +68,7 @@ def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Word numbers with ``PAD`` padding words after each text, the texts' starts, and the features of each number."""
     found = find_words(data, offsets, ALNUM)
     numbers, words = found.numbered()
-    features = np.vstack([word_features(words.to_pylist()), np.full((1, 1 + len(PREFIXES)), BUCKETS, np.int32)])
+    features = np.vstack([word_features(words), np.full((1, 1 + len(PREFIXES)), BUCKETS, np.int32)])
     docs = len(offsets) - 1
     out = np.full(len(numbers) + PAD * docs, len(words), np.int32)
     out[np.arange(len(numbers)) + PAD * np.repeat(np.arange(docs), found.counts)] = numbers
@@ -70,10 +87,17 @@ class Network:
     thresholds: dict[str, float] = field(default_factory=dict)
     threshold: float = 0.5
 
+    def vectors(self, features: np.ndarray) -> np.ndarray:
+        """Sums of the embeddings of each word's features."""
+        out = self.embedding[features[:, 0]]
+        for k in range(1, features.shape[1]):
+            out += self.embedding[features[:, k]]
+        return out
+
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Probability of label 1 for each text."""
         numbers, starts, features = padded(data, offsets)
-        vectors = self.embedding[features].sum(axis=1)
+        vectors = self.vectors(features)
         docs, pad = len(starts) - 1, len(features) - 1
         logit = np.full(docs, self.offset)
         for k, width in enumerate(WIDTHS):
@@ -155,14 +179,20 @@ class Weights:
             value -= (RATE * gradient / np.sqrt(squares[name])).astype(np.float32)
 
         turn = random.permutation(len(labels))
+        place = np.zeros(len(features), np.int32)
         for i in range(0, len(turn), BATCH):
             batch = turn[i:i + BATCH]
             top = np.zeros((len(batch), FILTERS * len(WIDTHS)), np.float32)
             where = np.zeros(top.shape, np.int64)
+            place[:] = 0
+            for doc in batch:
+                place[numbers[starts[doc]:starts[doc + 1]]] = 1
+            words = np.flatnonzero(place)
+            place[words] = np.arange(len(words))
+            vectors = net.vectors(features[words])
             for row, doc in enumerate(batch):
-                ids = numbers[starts[doc]:starts[doc + 1]]
-                x = net.embedding[features[ids]].sum(axis=1)
-                n = len(ids) - PAD
+                x = vectors[place[numbers[starts[doc]:starts[doc + 1]]]]
+                n = len(x) - PAD
                 for k, w in enumerate(WIDTHS):
                     if n > 0:
                         z = x[:n] @ net.filters[w][0]
@@ -193,22 +223,22 @@ class Weights:
                 step(net.bias[w], g.sum(axis=0), -w)
             rows, change = np.concatenate(rows), np.concatenate(change)
             touched, at = np.unique(rows, return_inverse=True)
-            gradient = np.zeros((len(touched), DIMENSIONS))
-            np.add.at(gradient, at.reshape(rows.shape), change[:, None, :])
+            gradient = np.stack([np.bincount(at.ravel(), np.repeat(change[:, d], rows.shape[1]), len(touched)) for d in range(DIMENSIONS)], 1)
             gradient *= used[touched, None]
             squares["embedding"][touched] += gradient ** 2
             net.embedding[touched] -= (RATE * gradient / np.sqrt(squares["embedding"][touched])).astype(np.float32)
 
 
-def labelled_blocks(batches: Iterator[pa.RecordBatch], seed: int, held: bool) -> Iterator[tuple[int, int, list[str], list, list]]:
-    """Shard, number in the shard, texts, labels and languages of the rows that calibrate (``held``) or of those that are
-    fitted to, about ``BLOCK`` bytes at a time; cut alike however the rows come in batches."""
+def labelled_blocks(batches: Iterator[pa.RecordBatch], seed: int, held: bool) -> Iterator[tuple[int, int, list[bytes], list, list]]:
+    """Shard, number in the shard, texts in UTF-8, labels and languages of the rows that calibrate (``held``) or of those that
+    are fitted to, about ``BLOCK`` bytes at a time; cut alike however the rows come in batches."""
     shard, block, size, rows = None, 0, 0, []
     for batch in batches:
-        columns = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "text", "label", "lang"))
-        for at, text, label, lang in zip(*columns):
-            raw = text.encode()
-            if (zlib.crc32(b"%d" % seed + raw) % 5 == 0) != held:
+        data, offsets = text_bytes(column_of(batch, "text"))
+        columns = (column_of(batch, c).to_pylist() for c in ("shard", "label", "lang"))
+        for a, b, at, label, lang in zip(offsets[:-1].tolist(), offsets[1:].tolist(), *columns):
+            raw = data[a:b].tobytes()
+            if (zlib.crc32(raw, zlib.crc32(b"%d" % seed)) % 5 == 0) != held:
                 continue
             if rows and (at != shard or size + len(raw) > BLOCK):
                 yield shard, block, *map(list, zip(*rows))
@@ -216,24 +246,29 @@ def labelled_blocks(batches: Iterator[pa.RecordBatch], seed: int, held: bool) ->
             elif at != shard:
                 block = 0
             shard, size = at, size + len(raw)
-            rows.append((text, label, lang))
+            rows.append((raw, label, lang))
     if rows:
         yield shard, block, *map(list, zip(*rows))
 
 
-def _padded_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    return padded(np.frombuffer(b"".join(raw), np.uint8), offsets)
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[:1] - 1) > 0]
 
 
 def texts_with(batches: Iterator[pa.RecordBatch], seed: int) -> np.ndarray:
     """How many of the texts that are fitted to have each feature."""
     seen = np.zeros(BUCKETS + 1, np.int64)
     for _, _, texts, _, _ in labelled_blocks(batches, seed, False):
-        numbers, starts, features = _padded_texts(texts)
-        for a, b in zip(starts[:-1], starts[1:]):
-            seen[np.unique(features[np.unique(numbers[a:b])])] += 1
+        numbers, starts, features = padded(*_joined(texts))
+        n = np.int64(len(features))
+        of, words = np.divmod(_distinct(np.repeat(np.arange(len(texts)) * n, np.diff(starts)) + numbers), n)
+        once = _distinct(((of * (BUCKETS + 1))[:, None] + features[words]).ravel())
+        seen += np.bincount(once % (BUCKETS + 1), minlength=BUCKETS + 1)
     return seen
 
 
@@ -246,7 +281,7 @@ def changes(batches: Iterator[pa.RecordBatch], weights: Weights, by_label: dict,
         own = copy.deepcopy(weights)
         for _, block, texts, labels, _ in parts:
             weight = np.sqrt([by_label[x] for x in labels])
-            own.learn(*_padded_texts(texts), np.array(labels, float), weight, np.random.default_rng([seed, turn, shard, block]))
+            own.learn(*padded(*_joined(texts)), np.array(labels, float), weight, np.random.default_rng([seed, turn, shard, block]))
         moved = np.flatnonzero((own.net.embedding != weights.net.embedding).any(axis=1)
                                | (own.squares["embedding"] != weights.squares["embedding"]).any(axis=1))
         change = np.vstack([own.sparse(moved).astype(np.float64) - weights.sparse(moved), own.dense() - weights.dense()])
@@ -261,9 +296,7 @@ def held_steps(batches: Iterator[pa.RecordBatch], net: Network, seed: int) -> Co
     """How many rows that calibrate have each language, label and logit, in steps of 1 / ``LOGIT_STEPS``."""
     found: Counter = Counter()
     for _, _, texts, labels, langs in labelled_blocks(batches, seed, True):
-        raw = [t.encode() for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-        p = np.clip(net.scores(np.frombuffer(b"".join(raw), np.uint8), offsets), 1e-9, 1 - 1e-9)
+        p = np.clip(net.scores(*_joined(texts)), 1e-9, 1 - 1e-9)
         found.update(zip(langs, labels, np.rint(np.log(p / (1 - p)) * LOGIT_STEPS).astype(int).tolist()))
     return found
 

@@ -311,3 +311,22 @@ def test_toxicity_learns_from_all_labelled_texts(spark):
     assert np.array_equal(one.embedding, other.embedding) and one.thresholds == other.thresholds
     p = {r.doc.doc_id: r.score for r in toxicity.score(docs, toxicity.fitted(docs, labels)).select(F.col("doc"), "score").collect()}
     assert auc([p[i] for i in range(240)], [i % 2 for i in range(240)]) > 0.95
+
+
+def test_toxicity_hashes_words_side_by_side(monkeypatch):
+    """Words and prefixes have the CRC-32 that zlib gives, at one call per text and over-long word instead of four per word."""
+    texts = [f"Wort{k} été{k % 7} ab{k % 5} x " + "y" * (60 + k % 9) for k in range(300)] + ["", "--", "z" * 500]
+    words = sorted({w for t in texts for w in t.lower().encode().replace(b"-", b" ").split()})
+    found = toxicity.word_features(toxicity.pa.array(words, toxicity.pa.large_binary()))
+    for w, row in zip(words, found.tolist()):
+        own = [zlib.crc32(w)] + [zlib.crc32(w[:n], n) for n in toxicity.PREFIXES if len(w) > n]
+        assert row == [h % toxicity.BUCKETS for h in own] + [toxicity.BUCKETS] * (4 - len(own))
+
+    real, calls = zlib.crc32, []
+    monkeypatch.setattr(toxicity.zlib, "crc32", lambda *a: calls.append(1) or real(*a))
+    batch = toxicity.pa.RecordBatch.from_pydict({"shard": [0] * len(texts), "text": texts, "label": [0] * len(texts), "lang": ["de"] * len(texts)})
+    seen = toxicity.texts_with([batch], 7)
+    assert len(calls) < 3 * len(texts) + 40
+    fitted = [t for t in texts if real(b"7" + t.encode()) % 5]
+    once = [{real(w) % toxicity.BUCKETS for w in t.lower().encode().replace(b"-", b" ").split()} for t in fitted]
+    assert all(seen[h] >= sum(h in s for s in once) > 0 for s in once for h in s) and seen[real(b"x") % toxicity.BUCKETS] >= 200

@@ -43,10 +43,13 @@ def suffix_array(ids: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
     padded = np.concatenate([ids, np.zeros(known, np.int64)])
     key = np.zeros(n, np.int64)
     for j in range(known):
-        key = (key << bits) | padded[j:j + n]
+        key <<= bits
+        key |= padded[j:j + n]
+    del padded
     order = np.argsort(key)
-    new = np.ones(n, bool)
-    new[1:] = key[order[1:]] != key[order[:-1]]
+    new, key = np.ones(n, bool), key[order]
+    new[1:] = key[1:] != key[:-1]
+    del key
     while known < depth:
         # Only ranges of equal suffixes are sorted again, by the rank of what follows the known words.
         alone = new.copy()
@@ -58,8 +61,10 @@ def suffix_array(ids: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
         rank = np.zeros(n + 1, np.int64)
         rank[order] = head + 1
         at = order[open_]
-        follow = rank[np.minimum(at + known, n)]
-        both = (head[open_] << 32) | follow
+        both = head[open_] << 32
+        del head, alone
+        both |= rank[np.minimum(at + known, n)]
+        del rank
         turn = np.argsort(both)
         order[open_] = at[turn]
         both = both[turn]
@@ -151,14 +156,14 @@ def _shard(bench: Benchmark, data: np.ndarray, offsets: np.ndarray, before: pa.A
     found = find_words(data, offsets, ALNUM)
     docs, counts = len(offsets) - 1, found.counts
     numbers, words = found.numbered()
-    doc = np.repeat(np.arange(docs), counts)
     ids = np.zeros(len(numbers) + docs + 1, np.int64)
-    ids[np.arange(len(numbers)) + doc + 1] = numbers + 1
+    ids[np.arange(len(numbers)) + np.repeat(np.arange(docs), counts) + 1] = numbers + 1
     first = found.rows[:-1] + np.arange(docs) + 1
-    change = np.zeros(len(ids) + 1, np.int64)
+    del found, numbers  # as large as the suffix array, which follows
     known = pc.fill_null(pc.index_in(bench.words, value_set=words), -2).to_numpy(zero_copy_only=False).astype(np.int64) + 1
     query = np.where(bench.query < 0, -1, known[bench.query]) if len(known) else bench.query
     order, _ = suffix_array(ids, bench.depth)
+    change = np.zeros(len(ids) + 1, np.int64)
     low, high = search(ids, order, query, bench.at, bench.lengths)
     hits = np.flatnonzero(low < high)
     best: list[np.ndarray] = []

@@ -330,3 +330,20 @@ def test_toxicity_hashes_words_side_by_side(monkeypatch):
     fitted = [t for t in texts if real(b"7" + t.encode()) % 5]
     once = [{real(w) % toxicity.BUCKETS for w in t.lower().encode().replace(b"-", b" ").split()} for t in fitted]
     assert all(seen[h] >= sum(h in s for s in once) > 0 for s in once for h in s) and seen[real(b"x") % toxicity.BUCKETS] >= 200
+
+
+def test_toxicity_keeps_texts_of_a_block_only():
+    """A batch of texts never becomes Python objects as a whole; what a worker holds stays with it in later steps."""
+    import tracemalloc
+
+    texts = [f"{k} " + "ab cd " * 1000 for k in range(4000)]
+    batch = toxicity.pa.RecordBatch.from_pydict({"shard": [0] * 4000, "text": texts, "label": [0] * 4000, "lang": ["en"] * 4000})
+    size = sum(map(len, texts))
+    del texts
+    tracemalloc.start()
+    try:
+        n = sum(len(block[2]) for held in (False, True) for block in toxicity.labelled_blocks([batch], 7, held))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 4000 and size > 10 * toxicity.BLOCK and most < 4 * toxicity.BLOCK
